@@ -16,6 +16,8 @@ def write_csv(df: DataFrame, path: str, max_records_per_file: int = 200_000, mod
         .option("header", True)
         .option("escape", '"')
         .option("maxRecordsPerFile", max_records_per_file)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .options(**options)
         .csv(path)
     )
