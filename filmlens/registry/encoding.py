@@ -46,11 +46,11 @@ def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "category_mean_count",
-    "SELECT o_custkey, round(avg(o_totalprice), 4) AS category_mean, count(*) AS category_count FROM orders GROUP BY 1",
+    "SELECT o_custkey, round(avg(o_totalprice), 6) AS category_mean, count(*) AS category_count FROM orders GROUP BY 1",
 )
 def category_mean_count(spark: SparkSession, sf: str) -> DataFrame:
     found = E.category_means(table(spark, sf, "orders"), "o_custkey", "o_totalprice")
-    return found.withColumn("category_mean", rounded("category_mean", 4))
+    return found.withColumn("category_mean", rounded("category_mean", 6))
 
 
 @query("category_count", "SELECT o_custkey, count(*) AS category_count FROM orders GROUP BY 1")
@@ -60,12 +60,12 @@ def category_count(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "join_group_mean",
-    """SELECT o_orderkey, round(avg(o_totalprice) OVER (PARTITION BY o_custkey), 4) AS customer_mean FROM orders""",
+    """SELECT o_orderkey, round(avg(o_totalprice) OVER (PARTITION BY o_custkey), 6) AS customer_mean FROM orders""",
 )
 def join_group_mean(spark: SparkSession, sf: str) -> DataFrame:
     found = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     joined = E.group_mean_join(found, "o_custkey", "o_totalprice", "customer_mean", ["o_orderkey"])
-    return joined.select("o_orderkey", rounded("customer_mean", 4).alias("customer_mean"))
+    return joined.select("o_orderkey", rounded("customer_mean", 6).alias("customer_mean"))
 
 
 @query(
