@@ -41,7 +41,7 @@ def term_tfidf(train: DataFrame, docs: DataFrame, key: str, text: str) -> DataFr
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"))
     )
-    lookup = build_lookup(frequency, "term", "df", "df", "document-frequency")
+    lookup, _ = build_lookup(frequency, "term", "df", "df", "document-frequency")
     weighed = lookup_join(term_counts(docs, key, text), "term", lookup, "df", spread=[key, "term"])
     df = F.coalesce("df", F.lit(0))
     return weighed.select(key, "term", "tf", df.alias("df"), (F.col("tf") * F.log(F.lit(float(m + 1)) / (df + 1))).alias("tfidf"))

@@ -61,24 +61,19 @@ def target_encode_fit(train: DataFrame, column: str, target: str, smoothing: flo
         F.count(F.lit(1)).alias("category_count"),
         F.count(target).alias("target_count"),
     )
-    written = build_lookup(stats, column, "category_mean", "category_count", f"means-{column}")
-    global_mean = written.table.agg(
-        F.try_divide(F.sum(F.col("category_mean") * F.col("target_count")), F.sum("target_count")).alias("m")
-    ).first()["m"]
+    weighted = F.sum(F.col("category_mean") * F.col("target_count"))
+    mean = F.try_divide(weighted, F.sum("target_count")).alias("global_mean")
+    lookup, measured = build_lookup(stats, column, "category_mean", "category_count", f"means-{column}", mean)
     n = F.col("category_count")
-    smoothed = (F.col("category_mean") * n + F.lit(global_mean) * F.lit(smoothing)) / (n + F.lit(smoothing))
-    mapping = written.table.select(column, "category_mean", "category_count", smoothed.alias("encoding"))
-    lookup = Lookup(mapping, column, "encoding", "category_count", written.n_keys, written.n_rows, written.n_bytes)
-    return Encoding(column, "encoded", lookup, global_mean)
+    smoothed = (F.col("category_mean") * n + F.lit(measured.global_mean) * F.lit(smoothing)) / (n + F.lit(smoothing))
+    return Encoding(column, "encoded", lookup.derive("encoding", smoothed), measured.global_mean)
 
 
 def frequency_encode_fit(train: DataFrame, column: str) -> Encoding:
     """Category shares ``n / total``; unseen categories get ``1 / total``."""
-    written = build_lookup(category_counts(train, column), column, "category_count", "category_count", f"counts-{column}")
-    total = F.lit(float(written.n_rows))
-    mapping = written.table.select(column, "category_count", (F.col("category_count") / total).alias("encoding"))
-    lookup = Lookup(mapping, column, "encoding", "category_count", written.n_keys, written.n_rows, written.n_bytes)
-    return Encoding(column, "freq", lookup, 1.0 / written.n_rows if written.n_rows else None)
+    lookup, _ = build_lookup(category_counts(train, column), column, "category_count", "category_count", f"counts-{column}")
+    share = F.col("category_count") / F.lit(float(lookup.n_rows))
+    return Encoding(column, "freq", lookup.derive("encoding", share), 1.0 / lookup.n_rows if lookup.n_rows else None)
 
 
 def encode_apply(df: DataFrame, encoding: Encoding, spread: list[str] | None = None) -> DataFrame:
@@ -118,7 +113,7 @@ def top_categories_fit(train: DataFrame, column: str, n: int = 30) -> TopCategor
     if not 0 < n <= MAX_TOP:
         raise ValueError(f"n must be between 1 and {MAX_TOP}")
     ranked = category_counts(train, column).orderBy(F.desc("category_count"), F.asc_nulls_last(column)).limit(n)
-    lookup = build_lookup(ranked, column, "category_count", "category_count", f"top-{column}")
+    lookup, _ = build_lookup(ranked, column, "category_count", "category_count", f"top-{column}")
     return TopCategories(column, lookup.table, n)
 
 
@@ -136,5 +131,5 @@ def top_categories_apply(df: DataFrame, top: TopCategories, other: str = "Other"
 
 def group_mean_join(df: DataFrame, column: str, value: str, out: str, spread: list[str] | None = None) -> DataFrame:
     """Each row with the mean ``value`` of its group."""
-    lookup = build_lookup(category_means(df, column, value), column, "category_mean", "category_count", f"group-{column}")
+    lookup, _ = build_lookup(category_means(df, column, value), column, "category_mean", "category_count", f"group-{column}")
     return lookup_join(df, column, lookup, out, spread)

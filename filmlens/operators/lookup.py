@@ -6,9 +6,9 @@ are known before the join runs and can be kept out of its shuffle.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from filmlens.sources.staging import materialize
@@ -36,17 +36,22 @@ class Lookup:
     def is_small(self) -> bool:
         return self.n_bytes <= BROADCAST_BYTES
 
+    def derive(self, value: str, column: Column) -> Lookup:
+        """The same keys with a value computed from the table's columns."""
+        return replace(self, table=self.table.withColumn(value, column), value=value)
 
-def build_lookup(table: DataFrame, key: str, value: str, count: str, name: str) -> Lookup:
-    """Write the table once and measure it."""
+
+def build_lookup(table: DataFrame, key: str, value: str, count: str, name: str, *stats: Column) -> tuple[Lookup, Row]:
+    """Write the table once and measure it; ``stats`` are further aggregates over it."""
     written = materialize(table, name)
     width = F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) + 32
-    size = written.agg(
+    measured = written.agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.coalesce(F.sum(count), F.lit(0)).alias("n_rows"),
         F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("n_bytes"),
+        *stats,
     ).first()
-    return Lookup(written, key, value, count, size.n_keys, size.n_rows, size.n_bytes)
+    return Lookup(written, key, value, count, measured.n_keys, measured.n_rows, measured.n_bytes), measured
 
 
 def lookup_join(df: DataFrame, column: str, lookup: Lookup, out: str, spread: list[str] | None = None) -> DataFrame:

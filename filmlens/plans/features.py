@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -32,6 +33,7 @@ from filmlens.operators.encoding import (
     top_categories_fit,
 )
 from filmlens.plans.variants import Variant
+from filmlens.sources.staging import materialize
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,11 @@ class FeatureFrame:
     test: DataFrame
     encodings: dict[str, Encoding]
     top_genres: TopCategories
+    limits: Mapping[str, float]
+
+    def temporal(self, df: DataFrame) -> DataFrame:
+        """The row features that need no fit."""
+        return derive_temporal(df, **self.limits)
 
 
 def feature_frame(train: DataFrame, test: DataFrame, variant: Variant, **temporal: float) -> FeatureFrame:
@@ -64,7 +71,7 @@ def feature_frame(train: DataFrame, test: DataFrame, variant: Variant, **tempora
         df = derive_temporal(top_categories_apply(df, top), **temporal)
         return derive_popularity(df) if variant.popularity else df
 
-    return FeatureFrame(apply(train), apply(test), encodings, top)
+    return FeatureFrame(apply(train), apply(test), encodings, top, temporal)
 
 
 def text_stages(text: str, width: int = 100) -> list:
@@ -94,9 +101,34 @@ def feature_stages(variant: Variant) -> Pipeline:
     )
 
 
-def fit_features(train: DataFrame, variant: Variant) -> PipelineModel:
-    """Fit the feature stages once; all regressors share the result."""
-    return feature_stages(variant).fit(train)
+@dataclass(frozen=True)
+class FeatureTables:
+    """Fitted feature stages and the assembled rows of both sides, as written tables."""
+
+    stages: PipelineModel
+    train: DataFrame
+    test: DataFrame
+
+
+def fit_features(train_rows: DataFrame, frame: FeatureFrame, variant: Variant) -> FeatureTables:
+    """Fit every feature stage on the least input it needs; all regressors share the result.
+
+    The term weights need only the text and the duration index only the
+    duration class, so those fits do not run the encoder joins. The assembled
+    vectors are written once; the scaler is fitted on that table and applied
+    as it is read.
+    """
+    tokenizer, remover, hashing, idf, hasher, indexer, assembler, scaler = feature_stages(variant).getStages()
+    text = Pipeline(stages=[tokenizer, remover, hashing, idf]).fit(train_rows.select(variant.text))
+    classes = frame.temporal(train_rows).select(variant.indexed)
+    assembly = PipelineModel([*text.stages, hasher, indexer.fit(classes), assembler])
+    keep = [variant.key, variant.target, "features"]
+    train, test = (
+        materialize(assembly.transform(side).select(*keep), name, [variant.key])
+        for side, name in ((frame.train, "train"), (frame.test, "test"))
+    )
+    scaling = scaler.fit(train)
+    return FeatureTables(PipelineModel([*assembly.stages, scaling]), scaling.transform(train), scaling.transform(test))
 
 
 def feature_index_map(spark: SparkSession, variant: Variant) -> DataFrame:

@@ -6,14 +6,14 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Model, PipelineModel
+from pyspark.ml import Model
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmlens.operators.cleaning import clean_required
 from filmlens.operators.relational import split_by_key
-from filmlens.plans.features import FeatureFrame, feature_frame, fit_features
+from filmlens.plans.features import FeatureFrame, FeatureTables, feature_frame, fit_features
 from filmlens.plans.variants import Variant
 from filmlens.sources.staging import materialize
 
@@ -83,9 +83,7 @@ class TrainedVariant:
 
     variant: Variant
     frame: FeatureFrame
-    features: PipelineModel
-    train: DataFrame
-    test: DataFrame
+    tables: FeatureTables
     models: dict[str, FittedModel]
     scored: DataFrame
 
@@ -95,24 +93,20 @@ class TrainedVariant:
         return {name: f"pred_{name}" for name in names}
 
 
-def prepare(df: DataFrame, variant: Variant, year: str = "year", **temporal: float) -> tuple[FeatureFrame, PipelineModel, DataFrame, DataFrame]:
-    """Clean, split, engineer and assemble: returns the fitted stages and both tables.
+def prepare(df: DataFrame, variant: Variant, year: str = "year", **temporal: float) -> tuple[FeatureFrame, FeatureTables]:
+    """Clean, split, engineer and assemble.
 
-    The cleaned rows and the assembled vectors are written to the staging
-    folder: the encoders and every boosting round read them again, and a lost
-    executor must not bring back the joins behind them.
+    The cleaned rows are written to the staging folder: the encoders and the
+    feature stages all read them again, and a lost executor must not bring
+    back the joins behind them.
     """
     wanted = [variant.key, variant.text, variant.genre, *variant.categories, "duration", variant.target, "year_clean"]
     if variant.popularity:
         wanted += ["votes", "reviews_from_users", "reviews_from_critics"]
-    clean = materialize(clean_required(df, variant.required, year).select(*wanted), "clean")
+    clean = materialize(clean_required(df, variant.required, year).select(*wanted), "clean", [variant.key])
     train_rows, test_rows = split_by_key(clean, [variant.key])
     frame = feature_frame(train_rows, test_rows, variant, **temporal)
-    features = fit_features(frame.train, variant)
-    keep = [variant.key, variant.target, "features", "scaled_features"]
-    train = materialize(features.transform(frame.train).select(*keep), "train")
-    test = materialize(features.transform(frame.test).select(*keep), "test")
-    return frame, features, train, test
+    return frame, fit_features(train_rows, frame, variant)
 
 
 def train_variant(
@@ -124,8 +118,7 @@ def train_variant(
     **temporal: float,
 ) -> TrainedVariant:
     """Run a variant from raw rows to scored test rows."""
-    frame, features, train, test = prepare(df, variant, year, **temporal)
-    models = fit_models(train, variant.target, names, **(sizes or {}))
+    frame, tables = prepare(df, variant, year, **temporal)
+    models = fit_models(tables.train, variant.target, names, **(sizes or {}))
     weights = ENSEMBLE_WEIGHTS if variant.ensemble and set(ENSEMBLE_WEIGHTS) <= set(models) else None
-    scored = score_all(models, test, weights)
-    return TrainedVariant(variant, frame, features, train, test, models, scored)
+    return TrainedVariant(variant, frame, tables, models, score_all(models, tables.test, weights))

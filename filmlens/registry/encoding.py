@@ -22,6 +22,7 @@ from filmlens.registry.tables import (
     sales_lines,
     table,
 )
+from filmlens.sources.staging import materialize
 
 _ORDERS_SQL = f"SELECT *, {draw_sql('o_orderkey')} AS draw FROM orders"
 _MEANS_SQL = """
@@ -213,7 +214,8 @@ _FRAME_TAIL = f"""s.title_id, CASE WHEN s.genre IN (SELECT genre FROM top) THEN
 
 
 def _frame(spark: SparkSession, sf: str, variant, encoded: tuple[str, str], digits: int) -> DataFrame:
-    train, test = split_by_key(sales_lines(spark, sf), ["title_id"])
+    lines = materialize(sales_lines(spark, sf), "sales-lines", ["title_id", "actors"])
+    train, test = split_by_key(lines, ["title_id"])
     frame = feature_frame(train, test, variant, **SALES_LIMITS)
     columns = [*_FRAME_COLUMNS, *[rounded(c, digits).alias(c) for c in encoded]]
     sides = [side.select(*columns, F.lit(name).alias("side")) for side, name in ((frame.train, "train"), (frame.test, "test"))]

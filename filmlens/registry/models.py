@@ -151,8 +151,8 @@ for _name in ("ridge", "forest", "gbt"):
 
 @query("feature_stages")
 def feature_stages(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, train, test = prepare(documents_film(spark, sf), INTRINSIC_TARGET, **DOCUMENT_LIMITS)
-    both = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    _, tables = prepare(documents_film(spark, sf), INTRINSIC_TARGET, **DOCUMENT_LIMITS)
+    both = tables.train.withColumn("side", F.lit("train")).unionByName(tables.test.withColumn("side", F.lit("test")))
     scaled = vector_to_array("scaled_features")
     norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, x: total + x * x))
     return both.select("title_id", "side", F.size(scaled).alias("width"), rounded(norm).alias("norm"))
@@ -160,8 +160,8 @@ def feature_stages(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("feature_index_map")
 def feature_index_map(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, train, _ = prepare(documents_film(spark, sf), INTRINSIC_TARGET, **DOCUMENT_LIMITS)
-    return feature_summary(train, INTRINSIC_TARGET)
+    _, tables = prepare(documents_film(spark, sf), INTRINSIC_TARGET, **DOCUMENT_LIMITS)
+    return feature_summary(tables.train, INTRINSIC_TARGET)
 
 
 @query("ensemble_predictions")

@@ -34,8 +34,21 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/filmlens/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the staging folder and read it back."""
-    path = staging_path(df.sparkSession, name)
+def materialize(df: DataFrame, name: str, spread: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet in the staging folder and read it back.
+
+    With ``spread``, a table that came out in far fewer files than there are
+    cores is written again, hashed by those columns into one file per core:
+    a small input would otherwise keep later stages on a few tasks. A table
+    of the size of the cluster never takes that step.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and len(written.inputFiles()) <= cores // 2:
+        path = staging_path(spark, name)
+        written.repartition(cores, *spread).write.parquet(path)
+        written = spark.read.schema(df.schema).parquet(path)
+    return written
