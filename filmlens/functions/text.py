@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filmlens.functions.stopwords import ENGLISH
 from filmlens.operators.lookup import build_lookup, lookup_join
+from filmlens.sources.staging import materialize
 
 
 def tokens(text: str, min_length: int = 3) -> Column:
@@ -20,28 +21,33 @@ def content_tokens(text: str, min_length: int = 3) -> Column:
 
 
 def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Occurrences of each content token per document."""
+    """Occurrences of each content token per document.
+
+    The texts are placed by document before they are cut up, so the counts per
+    document and term need no shuffle of the far more numerous tokens.
+    """
     return (
-        docs.select(key, F.explode(content_tokens(text)).alias("term"))
+        docs.select(key, text)
+        .repartition(key)
+        .select(key, F.explode(content_tokens(text)).alias("term"))
         .groupBy(key, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
-def term_tfidf(train: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+def term_tfidf(docs: DataFrame, key: str, text: str, is_train: Column) -> DataFrame:
     """``tf * ln((m + 1) / (df + 1))`` per document and term.
 
-    ``m`` and the document frequencies come from the training documents; a
-    term they do not contain has frequency zero. The frequencies tell which
+    ``m`` and the document frequencies come from the documents for which
+    ``is_train``, a condition on the key, holds; a term they do not contain
+    has frequency zero. The texts are cut up once: the counts are written and
+    serve both the frequencies and the weights. The frequencies tell which
     terms are common, and the lookup keeps those out of its shuffle.
     """
-    m = train.count()
-    frequency = (
-        train.select(F.explode(F.array_distinct(content_tokens(text))).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+    m = docs.filter(is_train).count()
+    counts = materialize(term_counts(docs, key, text), "term-counts")
+    frequency = counts.filter(is_train).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     lookup, _ = build_lookup(frequency, "term", "df", "df", "document-frequency")
-    weighed = lookup_join(term_counts(docs, key, text), "term", lookup, "df", spread=[key, "term"])
+    weighed = lookup_join(counts, "term", lookup, "df", spread=[key, "term"])
     df = F.coalesce("df", F.lit(0))
     return weighed.select(key, "term", "tf", df.alias("df"), (F.col("tf") * F.log(F.lit(float(m + 1)) / (df + 1))).alias("tfidf"))

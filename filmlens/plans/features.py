@@ -32,6 +32,7 @@ from filmlens.operators.encoding import (
     top_categories_apply,
     top_categories_fit,
 )
+from filmlens.operators.relational import hash_percent
 from filmlens.plans.variants import Variant
 from filmlens.sources.staging import materialize
 
@@ -51,6 +52,17 @@ class FeatureFrame:
         return derive_temporal(df, **self.limits)
 
 
+def split_table(
+    df: DataFrame, keys: list[str], name: str, train_percent: int = 80, seed: int = 42, spread: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` once with each row's draw and return its training and test rows.
+
+    Every later read filters on the stored draw instead of hashing the keys again.
+    """
+    drawn = materialize(df.withColumn("draw", hash_percent(keys, seed)), name, spread or keys)
+    return drawn.filter(F.col("draw") < train_percent).drop("draw"), drawn.filter(F.col("draw") >= train_percent).drop("draw")
+
+
 def feature_frame(train: DataFrame, test: DataFrame, variant: Variant, **temporal: float) -> FeatureFrame:
     """Encode the categories, reduce the genres and derive the row features.
 

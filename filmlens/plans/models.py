@@ -12,10 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmlens.operators.cleaning import clean_required
-from filmlens.operators.relational import split_by_key
-from filmlens.plans.features import FeatureFrame, FeatureTables, feature_frame, fit_features
+from filmlens.plans.features import FeatureFrame, FeatureTables, feature_frame, fit_features, split_table
 from filmlens.plans.variants import Variant
-from filmlens.sources.staging import materialize
 
 # Ensemble weights.
 ENSEMBLE_WEIGHTS = {"ridge": 0.2, "forest": 0.3, "gbt": 0.5}
@@ -103,8 +101,7 @@ def prepare(df: DataFrame, variant: Variant, year: str = "year", **temporal: flo
     wanted = [variant.key, variant.text, variant.genre, *variant.categories, "duration", variant.target, "year_clean"]
     if variant.popularity:
         wanted += ["votes", "reviews_from_users", "reviews_from_critics"]
-    clean = materialize(clean_required(df, variant.required, year).select(*wanted), "clean", [variant.key])
-    train_rows, test_rows = split_by_key(clean, [variant.key])
+    train_rows, test_rows = split_table(clean_required(df, variant.required, year).select(*wanted), [variant.key], "clean")
     frame = feature_frame(train_rows, test_rows, variant, **temporal)
     return frame, fit_features(train_rows, frame, variant)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from filmlens.functions.derive import derive_popularity, derive_temporal, duration_category
 from filmlens.operators import encoding as E
 from filmlens.operators.relational import hash_percent, split_by_key
-from filmlens.plans.features import feature_frame
+from filmlens.plans.features import feature_frame, split_table
 from filmlens.plans.variants import INTRINSIC_FREQUENCY, INTRINSIC_TARGET
 from filmlens.registry.core import query
 from filmlens.registry.tables import (
@@ -22,7 +22,6 @@ from filmlens.registry.tables import (
     sales_lines,
     table,
 )
-from filmlens.sources.staging import materialize
 
 _ORDERS_SQL = f"SELECT *, {draw_sql('o_orderkey')} AS draw FROM orders"
 _MEANS_SQL = """
@@ -214,8 +213,7 @@ _FRAME_TAIL = f"""s.title_id, CASE WHEN s.genre IN (SELECT genre FROM top) THEN
 
 
 def _frame(spark: SparkSession, sf: str, variant, encoded: tuple[str, str], digits: int) -> DataFrame:
-    lines = materialize(sales_lines(spark, sf), "sales-lines", ["title_id", "actors"])
-    train, test = split_by_key(lines, ["title_id"])
+    train, test = split_table(sales_lines(spark, sf), ["title_id"], "sales-lines", spread=["title_id", "actors"])
     frame = feature_frame(train, test, variant, **SALES_LIMITS)
     columns = [*_FRAME_COLUMNS, *[rounded(c, digits).alias(c) for c in encoded]]
     sides = [side.select(*columns, F.lit(name).alias("side")) for side, name in ((frame.train, "train"), (frame.test, "test"))]

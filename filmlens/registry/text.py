@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from filmlens.functions.derive import duration_category
 from filmlens.functions.stopwords import ENGLISH
 from filmlens.functions.text import content_tokens, term_tfidf, tokens
-from filmlens.operators.relational import split_by_key
+from filmlens.operators.relational import hash_percent, split_by_key
 from filmlens.plans.features import text_stages, vector_entries
 from filmlens.registry.core import query
 from filmlens.registry.tables import draw_sql, labelled_documents, rounded, table
@@ -49,8 +49,7 @@ def text_tokens_filtered(spark: SparkSession, sf: str) -> DataFrame:
 )
 def term_tfidf_query(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    train, _ = split_by_key(docs, ["doc_id"])
-    return term_tfidf(train, docs, "doc_id", "text").withColumn("tfidf", rounded("tfidf"))
+    return term_tfidf(docs, "doc_id", "text", hash_percent(["doc_id"]) < 80).withColumn("tfidf", rounded("tfidf"))
 
 
 @query("hashing_tf")

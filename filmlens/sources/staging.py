@@ -37,18 +37,15 @@ def staging_path(spark: SparkSession, name: str) -> str:
 def materialize(df: DataFrame, name: str, spread: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the staging folder and read it back.
 
-    With ``spread``, a table that came out in far fewer files than there are
-    cores is written again, hashed by those columns into one file per core:
-    a small input would otherwise keep later stages on a few tasks. A table
-    of the size of the cluster never takes that step.
+    With ``spread``, rows that come from far fewer files than there are cores
+    are first hashed by those columns: one small file would otherwise keep
+    this and all later stages on one task. Adaptive execution sizes the
+    result. Inputs of the size of the cluster have more files and are written
+    as they come, without a shuffle.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
+    if spread and len(df.inputFiles()) <= spark.sparkContext.defaultParallelism // 2:
+        df = df.repartition(*spread)
     df.write.parquet(path)
-    written = spark.read.schema(df.schema).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if spread and len(written.inputFiles()) <= cores // 2:
-        path = staging_path(spark, name)
-        written.repartition(cores, *spread).write.parquet(path)
-        written = spark.read.schema(df.schema).parquet(path)
-    return written
+    return spark.read.schema(df.schema).parquet(path)
