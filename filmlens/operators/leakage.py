@@ -6,16 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from filmlens.functions.bands import correlation_band, encoding_band
 
 
+def pearson(x: str, y: str) -> Column:
+    """Pearson correlation over the rows that have both values; null if either is constant.
+
+    The built-in ``corr`` raises a division error on a constant column in ANSI mode.
+    """
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    a, b = F.when(both, F.col(x)), F.when(both, F.col(y))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def correlations(df: DataFrame, target: str, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column with the target, in one aggregate."""
-    stats = df.agg(
-        *[F.struct(F.lit(c).alias("column"), F.nanvl(F.corr(target, c), F.lit(None).cast("double")).alias("corr")).alias(f"c_{i}") for i, c in enumerate(columns)]
-    )
+    """Correlation of every column with the target, in one aggregate."""
+    stats = df.agg(*[F.struct(F.lit(c).alias("column"), pearson(target, c).alias("corr")).alias(f"c_{i}") for i, c in enumerate(columns)])
     return stats.select(F.inline(F.array(*[F.col(f"c_{i}") for i in range(len(columns))])))
 
 
@@ -94,8 +101,3 @@ def importance_share(importance: DataFrame, alarm: float = 0.7) -> DataFrame:
     return shares.select("group", "n_features", "importance", share.alias("share"), (share > alarm).alias("dominates")).orderBy(
         F.desc("share"), "group"
     )
-
-
-def numeric_like(df: DataFrame, columns: Sequence[str]) -> list[str]:
-    """The listed columns that hold numbers."""
-    return [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from filmlens.operators.relational import all_present, is_blank
 
@@ -133,7 +132,3 @@ def binned_means(df: DataFrame, bin_column: str, means: dict[str, str], order: s
         .agg(*[F.avg(c).alias(name) for name, c in means.items()], F.count(F.lit(1)).alias("count"))
         .orderBy(F.desc(order), bin_column)
     )
-
-
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

@@ -39,10 +39,11 @@ from filmlens.sources.staging import materialize
 
 @dataclass(frozen=True)
 class FeatureFrame:
-    """Both sides of the split with features, and what was fitted on the training side."""
+    """Both sides of the split, and what was fitted on the training side."""
 
-    train: DataFrame
-    test: DataFrame
+    variant: Variant
+    train_rows: DataFrame
+    test_rows: DataFrame
     encodings: dict[str, Encoding]
     top_genres: TopCategories
     limits: Mapping[str, float]
@@ -51,6 +52,21 @@ class FeatureFrame:
         """The row features that need no fit."""
         return derive_temporal(df, **self.limits)
 
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Encode the categories, reduce the genres and derive the row features."""
+        for encoding in self.encodings.values():
+            df = encode_apply(df, encoding, [self.variant.key])
+        df = self.temporal(top_categories_apply(df, self.top_genres))
+        return derive_popularity(df) if self.variant.popularity else df
+
+    @property
+    def train(self) -> DataFrame:
+        return self.apply(self.train_rows)
+
+    @property
+    def test(self) -> DataFrame:
+        return self.apply(self.test_rows)
+
 
 def split_table(
     df: DataFrame, keys: list[str], name: str, train_percent: int = 80, seed: int = 42, spread: list[str] | None = None
@@ -63,10 +79,10 @@ def split_table(
     return drawn.filter(F.col("draw") < train_percent).drop("draw"), drawn.filter(F.col("draw") >= train_percent).drop("draw")
 
 
-def feature_frame(train: DataFrame, test: DataFrame, variant: Variant, **temporal: float) -> FeatureFrame:
-    """Encode the categories, reduce the genres and derive the row features.
+def feature_frame(train: DataFrame, test: DataFrame, variant: Variant, **limits: float) -> FeatureFrame:
+    """Fit the encoders and the genre list on the training rows.
 
-    ``temporal`` passes other year and duration limits to ``derive_temporal``.
+    ``limits`` passes other year and duration limits to ``derive_temporal``.
     Every fit reads the raw training rows, so its plan stays flat however many
     encoders are chained.
     """
@@ -75,15 +91,7 @@ def feature_frame(train: DataFrame, test: DataFrame, variant: Variant, **tempora
         for c in variant.categories
     }
     top = top_categories_fit(train, variant.genre, variant.top_genres)
-    spread = [variant.key]
-
-    def apply(df: DataFrame) -> DataFrame:
-        for encoding in encodings.values():
-            df = encode_apply(df, encoding, spread)
-        df = derive_temporal(top_categories_apply(df, top), **temporal)
-        return derive_popularity(df) if variant.popularity else df
-
-    return FeatureFrame(apply(train), apply(test), encodings, top, temporal)
+    return FeatureFrame(variant, train, test, encodings, top, limits)
 
 
 def text_stages(text: str, width: int = 100) -> list:
@@ -122,25 +130,30 @@ class FeatureTables:
     test: DataFrame
 
 
-def fit_features(train_rows: DataFrame, frame: FeatureFrame, variant: Variant) -> FeatureTables:
+def fit_features(frame: FeatureFrame) -> FeatureTables:
     """Fit every feature stage on the least input it needs; all regressors share the result.
 
     The term weights need only the text and the duration index only the
-    duration class, so those fits do not run the encoder joins. The assembled
-    vectors are written once; the scaler is fitted on that table and applied
-    as it is read.
+    duration class, so those fits do not run the encoder joins. Each text
+    becomes its short vector before those joins, so no raw text travels
+    through their shuffles. The assembled vectors are written once; the scaler
+    is fitted on that table and applied as it is read.
     """
+    variant = frame.variant
     tokenizer, remover, hashing, idf, hasher, indexer, assembler, scaler = feature_stages(variant).getStages()
-    text = Pipeline(stages=[tokenizer, remover, hashing, idf]).fit(train_rows.select(variant.text))
-    classes = frame.temporal(train_rows).select(variant.indexed)
-    assembly = PipelineModel([*text.stages, hasher, indexer.fit(classes), assembler])
-    keep = [variant.key, variant.target, "features"]
-    train, test = (
-        materialize(assembly.transform(side).select(*keep), name, [variant.key])
-        for side, name in ((frame.train, "train"), (frame.test, "test"))
-    )
+    text = Pipeline(stages=[tokenizer, remover, hashing, idf]).fit(frame.train_rows.select(variant.text))
+    classes = frame.temporal(frame.train_rows).select(variant.indexed)
+    assembly = PipelineModel([hasher, indexer.fit(classes), assembler])
+
+    def assemble(rows: DataFrame, name: str) -> DataFrame:
+        weighed = text.transform(rows).drop(variant.text, "desc_words", "desc_filtered", "desc_tf")
+        assembled = assembly.transform(frame.apply(weighed))
+        return materialize(assembled.select(variant.key, variant.target, "features"), name, [variant.key])
+
+    train, test = assemble(frame.train_rows, "train"), assemble(frame.test_rows, "test")
     scaling = scaler.fit(train)
-    return FeatureTables(PipelineModel([*assembly.stages, scaling]), scaling.transform(train), scaling.transform(test))
+    stages = PipelineModel([*text.stages, *assembly.stages, scaling])
+    return FeatureTables(stages, scaling.transform(train), scaling.transform(test))
 
 
 def feature_index_map(spark: SparkSession, variant: Variant) -> DataFrame:

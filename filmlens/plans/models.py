@@ -103,7 +103,7 @@ def prepare(df: DataFrame, variant: Variant, year: str = "year", **temporal: flo
         wanted += ["votes", "reviews_from_users", "reviews_from_critics"]
     train_rows, test_rows = split_table(clean_required(df, variant.required, year).select(*wanted), [variant.key], "clean")
     frame = feature_frame(train_rows, test_rows, variant, **temporal)
-    return frame, fit_features(train_rows, frame, variant)
+    return frame, fit_features(frame)
 
 
 def train_variant(

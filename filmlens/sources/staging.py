@@ -45,7 +45,8 @@ def materialize(df: DataFrame, name: str, spread: list[str] | None = None) -> Da
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    if spread and len(df.inputFiles()) <= spark.sparkContext.defaultParallelism // 2:
+    # Counted on the JVM side: a large table has too many file names to list here.
+    if spread and len(df._jdf.inputFiles()) <= spark.sparkContext.defaultParallelism // 2:
         df = df.repartition(*spread)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
