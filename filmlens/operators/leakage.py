@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmlens.functions.bands import correlation_band, encoding_band
+from filmlens.operators.cleaning import require
 
 
 def pearson(x: str, y: str) -> Column:
@@ -70,7 +71,7 @@ def encoding_target_corr(df: DataFrame, column: str, target: str) -> DataFrame:
     total sum of squares. It follows from one row per category; the means are
     never joined back to the rows.
     """
-    present = df.select(F.col(column).alias("category"), F.col(target).cast("double").alias("target")).na.drop()
+    present = require(df.select(F.col(column).alias("category"), F.col(target).cast("double").alias("target")), ["category", "target"])
     per_category = present.groupBy("category").agg(
         F.count(F.lit(1)).cast("double").alias("n"),
         F.avg("target").alias("mean"),

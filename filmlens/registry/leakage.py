@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from filmlens.operators import leakage as L
-from filmlens.operators.cleaning import clean_year
+from filmlens.operators.cleaning import clean_year, require
 from filmlens.registry.core import query
 from filmlens.registry.tables import PARTS_FILM_SQL, parts_film, rounded, table
 
@@ -19,7 +19,7 @@ _FLAG_SQL = """abs(corr) > 0.5 AND ("column" LIKE '%vote%' OR "column" LIKE '%re
 
 def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
     parsed = clean_year(parts_film(spark, sf), dtype="double")
-    return parsed.na.drop(subset=["total_votes", *_COLUMNS])
+    return require(parsed, ["total_votes", *_COLUMNS])
 
 
 @query(
