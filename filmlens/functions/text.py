@@ -20,17 +20,17 @@ def content_tokens(text: str, min_length: int = 3) -> Column:
     return F.filter(tokens(text, min_length), lambda word: ~word.isin(ENGLISH))
 
 
-def term_counts(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Occurrences of each content token per document.
+def term_counts(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """Occurrences of each content token per document, with the document's columns ``keys``.
 
     The texts are placed by document before they are cut up, so the counts per
     document and term need no shuffle of the far more numerous tokens.
     """
     return (
-        docs.select(key, text)
-        .repartition(key)
-        .select(key, F.explode(content_tokens(text)).alias("term"))
-        .groupBy(key, "term")
+        docs.select(*keys, text)
+        .repartition(keys[0])
+        .select(*keys, F.explode(content_tokens(text)).alias("term"))
+        .groupBy(*keys, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
 
@@ -39,14 +39,15 @@ def term_tfidf(docs: DataFrame, key: str, text: str, is_train: Column) -> DataFr
     """``tf * ln((m + 1) / (df + 1))`` per document and term.
 
     ``m`` and the document frequencies come from the documents for which
-    ``is_train``, a condition on the key, holds; a term they do not contain
-    has frequency zero. The texts are cut up once: the counts are written and
-    serve both the frequencies and the weights. The frequencies tell which
-    terms are common, and the lookup keeps those out of its shuffle.
+    ``is_train`` holds; a term they do not contain has frequency zero. The
+    texts are cut up once: the counts are written and serve both the
+    frequencies and the weights. The frequencies tell which terms are common,
+    and the lookup keeps those out of its shuffle.
     """
-    m = docs.filter(is_train).count()
-    counts = materialize(term_counts(docs, key, text), "term-counts")
-    frequency = counts.filter(is_train).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    marked = docs.withColumn("is_train", is_train)
+    m = marked.filter("is_train").count()
+    counts = materialize(term_counts(marked, [key, "is_train"], text), "term-counts")
+    frequency = counts.filter("is_train").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     lookup, _ = build_lookup(frequency, "term", "df", "df", "document-frequency")
     weighed = lookup_join(counts, "term", lookup, "df", spread=[key, "term"])
     df = F.coalesce("df", F.lit(0))

@@ -46,7 +46,8 @@ def differences(spark_df, con, sql) -> list[str]:
     theirs = _sorted_rows(con.sql("SELECT " + ", ".join(f'"{n}"' for n in names) + f" FROM ({sql})").fetchall())
     if len(ours) != len(theirs):
         return found + [f"rows {len(ours)} vs {len(theirs)}"]
-    wrong = [(a, b) for a, b in zip(ours, theirs) if a != b]
+    # By text, so that types and the sign of zero count too.
+    wrong = [(a, b) for a, b in zip(ours, theirs) if repr(a) != repr(b)]
     if wrong:
         found.append(f"{len(wrong)} of {len(ours)} rows differ, first {str(wrong[0])[:400]}")
     if not ours:
