@@ -62,12 +62,12 @@ def project_rename(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "project_model_columns",
     f"""SELECT title_id, title, "year", genre, duration, director, writer, production_company, actors, description,
-               round(avg_vote, 6) AS label, votes, reviews_from_users, reviews_from_critics FROM ({PARTS_FILM_SQL})""",
+               round(total_votes, 2) AS label, votes, reviews_from_users, reviews_from_critics FROM ({PARTS_FILM_SQL})""",
 )
 def project_model_columns(spark: SparkSession, sf: str) -> DataFrame:
     return parts_film(spark, sf).select(
         "title_id", "title", "year", "genre", "duration", "director", "writer", "production_company", "actors",
-        "description", rounded("avg_vote").alias("label"), "votes", "reviews_from_users", "reviews_from_critics",
+        "description", rounded("total_votes", 2).alias("label"), "votes", "reviews_from_users", "reviews_from_critics",
     )
 
 
@@ -276,7 +276,7 @@ def head_n(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("sample_fraction")
 def sample_fraction(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select(*_PRICED).sample(0.1, seed=42)
+    return table(spark, sf, "orders").select(*_PRICED).sample(fraction=0.1, seed=42)
 
 
 @query("sample_hash", f"SELECT o_orderkey, o_totalprice FROM orders WHERE {draw_sql('o_orderkey')} < 10")
