@@ -1,6 +1,7 @@
 """The whole jobs on the film files: exploration, validation, diagnosis.
 
-Each returns its results as named DataFrames; nothing runs until one is used.
+Each returns its results as named DataFrames. What several of them read (the
+join, the cleaned columns) is written once to the staging folder first.
 Predictions come from ``plans.models.train_variant`` on the joined files.
 """
 
@@ -14,6 +15,7 @@ from filmlens.operators import cleaning as C
 from filmlens.operators import leakage as L
 from filmlens.operators import profiling as P
 from filmlens.operators.relational import all_present, is_blank, join_loss
+from filmlens.sources.staging import materialize
 
 # The columns each job looks at.
 MODEL_COLUMNS = (
@@ -30,7 +32,7 @@ SUSPECT_COLUMNS = ("votes", "reviews_from_users", "reviews_from_critics", "durat
 
 def exploration(movies: DataFrame, ratings: DataFrame, key: str = "title_id") -> dict[str, DataFrame]:
     """Sizes, columns, nulls, statistics, distinct values, top years and completeness."""
-    full = movies.join(ratings, key, "left")
+    full = materialize(movies.join(ratings, key, "left"), "joined")
     found = {}
     for name, df in (("movies", movies), ("ratings", ratings), ("joined", full)):
         found[f"{name}_dimensions"] = P.dimensions(df)
@@ -49,7 +51,7 @@ def exploration(movies: DataFrame, ratings: DataFrame, key: str = "title_id") ->
 
 def validation(full: DataFrame, key: str = "title_id") -> dict[str, DataFrame]:
     """Whether the joined files can train a model, and what cleaning costs."""
-    selected = full.select(key, *MODEL_COLUMNS, F.col("avg_vote").alias("label"))
+    selected = materialize(full.select(key, *MODEL_COLUMNS, F.col("avg_vote").alias("label")), "selected")
     parsed = C.clean_year(selected, mode="strict").drop("year")
     keep = all_present(parsed, CRITICAL_COLUMNS)
     for column in CRITICAL_TEXTS:
@@ -68,12 +70,13 @@ def validation(full: DataFrame, key: str = "title_id") -> dict[str, DataFrame]:
 
 def diagnosis(joined: DataFrame, target: str = "avg_vote") -> dict[str, DataFrame]:
     """Where the target shows among the predictors."""
-    df = C.require(C.clean_year(joined, dtype="double"), [target, *SUSPECT_COLUMNS])
-    corrs = L.correlations(df, target, SUSPECT_COLUMNS)
+    cleaned = C.require(C.clean_year(joined, dtype="double"), [target, *SUSPECT_COLUMNS])
+    df = materialize(cleaned.select(target, *SUSPECT_COLUMNS), "diagnosis")
+    corrs = materialize(L.target_correlations(df, target, SUSPECT_COLUMNS), "correlations")
     binned = df.withColumn("rating_bin", rating_bin(F.col(target)))
     reviews = {"avg_user_reviews": "reviews_from_users", "avg_critic_reviews": "reviews_from_critics"}
     return {
-        "correlations": L.target_correlations(df, target, SUSPECT_COLUMNS),
+        "correlations": corrs.orderBy(F.desc("corr"), "column"),
         "votes_by_rating": P.binned_means(binned, "rating_bin", {"avg_votes": "votes"}, "avg_votes"),
         "reviews_by_rating": P.binned_means(binned, "rating_bin", reviews, "avg_user_reviews"),
         "ranking": L.leakage_ranking(corrs),

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from filmlens.operators.cleaning import clean_required
 from filmlens.plans.features import FeatureFrame, FeatureTables, feature_frame, fit_features, split_table
 from filmlens.plans.variants import Variant
+from filmlens.sources.staging import materialize
 
 # Ensemble weights.
 ENSEMBLE_WEIGHTS = {"ridge": 0.2, "forest": 0.3, "gbt": 0.5}
@@ -114,8 +115,13 @@ def train_variant(
     sizes: Mapping[str, int] | None = None,
     **temporal: float,
 ) -> TrainedVariant:
-    """Run a variant from raw rows to scored test rows."""
+    """Run a variant from raw rows to scored test rows.
+
+    The predictions are written once, without the vectors: metrics, worst
+    errors and saved predictions all read that narrow table.
+    """
     frame, tables = prepare(df, variant, year, **temporal)
     models = fit_models(tables.train, variant.target, names, **(sizes or {}))
     weights = ENSEMBLE_WEIGHTS if variant.ensemble and set(ENSEMBLE_WEIGHTS) <= set(models) else None
-    return TrainedVariant(variant, frame, tables, models, score_all(models, tables.test, weights))
+    scored = score_all(models, tables.test, weights).drop("features", "scaled_features")
+    return TrainedVariant(variant, frame, tables, models, materialize(scored, "scored"))
