@@ -66,3 +66,32 @@ def test_materialize_uses_the_named_folder(spark):
     written = materialize(spark.range(10), "ten")
     assert written.count() == 10
     assert all(staging_root(spark) in f for f in written.inputFiles())
+
+
+def test_materialize_shuffles_only_narrow_inputs(spark, tmp_path):
+    def stored(files):
+        path = str(tmp_path / f"in{files}")
+        spark.range(0, 1000, 1, files).write.parquet(path)
+        return spark.read.parquet(path)
+
+    many = stored(16)
+    assert len(materialize(many, "wide", ["id"]).inputFiles()) == many.rdd.getNumPartitions() > 1
+    assert sorted(r.id for r in materialize(stored(1), "narrow", ["id"]).collect()) == list(range(1000))
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    import pytest
+
+    class Context:
+        master = "spark://somewhere"
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(ValueError):
+        staging_root(Session())
