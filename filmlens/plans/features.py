@@ -73,9 +73,11 @@ def split_table(
 ) -> tuple[DataFrame, DataFrame]:
     """Write ``df`` once with each row's draw and return its training and test rows.
 
-    Every later read filters on the stored draw instead of hashing the keys again.
+    Every later read filters on the stored draw instead of hashing the keys
+    again. Few input files are spread by ``spread``, the keys by default; an
+    empty list leaves them.
     """
-    drawn = materialize(df.withColumn("draw", hash_percent(keys, seed)), name, spread or keys)
+    drawn = materialize(df.withColumn("draw", hash_percent(keys, seed)), name, keys if spread is None else spread)
     return drawn.filter(F.col("draw") < train_percent).drop("draw"), drawn.filter(F.col("draw") >= train_percent).drop("draw")
 
 
@@ -104,6 +106,16 @@ def text_stages(text: str, width: int = 100) -> list:
     ]
 
 
+def hash_text(df: DataFrame, text: str, width: int = 100) -> DataFrame:
+    """Replace the text column by its hashed term counts, ``desc_tf``.
+
+    The three stages before the weights have no state, so a text is cut up
+    once, before anything is fitted, and need not be stored or moved again.
+    """
+    tokenizer, remover, hashing, _ = text_stages(text, width)
+    return PipelineModel([tokenizer, remover, hashing]).transform(df).drop(text, "desc_words", "desc_filtered")
+
+
 def feature_stages(variant: Variant) -> Pipeline:
     """The eight feature stages; rows with a missing input are skipped by the assembler."""
     return Pipeline(
@@ -133,26 +145,24 @@ class FeatureTables:
 def fit_features(frame: FeatureFrame) -> FeatureTables:
     """Fit every feature stage on the least input it needs; all regressors share the result.
 
-    The term weights need only the text and the duration index only the
-    duration class, so those fits do not run the encoder joins. Each text
-    becomes its short vector before those joins, so no raw text travels
-    through their shuffles. The assembled vectors are written once; the scaler
-    is fitted on that table and applied as it is read.
+    The rows of ``frame`` carry hashed term counts in place of the text (see
+    :func:`hash_text`). The term weights need only those counts and the
+    duration index only the duration class, so these fits do not run the
+    encoder joins. The assembled vectors are written once; the scaler is
+    fitted on that table and applied as it is read.
     """
     variant = frame.variant
     tokenizer, remover, hashing, idf, hasher, indexer, assembler, scaler = feature_stages(variant).getStages()
-    text = Pipeline(stages=[tokenizer, remover, hashing, idf]).fit(frame.train_rows.select(variant.text))
-    classes = frame.temporal(frame.train_rows).select(variant.indexed)
-    assembly = PipelineModel([hasher, indexer.fit(classes), assembler])
+    weights = idf.fit(frame.train_rows.select("desc_tf"))
+    index = indexer.fit(frame.temporal(frame.train_rows).select(variant.indexed))
+    assembly = PipelineModel([weights, hasher, index, assembler])
 
-    def assemble(rows: DataFrame, name: str) -> DataFrame:
-        weighed = text.transform(rows).drop(variant.text, "desc_words", "desc_filtered", "desc_tf")
-        assembled = assembly.transform(frame.apply(weighed))
-        return materialize(assembled.select(variant.key, variant.target, "features"), name, [variant.key])
+    def assemble(side: DataFrame, name: str) -> DataFrame:
+        return materialize(assembly.transform(side).select(variant.key, variant.target, "features"), name, [variant.key])
 
-    train, test = assemble(frame.train_rows, "train"), assemble(frame.test_rows, "test")
+    train, test = assemble(frame.train, "train"), assemble(frame.test, "test")
     scaling = scaler.fit(train)
-    stages = PipelineModel([*text.stages, *assembly.stages, scaling])
+    stages = PipelineModel([tokenizer, remover, hashing, *assembly.stages, scaling])
     return FeatureTables(stages, scaling.transform(train), scaling.transform(test))
 
 

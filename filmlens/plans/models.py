@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmlens.operators.cleaning import clean_required
-from filmlens.plans.features import FeatureFrame, FeatureTables, feature_frame, fit_features, split_table
+from filmlens.plans.features import FeatureFrame, FeatureTables, feature_frame, fit_features, hash_text, split_table
 from filmlens.plans.variants import Variant
-from filmlens.sources.staging import materialize
+from filmlens.sources.staging import materialize, widen
 
 # Ensemble weights.
 ENSEMBLE_WEIGHTS = {"ridge": 0.2, "forest": 0.3, "gbt": 0.5}
@@ -95,14 +95,16 @@ class TrainedVariant:
 def prepare(df: DataFrame, variant: Variant, year: str = "year", **temporal: float) -> tuple[FeatureFrame, FeatureTables]:
     """Clean, split, engineer and assemble.
 
-    The cleaned rows are written to the staging folder: the encoders and the
-    feature stages all read them again, and a lost executor must not bring
-    back the joins behind them.
+    The cleaned rows are written to the staging folder, with the hashed terms
+    in place of the text: the encoders and the feature stages all read them
+    again, and a lost executor must not bring back the joins behind them.
     """
     wanted = [variant.key, variant.text, variant.genre, *variant.categories, "duration", variant.target, "year_clean"]
     if variant.popularity:
         wanted += ["votes", "reviews_from_users", "reviews_from_critics"]
-    train_rows, test_rows = split_table(clean_required(df, variant.required, year).select(*wanted), [variant.key], "clean")
+    clean = widen(clean_required(df, variant.required, year).select(*wanted), [variant.key])
+    hashed = hash_text(clean, variant.text, variant.text_width)
+    train_rows, test_rows = split_table(hashed, [variant.key], "clean", spread=[])
     frame = feature_frame(train_rows, test_rows, variant, **temporal)
     return frame, fit_features(frame)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import FeatureHasher, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IDF, FeatureHasher, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +12,10 @@ from filmlens.functions.derive import duration_category
 from filmlens.functions.stopwords import ENGLISH
 from filmlens.functions.text import content_tokens, term_tfidf, tokens
 from filmlens.operators.relational import hash_percent, split_by_key
-from filmlens.plans.features import text_stages, vector_entries
+from filmlens.plans.features import hash_text, vector_entries
 from filmlens.registry.core import query
 from filmlens.registry.tables import draw_sql, labelled_documents, rounded, table
+from filmlens.sources.staging import materialize, widen
 
 _STOP_SQL = ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH)
 _TOKENS_SQL = r"list_filter(regexp_split_to_array(lower(text), '\W+'), lambda w: length(w) >= 3)"
@@ -52,18 +53,21 @@ def term_tfidf_query(spark: SparkSession, sf: str) -> DataFrame:
     return term_tfidf(docs, "doc_id", "text", hash_percent(["doc_id"]) < 80).withColumn("tfidf", rounded("tfidf"))
 
 
+def _hashed_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return hash_text(widen(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"]), "text")
+
+
 @query("hashing_tf")
 def hashing_tf(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    hashed = Pipeline(stages=text_stages("text")[:3]).fit(docs).transform(docs)
-    return vector_entries(hashed, "doc_id", "desc_tf", "tf")
+    return vector_entries(_hashed_documents(spark, sf), "doc_id", "desc_tf", "tf")
 
 
 @query("hashed_tfidf")
 def hashed_tfidf(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    train, _ = split_by_key(docs, ["doc_id"])
-    return vector_entries(Pipeline(stages=text_stages("text")).fit(train).transform(docs), "doc_id", "description_features", "tfidf")
+    hashed = materialize(_hashed_documents(spark, sf), "hashed-documents")
+    train, _ = split_by_key(hashed, ["doc_id"])
+    weights = IDF(inputCol="desc_tf", outputCol="tfidf_vector").fit(train)
+    return vector_entries(weights.transform(hashed), "doc_id", "tfidf_vector", "tfidf")
 
 
 @query("feature_hasher")

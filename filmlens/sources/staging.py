@@ -34,19 +34,25 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/filmlens/{name}-{uuid.uuid4().hex}"
 
 
+def widen(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Hash rows by ``columns`` if they come from far fewer files than there are cores.
+
+    One small file would otherwise keep all its later work on one task.
+    Adaptive execution sizes the result. Inputs of the size of the cluster
+    have more files and are left as they are, without a shuffle.
+    """
+    # Counted on the JVM side: a large table has too many file names to list here.
+    if len(df._jdf.inputFiles()) <= df.sparkSession.sparkContext.defaultParallelism // 2:
+        return df.repartition(*columns)
+    return df
+
+
 def materialize(df: DataFrame, name: str, spread: list[str] | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the staging folder and read it back.
 
-    With ``spread``, rows that come from far fewer files than there are cores
-    are first hashed by those columns: one small file would otherwise keep
-    this and all later stages on one task. Adaptive execution sizes the
-    result. Inputs of the size of the cluster have more files and are written
-    as they come, without a shuffle.
+    With ``spread``, rows from few files are first spread by those columns.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    # Counted on the JVM side: a large table has too many file names to list here.
-    if spread and len(df._jdf.inputFiles()) <= spark.sparkContext.defaultParallelism // 2:
-        df = df.repartition(*spread)
-    df.write.parquet(path)
+    (widen(df, spread) if spread else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from filmlens.functions.stopwords import ENGLISH
 from filmlens.functions.text import content_tokens, term_tfidf
 from filmlens.operators.leakage import importance_share
-from filmlens.operators.relational import hash_percent
+from filmlens.operators.cleaning import clean_required
+from filmlens.operators.relational import hash_percent, split_by_key
 from filmlens.plans import evaluation as V
 from filmlens.plans.features import feature_index_map, feature_stages, feature_summary, text_stages
 from filmlens.plans.models import ENSEMBLE_WEIGHTS, fit_models, train_variant
@@ -116,12 +117,15 @@ def test_scaled_features_have_unit_deviation(trained):
     assert np.allclose(deviation[deviation > 0], 1.0)
 
 
-def test_stages_fitted_apart_equal_the_whole(trained):
+def test_stages_fitted_apart_equal_the_whole(films, trained):
     run = trained["intrinsic_target"]
-    whole = feature_stages(INTRINSIC_TARGET).fit(run.frame.train).transform(run.frame.train)
+    train = run.frame.apply(split_by_key(clean_required(films, INTRINSIC_TARGET.required), ["title_id"])[0])
+    whole = feature_stages(INTRINSIC_TARGET).fit(train).transform(train)
+    assert {r.title_id for r in whole.collect()} == {r.title_id for r in run.tables.train.collect()}
     ours = {r.title_id: r.v for r in run.tables.train.select("title_id", vector_to_array("scaled_features").alias("v")).collect()}
-    for r in whole.select("title_id", vector_to_array("scaled_features").alias("v")).collect():
-        assert ours[r.title_id] == pytest.approx(r.v)
+    for same in (whole, run.tables.stages.transform(train)):
+        for r in same.select("title_id", vector_to_array("scaled_features").alias("v")).collect():
+            assert ours[r.title_id] == pytest.approx(r.v)
 
 
 def test_ensemble_is_the_weighted_sum(trained):
