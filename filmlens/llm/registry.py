@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filmlens.llm import mixing, quality
+from filmlens.llm import mixing, pii, quality
 
-_MODULES = (quality, mixing)
+_MODULES = (quality, mixing, pii)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
