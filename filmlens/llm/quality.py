@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filmlens.llm.common import WORD, let, table, words
+from filmlens.sources.staging import materialize
 
 SAMPLE_ROWS = 2000
 """Rows on which costs and selectivities are estimated; they set the order of rules only."""
@@ -134,13 +135,12 @@ def with_features(docs: DataFrame, text_column: str = "text", keep: Sequence[str
 
 
 def estimate(docs: DataFrame, rules: Sequence[Rule], text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Cost and selectivity of each rule on a bounded sample, best rank first.
+    """Cost and selectivity of each rule on a random sample of about ``sample_rows``, best rank first.
 
     Each rule is timed alone, so that only the features it reads are computed.
     """
-    from filmlens.sources.staging import materialize
-
-    sample = materialize(docs.select(F.col(f"`{text_column}`").alias("text")).limit(sample_rows), "rule-sample")
+    share = min(1.0, sample_rows / max(docs.count(), 1))
+    sample = materialize(docs.select(F.col(f"`{text_column}`").alias("text")).sample(share, seed=1), "rule-sample")
     n = max(sample.count(), 1)
     measured = []
     for rule in rules:

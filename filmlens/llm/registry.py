@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filmlens.llm import mixing, pii, quality
+from filmlens.llm import mixing, near_dup, pii, quality
 
-_MODULES = (quality, mixing, pii)
+_MODULES = (quality, mixing, near_dup, pii)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
