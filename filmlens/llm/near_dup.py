@@ -11,12 +11,14 @@
 3. Sketches are cut into 32 bands of 4; classes that share a band meet in a
    bucket. At similarity 0.75 all bands differ with probability 5e-6.
 4. In a bucket, classes are compared with a few centres, not with each other.
-   What is linked to a centre is settled. Centres are done after their round;
-   rounds go on until all that is left in a bucket is one component, so no
-   bucket emits all its pairs, and none is cut. Buckets of up to 24 open
-   classes are finished by pairs.
-5. Pairs whose sketches agree in fewer than half the coordinates are dropped
-   (at similarity 0.75, less than 1e-8 of the pairs); all others are confirmed
+   What links to one component is settled: later rounds only take centres from
+   outside the bucket's largest component, four times as many each round, and
+   compare them with what is not in their own component. A bucket is finished
+   when nothing outside its largest component is left that has not met the
+   whole bucket. So no link is lost, groups of copies are settled by a few
+   centres, and the number of rounds is the logarithm of what is left.
+5. Pairs whose sketches agree in fewer than 70 coordinates are dropped (at
+   similarity 0.75, about 2e-7 of the pairs); all others are confirmed
    on the full sets. A centre's set is sent once per block of members.
 6. Components by least labels over the confirmed links, in tables.
 """
@@ -40,10 +42,9 @@ PERCENT = 75
 BINS = 128
 BANDS = 32
 ROWS = BINS // BANDS
-MIN_EQUAL = BINS // 2
-PAIRED = 24
-"""A bucket with this many open classes, or fewer, is finished by its pairs."""
+MIN_EQUAL = 70
 CENTRES = 4
+"""Centres of a bucket in the first round; each further round takes four times as many."""
 BLOCK = 256
 """Members that are compared with one copy of a centre's set."""
 
@@ -169,20 +170,20 @@ def components(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     links of one node never meet in one task: minima are partial aggregates and
     the joins are plain ones, which adaptive execution splits.
     """
+    def state(edges: DataFrame) -> tuple:
+        return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+
     edges = materialize(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct(), "links")
-    while True:
+    before, now = None, state(edges)
+    while now != before:
         both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialize(large.filter("a <> b").distinct(), "links")
-        small_least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(small_least, "a")
+        large = materialize(large.distinct(), "links")
+        small = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
-        small = materialize(small.filter("a <> b").distinct(), "links")
-        same = small.count() == edges.count() and small.join(edges, ["a", "b"], "left_anti").isEmpty()
-        edges = small
-        if same:
-            break
+        edges = materialize(small.filter("a <> b").distinct(), "links")
+        before, now = now, state(edges)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
@@ -205,14 +206,15 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _open_buckets(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of the buckets that still hold more than one component: bucket, class, label, n."""
+    """Members of the unfinished buckets: bucket, class, done, label, ``outside`` (not of the largest component), n (open and outside)."""
     if labels is None:
         labelled = members.withColumn("label", F.col("class"))
     else:
         labelled = members.join(labels, F.col("class") == F.col("node"), "left").select("bucket", "class", "done", F.coalesce("label", "class").alias("label"))
-    state = labelled.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.count_if(~F.col("done")).alias("n"))
-    # With at most one class left open, every pair of the bucket has been looked at.
-    return labelled.join(state.filter("l0 <> l1 AND n > 0").select("bucket", "n"), "bucket")
+    parts = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"), F.count_if(~F.col("done")).alias("open"))
+    largest = parts.groupBy("bucket").agg(F.max(F.struct("size", "label", "open")).alias("main"), F.sum("open").alias("open"))
+    state = largest.select("bucket", F.col("main.label").alias("main"), (F.col("open") - F.col("main.open")).alias("n")).filter("n > 0")
+    return labelled.join(state, "bucket").select("bucket", "class", "done", "label", (F.col("label") != F.col("main")).alias("outside"), "n")
 
 
 def links(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -236,39 +238,30 @@ def links(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     labels: DataFrame | None = None
     tried: DataFrame | None = None
-    found: DataFrame | None = None
+    wanted = CENTRES
     while True:
         live = materialize(_open_buckets(members, labels), "open-buckets")
         if live.isEmpty():
             break
-        waiting = live.filter("NOT done")
-        few = waiting.filter(F.col("n") <= PAIRED)
-        # Open classes against each other; a class that is done has met all others of its bucket.
-        twins = few.select("bucket", F.col("class").alias("c2"), F.col("label").alias("l2"))
-        by_pairs = few.join(twins, "bucket").filter("class < c2 AND label <> l2").select(F.col("class").alias("a"), F.col("c2").alias("b"))
-        many = waiting.filter(F.col("n") > PAIRED)
-        spread = F.pmod(F.xxhash64("class", "bucket"), F.lit(CENTRES))
-        centres = materialize(many.groupBy("bucket", spread.alias("part")).agg(F.min("class").alias("a")).select("bucket", "a"), "centres")
-        by_centre = many.join(centres, "bucket").filter("class <> a").select("a", F.col("class").alias("b"), "label")
-        if labels is not None:
-            of_centre = labels.select(F.col("node").alias("a"), F.col("label").alias("centre_label"))
-            by_centre = by_centre.join(of_centre, "a", "left").filter(F.coalesce("centre_label", "a") != F.col("label"))
-        pairs = by_pairs.union(by_centre.select("a", "b")).distinct()
+        # All that is left as centres where it is little, else one of each of so many parts.
+        able = live.filter("outside AND NOT done")
+        part = F.when(F.col("n") <= wanted, F.xxhash64("class")).otherwise(F.pmod(F.xxhash64("class", "bucket"), F.lit(wanted)))
+        chosen = able.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("class", "label")).alias("c"))
+        centres = materialize(chosen.select("bucket", F.col("c.class").alias("a"), F.col("c.label").alias("centre_label")), "centres")
+        met_by = live.join(centres, "bucket").filter("label <> centre_label")
+        pairs = met_by.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        confirmed = materialize(_confirm(_similar_sketches(pairs, classes), sets), "confirmed")
-        found = confirmed if found is None else found.union(confirmed)
-        labels = components(found)
-        # Done: all classes of the small buckets, and the centres of the large ones.
+        confirmed = _confirm(_similar_sketches(pairs, classes), sets)
+        labels = components(confirmed if labels is None else confirmed.union(labels))
         spent = centres.select("bucket", F.col("a").alias("class"), F.lit(True).alias("spent"))
         members = materialize(
-            live.join(spent, ["bucket", "class"], "left").select(
-                "bucket", "class", (F.col("done") | (F.col("n") <= PAIRED) | F.coalesce("spent", F.lit(False))).alias("done")
-            ),
+            live.join(spent, ["bucket", "class"], "left").select("bucket", "class", (F.col("done") | F.coalesce("spent", F.lit(False))).alias("done")),
             "bucket-members",
         )
+        wanted *= 4
     if labels is None:
         labels = spark.createDataFrame([], "node binary, label binary")
     return labels, classes

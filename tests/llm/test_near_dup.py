@@ -65,7 +65,7 @@ def test_families_on_the_edge_of_the_threshold(spark):
 
 
 def test_large_bucket(spark, monkeypatch):
-    monkeypatch.setattr(near_dup, "PAIRED", 4)
+    monkeypatch.setattr(near_dup, "CENTRES", 2)
     monkeypatch.setattr(near_dup, "BLOCK", 5)
     rows = list(enumerate(family(3, 80, words=90, edits=2) + family(4, 60, words=40, edits=3)))
     assert found(spark, rows) == brute(rows)
@@ -87,7 +87,7 @@ def test_chain_of_components(spark):
 
 
 def test_filter(spark):
-    rows = [(i, t, i) for i, t in enumerate(family(8, 5, edits=1) + ["short text", None, ""])]
+    rows = [(i, t, i) for i, t in enumerate(family(8, 5, words=120, edits=1) + ["short text", None, ""])]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, component_id int")
     out = near_dup.drop_near_duplicates(docs)
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [0, 5, 6, 7]
