@@ -10,16 +10,17 @@
 2. Texts with equal sets are one class; only classes go on.
 3. Sketches are cut into 32 bands of 4; classes that share a band meet in a
    bucket. At similarity 0.75 all bands differ with probability 5e-6.
-4. In a bucket, classes are compared with a few centres, not with each other.
-   What links to one component is settled: later rounds only take centres from
-   outside the bucket's largest component, four times as many each round, and
-   compare them with what is not in their own component. A bucket is finished
-   when nothing outside its largest component is left that has not met the
-   whole bucket. So no link is lost, groups of copies are settled by a few
-   centres, and the number of rounds is the logarithm of what is left.
-5. Pairs whose sketches agree in fewer than 70 coordinates are dropped (at
-   similarity 0.75, about 2e-7 of the pairs); all others are confirmed
-   on the full sets. A centre's set is sent once per block of members.
+4. In a bucket, all classes are first compared with one centre: the class that
+   shares the most bucket places over all bands, which in a group of copies is
+   the one nearest to all. Pairs whose sketches agree in fewer than 70
+   coordinates are dropped (at similarity 0.75, about 2e-7 of the pairs), the
+   others are confirmed on the full sets. A centre's set is sent once per block
+   of members.
+5. What this links to one component is settled. In buckets that still hold
+   several components, the classes outside the largest one meet the whole
+   bucket, on the full sets, in blocks of bounded size: a task holds two blocks
+   and gives back only a spanning forest of the links between them. No pairs
+   are emitted, and none is left out.
 6. Components by least labels over the confirmed links, in tables.
 """
 
@@ -43,8 +44,11 @@ BINS = 128
 BANDS = 32
 ROWS = BINS // BANDS
 MIN_EQUAL = 70
-CENTRES = 4
-"""Centres of a bucket in the first round; each further round takes four times as many."""
+PAIRED = 4
+"""A bucket of so few classes is settled by its pairs."""
+BLOCK_CLASSES = 512
+BLOCK_SHINGLES = 400_000
+"""Most classes, and about the most shingles, of one side of a block."""
 BLOCK = 256
 """Members that are compared with one copy of a centre's set."""
 
@@ -205,20 +209,97 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(keep)
 
 
-def _open_buckets(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of the unfinished buckets: bucket, class, done, label, ``outside`` (not of the largest component), n (open and outside)."""
-    if labels is None:
-        labelled = members.withColumn("label", F.col("class"))
-    else:
-        labelled = members.join(labels, F.col("class") == F.col("node"), "left").select("bucket", "class", "done", F.coalesce("label", "class").alias("label"))
-    parts = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"), F.count_if(~F.col("done")).alias("open"))
-    largest = parts.groupBy("bucket").agg(F.max(F.struct("size", "label", "open")).alias("main"), F.sum("open").alias("open"))
-    state = largest.select("bucket", F.col("main.label").alias("main"), (F.col("open") - F.col("main.open")).alias("n")).filter("n > 0")
-    return labelled.join(state, "bucket").select("bucket", "class", "done", "label", (F.col("label") != F.col("main")).alias("outside"), "n")
+def _open_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the buckets with several components: bucket, class, n_shingles, label, ``open`` (outside the largest one, and not the centre)."""
+    labelled = members.join(labels, F.col("class") == F.col("node"), "left").withColumn("label", F.coalesce("label", "class"))
+    parts = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"), F.count_if(~F.col("done")).alias("waiting"))
+    largest = parts.groupBy("bucket").agg(F.max(F.struct("size", "label", "waiting")).alias("main"), F.sum("waiting").alias("waiting"))
+    state = largest.filter(F.col("waiting") > F.col("main.waiting")).select("bucket", F.col("main.label").alias("main"))
+    return labelled.join(state, "bucket").select("bucket", "class", "n_shingles", "label", ((F.col("label") != F.col("main")) & ~F.col("done")).alias("open"))
 
 
-def links(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Classes that are linked to others (node, label by component); and the classes themselves."""
+def _block_links(live: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between the open classes and all classes of their buckets, as forests."""
+    side = lambda column, what: F.ceil(F.greatest(F.sum(what) / BLOCK_SHINGLES, F.count_if(column) / BLOCK_CLASSES)).cast("int")
+    counts = live.groupBy("bucket").agg(
+        side(F.col("open"), F.when(F.col("open"), F.col("n_shingles")).otherwise(0)).alias("na"), side(F.lit(True), F.col("n_shingles")).alias("nb")
+    )
+    dealt = live.join(counts, "bucket").withColumn("h", F.xxhash64("class", "bucket"))
+    columns = ["bucket", "a", "b", "side", "class", "label"]
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = dealt.filter("open").select("bucket", F.pmod("h", "na").cast("int").alias("a"), every("nb").alias("b"), F.lit(0).alias("side"), "class", "label")
+    right = dealt.select("bucket", every("na").alias("a"), F.pmod("h", "nb").cast("int").alias("b"), F.lit(1).alias("side"), "class", "label")
+    rows = left.select(columns).union(right.select(columns)).join(sets, "class")
+    together = rows.repartition("bucket", "a", "b").sortWithinPartitions("bucket", "a", "b", "side", "class")
+    return together.select(*columns, "members").mapInArrow(_forests, "a binary, b binary").distinct()
+
+
+def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each left with each right set."""
+    values = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in (left, right)]
+    owners = [np.repeat(np.arange(len(x)), [len(v) for v in x]) for x in (left, right)]
+    both = np.intersect1d(values[0], values[1])
+    total = np.zeros((len(left), len(right)), np.float32)
+    at = []
+    for v, o in zip(values, owners, strict=True):
+        k = np.searchsorted(both, v)
+        k[k == len(both)] = 0
+        same = both[k] == v if len(both) else np.zeros(len(v), bool)
+        at.append((o[same], k[same]))
+    for start in range(0, len(both), 4096):
+        parts = []
+        for (o, k), n in zip(at, total.shape, strict=True):
+            here = (k >= start) & (k < start + 4096)
+            part = np.zeros((n, min(4096, len(both) - start)), np.float32)
+            part[o[here], k[here] - start] = 1
+            parts.append(part)
+        total += parts[0] @ parts[1].T
+    return np.rint(total).astype(np.int64)
+
+
+def _forest(left: list, right: list) -> list[tuple[bytes, bytes]]:
+    """A spanning forest of the links between two blocks of (class, label, set)."""
+    if not left or not right:
+        return []
+    shared = _shared_counts([s for _, _, s in left], [s for _, _, s in right])
+    union = np.array([len(s) for _, _, s in left])[:, None] + np.array([len(s) for _, _, s in right]) - shared
+    apart = np.array([x for _, x, _ in left], object)[:, None] != np.array([x for _, x, _ in right], object)
+    linked = (100 * shared >= PERCENT * union) & apart.astype(bool)
+    found: list[tuple[bytes, bytes]] = []
+    fresh_left, fresh_right = linked.any(axis=1), linked.any(axis=0)
+    while fresh_left.any():
+        root = int(np.argmax(fresh_left))
+        wave = np.zeros(len(left), bool)
+        wave[root] = True
+        while wave.any():
+            fresh_left &= ~wave
+            reached = linked[wave].any(axis=0) & fresh_right
+            fresh_right &= ~reached
+            found += [(left[root][0], right[j][0]) for j in np.flatnonzero(reached)]
+            wave = linked[:, reached].any(axis=1) & fresh_left
+            found += [(left[root][0], left[i][0]) for i in np.flatnonzero(wave)]
+    return found
+
+
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one pair of blocks arrive together."""
+
+    def out(sides: tuple[list, list]) -> pa.RecordBatch:
+        pairs = _forest(*sides)
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in pairs], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    group, sides = None, ([], [])
+    for batch in batches:
+        for bucket, a, b, side, name, label, members in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+            if group != (bucket, a, b):
+                yield out(sides)
+                group, sides = (bucket, a, b), ([], [])
+            sides[side].append((name, label, np.frombuffer(members, np.uint64)))
+    yield out(sides)
+
+
+def links(docs: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Classes that are linked to others, with the label of their component: node, label."""
     spark = docs.sparkSession
     classes = materialize(
         sketched.filter("n_shingles > 0").groupBy("class").agg(
@@ -228,7 +309,9 @@ def links(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     banded = classes.select("class", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("class").alias("c0"), F.max("class").alias("c1")).filter("c0 <> c1").select("bucket")
-    members = materialize(banded.join(shared, "bucket").select("bucket", "class", F.lit(False).alias("done")), "bucket-members")
+    members = materialize(banded.join(shared, "bucket").join(classes.select("class", "n_shingles"), "class").select("bucket", "class", "n_shingles"), "bucket-members")
+    if members.isEmpty():
+        return spark.createDataFrame([], "node binary, label binary")
 
     # Sets of the classes that meet another one; the rest is settled already.
     met = members.select("class").distinct().join(classes.select("class", "example"), "class").select("class", "example.*")
@@ -236,35 +319,24 @@ def links(docs: DataFrame, sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     sets = texts.select("class", "text").dropDuplicates(["class"]).mapInArrow(_set_rows, "class binary, members binary")
     sets = materialize(sets, "class-sets")
 
-    labels: DataFrame | None = None
-    tried: DataFrame | None = None
-    wanted = CENTRES
-    while True:
-        live = materialize(_open_buckets(members, labels), "open-buckets")
-        if live.isEmpty():
-            break
-        # All that is left as centres where it is little, else one of each of so many parts.
-        able = live.filter("outside AND NOT done")
-        part = F.when(F.col("n") <= wanted, F.xxhash64("class")).otherwise(F.pmod(F.xxhash64("class", "bucket"), F.lit(wanted)))
-        chosen = able.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("class", "label")).alias("c"))
-        centres = materialize(chosen.select("bucket", F.col("c.class").alias("a"), F.col("c.label").alias("centre_label")), "centres")
-        met_by = live.join(centres, "bucket").filter("label <> centre_label")
-        pairs = met_by.select(F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        confirmed = _confirm(_similar_sketches(pairs, classes), sets)
-        labels = components(confirmed if labels is None else confirmed.union(labels))
-        spent = centres.select("bucket", F.col("a").alias("class"), F.lit(True).alias("spent"))
-        members = materialize(
-            live.join(spent, ["bucket", "class"], "left").select("bucket", "class", (F.col("done") | F.coalesce("spent", F.lit(False))).alias("done")),
-            "bucket-members",
-        )
-        wanted *= 4
-    if labels is None:
-        labels = spark.createDataFrame([], "node binary, label binary")
-    return labels, classes
+    # Places shared over all bands; the class with the most is the centre of a bucket.
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    sized = members.join(sizes, "bucket")
+    popular = sized.groupBy("class").agg(F.sum("n").alias("popularity"))
+    scored = materialize(sized.join(popular, "class"), "bucket-members")
+    centres = scored.groupBy("bucket").agg(F.max(F.struct("popularity", "class")).alias("c")).select("bucket", F.col("c.class").alias("a"))
+    few = scored.filter(F.col("n") <= PAIRED).select("bucket", F.col("class").alias("a"))
+    meeting = scored.select("bucket", F.col("class").alias("b")).join(centres.union(few).distinct(), "bucket").filter("a <> b")
+    pairs = materialize(meeting.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    labels = components(_confirm(_similar_sketches(pairs, classes), sets))
+
+    met_all = centres.withColumn("done", F.lit(True))
+    waiting = scored.join(met_all.withColumnRenamed("a", "class"), ["bucket", "class"], "left")
+    waiting = waiting.withColumn("done", F.coalesce("done", F.lit(False)) | (F.col("n") <= PAIRED))
+    live = materialize(_open_buckets(waiting, labels), "open-buckets")
+    if live.isEmpty():
+        return labels
+    return components(_block_links(live, sets).union(labels))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -283,7 +355,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def _near_duplicates(texts: DataFrame) -> DataFrame:
     sketched = materialize(texts.mapInArrow(_sketch_rows, _SKETCH_SCHEMA), "sketches")
-    labels, _ = links(texts, sketched)
+    labels = links(texts, sketched)
     narrow = sketched.select("doc_id", "text_hash", "n_shingles", "class")
     of_class = narrow.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
     labelled = of_class.join(labels, F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("label", "class").alias("component"))

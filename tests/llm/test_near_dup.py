@@ -65,7 +65,8 @@ def test_families_on_the_edge_of_the_threshold(spark):
 
 
 def test_large_bucket(spark, monkeypatch):
-    monkeypatch.setattr(near_dup, "CENTRES", 2)
+    monkeypatch.setattr(near_dup, "BLOCK_CLASSES", 7)
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 900)
     monkeypatch.setattr(near_dup, "BLOCK", 5)
     rows = list(enumerate(family(3, 80, words=90, edits=2) + family(4, 60, words=40, edits=3)))
     assert found(spark, rows) == brute(rows)
