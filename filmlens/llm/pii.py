@@ -117,13 +117,13 @@ def _mentions(spanned: DataFrame) -> DataFrame:
         _terms(F.substring("text", end + 1, F.lit(NEAR_CHARS))),
         lambda w: F.slice(F.when((F.char_length("text") - end > NEAR_CHARS) & (F.size(w) > 0), F.slice(w, 1, F.size(w) - 1)).otherwise(w), 1, NEAR_WORDS),
     )
-    near = one.select(F.concat_ws(":", F.col("s.kind"), value).alias("entity"), left.alias("l"), right.alias("r"))
+    near = one.select(F.concat_ws(":", F.col("s.kind"), value).alias("entity"), F.xxhash64("text").alias("text_hash"), left.alias("l"), right.alias("r"))
     context = F.xxhash64(F.concat_ws(" ", "l"), F.concat_ws(" ", "r"))
-    return near.select("entity", context.alias("context"), F.explode(F.array_distinct(F.concat("l", "r"))).alias("term"))
+    return near.select("entity", "text_hash", context.alias("context"), F.explode(F.array_distinct(F.concat("l", "r"))).alias("term"))
 
 
 def disclosure(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Terms seen beside an entity in at least ``MIN_CONTEXTS`` contexts, with their disclosure.
+    """Terms seen beside an entity in at least ``MIN_CONTEXTS`` contexts that may reach the first threshold, with their disclosure.
 
     Columns: term, entity, n_together, n_term, n_entity, posterior, bits.
     """
@@ -142,8 +142,12 @@ def _word_rows(spanned: DataFrame) -> DataFrame:
 
 def _disclosure(spanned: DataFrame) -> DataFrame:
     mentions = materialize(_mentions(spanned), "mentions")
-    together = mentions.groupBy("term", "entity").agg(F.count_distinct("context").alias("n_together"))
-    candidates = materialize(together.filter(F.col("n_together") >= MIN_CONTEXTS), "term-candidates")
+    together = mentions.groupBy("term", "entity").agg(F.count_distinct("context").alias("n_together")).filter(F.col("n_together") >= MIN_CONTEXTS)
+    # A term beside many entities is in at least so many texts: where this alone
+    # keeps the posterior below the threshold, its texts need not be counted.
+    at_least = mentions.groupBy("term").agg(F.count_distinct("text_hash").alias("n_near"))
+    candidates = together.join(at_least, "term").filter(F.col("n_together") >= GENERALISE * F.col("n_near"))
+    candidates = materialize(candidates.select("term", "entity", "n_together"), "term-candidates")
     schema = "term string, entity string, n_together bigint, n_term bigint, n_entity bigint, posterior double, bits double"
     if candidates.isEmpty():
         return spanned.sparkSession.createDataFrame([], schema)
