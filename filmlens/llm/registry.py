@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filmlens.llm import decontaminate, mixing, near_dup, pii, quality
+from filmlens.llm import decontaminate, mixing, near_dup, pii, quality, toxicity
 
-_MODULES = (quality, decontaminate, mixing, near_dup, pii)
+_MODULES = (quality, decontaminate, mixing, near_dup, pii, toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -77,23 +77,32 @@ class Words:
     end: np.ndarray
     first: np.ndarray
     hashes: np.ndarray
+    sums: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
 
-def find_words(texts: Sequence[bytes | None], lower: bool = False) -> Words:
+_NO_LETTER = np.ones(256, bool)
+_NO_LETTER[65:91] = _NO_LETTER[97:123] = _NO_LETTER[128:] = False
+
+
+def find_words(texts: Sequence[bytes | None], lower: bool = False, letters: bool = False) -> Words:
+    """Runs of characters other than white space, or with ``letters`` runs of ASCII letters and non-ASCII characters."""
     data = np.frombuffer(b" ".join(t or b"" for t in texts) + b" ", np.uint8)
     lengths = np.array([len(t or b"") + 1 for t in texts], np.int64)
-    inside = np.concatenate(([False], ~_SPACE[data], [False]))
+    inside = np.concatenate(([False], ~(_NO_LETTER if letters else _SPACE)[data], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edges[0::2], edges[1::2]
     text_start = np.concatenate(([0], np.cumsum(lengths)))
     first = np.searchsorted(start, text_start)
     sums = prefix_sums((_LOWER if lower else _PLAIN)[data])
-    hashes = mix64(range_hash(sums, start, end) + (end - start).astype(np.uint64))
-    return Words(data, start, end, first, hashes)
+    return Words(data, start, end, first, byte_hashes(sums, start, end), sums)
+
+
+def byte_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mix64(range_hash(sums, start, end) + (end - start).astype(np.uint64))
 
 
 def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
