@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filmlens.llm import decontaminate, mixing, near_dup, pii, quality, secrets, toxicity
+from filmlens.llm import decontaminate, mixing, near_dup, pii, quality, secrets, substrings, suffix_array, toxicity
 
-_MODULES = (quality, decontaminate, mixing, near_dup, pii, secrets, toxicity)
+_MODULES = (quality, decontaminate, mixing, near_dup, pii, secrets, toxicity, substrings, suffix_array)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
