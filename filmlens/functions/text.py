@@ -12,7 +12,7 @@ from filmlens.sources.staging import materialize
 
 def tokens(text: str, min_length: int = 3) -> Column:
     """Lower-cased runs of word characters of at least ``min_length``."""
-    return F.filter(F.split(F.lower(text), r"\W+"), lambda word: F.length(word) >= min_length)
+    return F.regexp_extract_all(F.lower(text), F.lit(rf"(\w{{{min_length},}})"), 1)
 
 
 def content_tokens(text: str, min_length: int = 3) -> Column:
@@ -21,21 +21,25 @@ def content_tokens(text: str, min_length: int = 3) -> Column:
 
 
 def term_counts(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """Occurrences of each content token per document, with the document's columns ``keys``.
+    """Occurrences of each content token per row, with the row's columns ``keys``.
 
-    The texts are placed by document before they are cut up, so the counts per
-    document and term need no shuffle of the far more numerous tokens.
+    The tokens of a row are counted inside the row: sorted, equal ones are
+    neighbours, and a count is the distance from one start to the next. Nothing
+    is shuffled, and only distinct terms become rows.
     """
-    return (
-        docs.select(*keys, text)
-        .repartition(keys[0])
-        .select(*keys, F.explode(content_tokens(text)).alias("term"))
-        .groupBy(*keys, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
 
+    def counted(words: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(words) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(words, i) != F.get(words, F.greatest(i - 1, F.lit(0)))))
+        ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(words)))
+        found = F.zip_with(starts, ends, lambda a, b: F.struct(F.get(words, a).alias("term"), (b - a).cast("bigint").alias("tf")))
+        return F.when(F.size(words) > 0, found)
 
-def term_tfidf(docs: DataFrame, key: str, text: str, is_train: Column) -> DataFrame:
+    sorted_words = F.array(F.array_sort(content_tokens(text)))
+    return docs.select(*keys, F.explode(F.get(F.transform(sorted_words, counted), F.lit(0))).alias("t")).select(*keys, "t.term", "t.tf")
+
+
+def term_tfidf(docs: DataFrame, key: str, text: str, is_train: Column, broadcast_bytes: int | None = None) -> DataFrame:
     """``tf * ln((m + 1) / (df + 1))`` per document and term.
 
     ``m`` and the document frequencies come from the documents for which
@@ -49,6 +53,6 @@ def term_tfidf(docs: DataFrame, key: str, text: str, is_train: Column) -> DataFr
     counts = materialize(term_counts(marked, [key, "is_train"], text), "term-counts")
     frequency = counts.filter("is_train").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     lookup, _ = build_lookup(frequency, "term", "df", "df", "document-frequency")
-    weighed = lookup_join(counts, "term", lookup, "df", spread=[key, "term"])
+    weighed = lookup_join(counts, "term", lookup, "df", spread=[key, "term"], broadcast_bytes=broadcast_bytes)
     df = F.coalesce("df", F.lit(0))
     return weighed.select(key, "term", "tf", df.alias("df"), (F.col("tf") * F.log(F.lit(float(m + 1)) / (df + 1))).alias("tfidf"))

@@ -76,9 +76,9 @@ def frequency_encode_fit(train: DataFrame, column: str) -> Encoding:
     return Encoding(column, "freq", lookup.derive("encoding", share), 1.0 / lookup.n_rows if lookup.n_rows else None)
 
 
-def encode_apply(df: DataFrame, encoding: Encoding, spread: list[str] | None = None) -> DataFrame:
+def encode_apply(df: DataFrame, encoding: Encoding, spread: list[str] | None = None, broadcast_bytes: int | None = None) -> DataFrame:
     """Replace the category column by its encoding, named by ``encoding.output``."""
-    joined = lookup_join(df, encoding.column, encoding.lookup, encoding.output, spread)
+    joined = lookup_join(df, encoding.column, encoding.lookup, encoding.output, spread, broadcast_bytes)
     value = F.coalesce(F.col(encoding.output), F.lit(encoding.default).cast("double"))
     return joined.withColumn(encoding.output, value).drop(encoding.column)
 
@@ -100,32 +100,32 @@ class TopCategories:
     """The categories that are kept; all others become one."""
 
     column: str
-    table: DataFrame
+    lookup: Lookup
     n: int
 
-
-MAX_TOP = 10_000
-"""Upper bound on ``n``, so that the kept list can always be broadcast."""
+    @property
+    def table(self) -> DataFrame:
+        """One row per kept category with its row count."""
+        return self.lookup.table
 
 
 def top_categories_fit(train: DataFrame, column: str, n: int = 30) -> TopCategories:
     """The ``n`` most frequent categories; ties go to the smaller value."""
-    if not 0 < n <= MAX_TOP:
-        raise ValueError(f"n must be between 1 and {MAX_TOP}")
+    if n <= 0:
+        raise ValueError("n must be positive")
     ranked = category_counts(train, column).orderBy(F.desc("category_count"), F.asc_nulls_last(column)).limit(n)
     lookup, _ = build_lookup(ranked, column, "category_count", "category_count", f"top-{column}")
-    return TopCategories(column, lookup.table, n)
+    return TopCategories(column, lookup, n)
 
 
-def top_categories_apply(df: DataFrame, top: TopCategories, other: str = "Other") -> DataFrame:
+def top_categories_apply(df: DataFrame, top: TopCategories, other: str = "Other", spread: list[str] | None = None) -> DataFrame:
     """Replace every category outside the kept list by ``other``.
 
     Null is a category like any other: it becomes ``other`` unless it is
     itself among the most frequent.
     """
-    kept = top.table.select(F.col(top.column).alias("__kept"), F.lit(True).alias("__is_kept"))
-    joined = df.join(F.broadcast(kept), F.col(top.column).eqNullSafe(F.col("__kept")), "left")
-    value = F.when(F.col("__is_kept"), F.col(top.column)).otherwise(F.lit(other))
+    joined = lookup_join(df, top.column, top.lookup, "__kept", spread)
+    value = F.when(F.col("__kept").isNotNull(), F.col(top.column)).otherwise(F.lit(other))
     return joined.withColumn(top.column, value).select(*df.columns)
 
 

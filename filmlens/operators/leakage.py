@@ -69,10 +69,12 @@ def encoding_target_corr(df: DataFrame, column: str, target: str) -> DataFrame:
     The covariance of a value with its group mean is the variance of the group
     mean, so the correlation is the root of the between-group share of the
     total sum of squares. It follows from one row per category; the means are
-    never joined back to the rows.
+    never joined back to the rows. Values are centred on the global mean first:
+    sums of squares of large values would cancel.
     """
     present = require(df.select(F.col(column).alias("category"), F.col(target).cast("double").alias("target")), ["category", "target"])
-    per_category = present.groupBy("category").agg(
+    centre = present.select(F.coalesce(F.avg("target"), F.lit(0.0))).scalar()
+    per_category = present.select("category", (F.col("target") - centre).alias("target")).groupBy("category").agg(
         F.count(F.lit(1)).cast("double").alias("n"),
         F.avg("target").alias("mean"),
         F.var_pop("target").alias("within"),
@@ -80,12 +82,10 @@ def encoding_target_corr(df: DataFrame, column: str, target: str) -> DataFrame:
     sums = per_category.agg(
         F.count(F.lit(1)).alias("n_categories"),
         F.sum("n").alias("n"),
-        F.sum(F.col("n") * F.col("mean")).alias("total"),
-        F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("squares"),
+        F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("between"),
         F.sum(F.col("n") * F.col("within")).alias("within"),
     )
-    between = F.greatest(F.col("squares") - F.try_divide(F.col("total") * F.col("total"), F.col("n")), F.lit(0.0))
-    corr = F.sqrt(F.try_divide(between, between + F.col("within")))
+    corr = F.sqrt(F.try_divide(F.col("between"), F.col("between") + F.col("within")))
     return sums.select("n_categories", F.col("n").cast("bigint").alias("n_rows"), corr.alias("corr")).withColumn(
         "band", encoding_band(F.col("corr"))
     )

@@ -10,6 +10,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filmlens.sources.staging import materialize
 
@@ -32,10 +33,6 @@ class Lookup:
     n_rows: int
     n_bytes: int
 
-    @property
-    def is_small(self) -> bool:
-        return self.n_bytes <= BROADCAST_BYTES
-
     def derive(self, value: str, column: Column) -> Lookup:
         """The same keys with a value computed from the table's columns."""
         return replace(self, table=self.table.withColumn(value, column), value=value)
@@ -54,35 +51,53 @@ def build_lookup(table: DataFrame, key: str, value: str, count: str, name: str,
     return Lookup(written, key, value, count, measured.n_keys, measured.n_rows, measured.n_bytes), measured
 
 
-def lookup_join(df: DataFrame, column: str, lookup: Lookup, out: str, spread: list[str] | None = None) -> DataFrame:
+def _common_type(column: T.DataType, key: T.DataType) -> T.DataType:
+    """The type both sides are compared and hashed in; a cast that could lose values is refused."""
+    if column == key:
+        return key
+    if isinstance(column, T.IntegralType) and isinstance(key, T.IntegralType):
+        return T.LongType()
+    if isinstance(column, T.FractionalType) and isinstance(key, T.FractionalType) and not T.DecimalType in (type(column), type(key)):
+        return T.DoubleType()
+    raise TypeError(f"cannot look up {column.simpleString()} values among {key.simpleString()} keys")
+
+
+def lookup_join(
+    df: DataFrame, column: str, lookup: Lookup, out: str, spread: list[str] | None = None, broadcast_bytes: int | None = None
+) -> DataFrame:
     """Add ``out``: the value found for ``column``, null where the key is unknown.
 
-    Null is a key like any other. A table of checked size is broadcast. Beyond
+    Null is a key like any other. Integers of different widths, and floats and
+    doubles, are compared in the wider type; other differing types are an
+    error. ``broadcast_bytes`` replaces ``BROADCAST_BYTES``; the result does not
+    depend on it. A table of checked size is broadcast. Beyond
     that size only the hot keys are broadcast (at most ``HOT_PARTS`` by
     arithmetic); the rows they serve pass the shuffle join under a key spread
     over ``spread`` (all columns by default), so no task receives a hot key
     whole. The spread is a hash of the row, so a repeated task sends every row
     to the same place again.
     """
-    found = lookup.table.select(F.col(lookup.key).alias("__key"), F.col(lookup.value).alias(out))
-    if lookup.is_small:
-        return df.join(F.broadcast(found), F.col(column).eqNullSafe(F.col("__key")), "left").drop("__key")
+    kind = _common_type(df.schema[column].dataType, lookup.table.schema[lookup.key].dataType)
+    wanted, key = F.col(column).cast(kind), F.col(lookup.key).cast(kind)
+    found = lookup.table.select(key.alias("__key"), F.col(lookup.value).alias(out))
+    if lookup.n_bytes <= (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
+        return df.join(F.broadcast(found), wanted.eqNullSafe(F.col("__key")), "left").drop("__key")
 
     hot = F.col(lookup.count) >= F.lit(max(1.0, lookup.n_rows / HOT_PARTS))
     hot_table = lookup.table.filter(hot).select(
-        F.col(lookup.key).alias("__hot_key"), F.col(lookup.value).alias("__hot_value"), F.lit(True).alias("__hit")
+        key.alias("__hot_key"), F.col(lookup.value).alias("__hot_value"), F.lit(True).alias("__hit")
     )
     cold_table = lookup.table.filter(~hot).select(
-        F.col(lookup.key).alias("__key"), F.col(lookup.value).alias("__cold_value")
+        key.alias("__key"), F.col(lookup.value).alias("__cold_value")
     )
     cold_table = cold_table.withColumn("__cold_place", F.xxhash64("__key"))
     hit = F.coalesce("__hit", F.lit(False))
-    served = df.join(F.broadcast(hot_table), F.col(column).eqNullSafe(F.col("__hot_key")), "left").select(
+    served = df.join(F.broadcast(hot_table), wanted.eqNullSafe(F.col("__hot_key")), "left").select(
         *df.columns,
         "__hot_value",
         hit.alias("__served"),
-        F.when(~hit, F.col(column)).alias("__cold_key"),
-        F.when(hit, F.xxhash64(*(spread or df.columns))).otherwise(F.xxhash64(column)).alias("__place"),
+        F.when(~hit, wanted).alias("__cold_key"),
+        F.when(hit, F.xxhash64(*(spread or df.columns))).otherwise(F.xxhash64(wanted)).alias("__place"),
     )
     matched = served.join(
         cold_table,

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from filmlens.operators.relational import all_present, is_blank
 
@@ -36,6 +37,16 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
+def blank_marks(df: DataFrame) -> DataFrame:
+    """The frame with every text column replaced by a short one that is blank, or null, where it was.
+
+    Taken before a join whose rows are only profiled, it keeps the texts out of
+    the join's shuffle.
+    """
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.when(F.col(c) == "", "").when(F.col(c).isNotNull(), "x") for c in texts}) if texts else df
+
+
 def schema_catalog(df: DataFrame) -> DataFrame:
     """Numbered columns with their type and null-or-blank count."""
     fields = [

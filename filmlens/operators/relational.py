@@ -43,8 +43,10 @@ def drop_blank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def dedupe_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first in ``order``, which should be unique in a key.
 
-    A partial minimum on each side of the shuffle replaces the window sort, so
-    a key with very many rows sends one row per task.
+    Minima are taken before and after the shuffle, so a key with very many rows
+    sends one row per task. The minimum keeps a struct, which rules out hash
+    aggregation: each side sorts by the key, as a window would, but the shuffle
+    carries one row per key and task instead of all rows.
     """
     rest = [c for c in df.columns if c not in keys]
     first = F.min_by(F.struct(*rest), F.struct(*order)).alias("row")

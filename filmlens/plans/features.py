@@ -39,11 +39,10 @@ from filmlens.sources.staging import materialize
 
 @dataclass(frozen=True)
 class FeatureFrame:
-    """Both sides of the split, and what was fitted on the training side."""
+    """The rows of both sides, told apart by ``side``, and what was fitted on the training side."""
 
     variant: Variant
-    train_rows: DataFrame
-    test_rows: DataFrame
+    rows: DataFrame
     encodings: dict[str, Encoding]
     top_genres: TopCategories
     limits: Mapping[str, float]
@@ -56,44 +55,49 @@ class FeatureFrame:
         """Encode the categories, reduce the genres and derive the row features."""
         for encoding in self.encodings.values():
             df = encode_apply(df, encoding, [self.variant.key])
-        df = self.temporal(top_categories_apply(df, self.top_genres))
+        df = self.temporal(top_categories_apply(df, self.top_genres, spread=[self.variant.key]))
         return derive_popularity(df) if self.variant.popularity else df
 
     @property
-    def train(self) -> DataFrame:
-        return self.apply(self.train_rows)
+    def train_rows(self) -> DataFrame:
+        return one_side(self.rows, "train")
 
     @property
-    def test(self) -> DataFrame:
-        return self.apply(self.test_rows)
+    def both(self) -> DataFrame:
+        """All rows encoded in one pass, with their ``side``."""
+        return self.apply(self.rows)
+
+
+def one_side(df: DataFrame, side: str) -> DataFrame:
+    return df.filter(F.col("side") == side).drop("side")
 
 
 def split_table(
     df: DataFrame, keys: list[str], name: str, train_percent: int = 80, seed: int = 42, spread: list[str] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Write ``df`` once with each row's draw and return its training and test rows.
+) -> DataFrame:
+    """Write ``df`` once with its ``side``, train or test, as the folder of each row.
 
-    Every later read filters on the stored draw instead of hashing the keys
-    again. Few input files are spread by ``spread``, the keys by default; an
-    empty list leaves them.
+    A read of one side does not open the other's files. Rows are dealt by
+    ``spread``, the keys by default.
     """
-    drawn = materialize(df.withColumn("draw", hash_percent(keys, seed)), name, keys if spread is None else spread)
-    return drawn.filter(F.col("draw") < train_percent).drop("draw"), drawn.filter(F.col("draw") >= train_percent).drop("draw")
+    side = F.when(hash_percent(keys, seed) < train_percent, "train").otherwise("test")
+    return materialize(df.withColumn("side", side), name, spread or keys, ["side"])
 
 
-def feature_frame(train: DataFrame, test: DataFrame, variant: Variant, **limits: float) -> FeatureFrame:
-    """Fit the encoders and the genre list on the training rows.
+def feature_frame(rows: DataFrame, variant: Variant, **limits: float) -> FeatureFrame:
+    """Fit the encoders and the genre list on the training rows of ``rows``, which have a ``side``.
 
     ``limits`` passes other year and duration limits to ``derive_temporal``.
     Every fit reads the raw training rows, so its plan stays flat however many
     encoders are chained.
     """
+    train = one_side(rows, "train")
     encodings = {
         c: target_encode_fit(train, c, variant.target, variant.smoothing) if variant.encoder == "target" else frequency_encode_fit(train, c)
         for c in variant.categories
     }
     top = top_categories_fit(train, variant.genre, variant.top_genres)
-    return FeatureFrame(variant, train, test, encodings, top, limits)
+    return FeatureFrame(variant, rows, encodings, top, limits)
 
 
 def text_stages(text: str, width: int = 100) -> list:
@@ -107,13 +111,16 @@ def text_stages(text: str, width: int = 100) -> list:
 
 
 def hash_text(df: DataFrame, text: str, width: int = 100) -> DataFrame:
-    """Replace the text column by its hashed term counts, ``desc_tf``.
+    """Replace the text column by its hashed term counts, ``desc_tf``, and leave in its place whether there is a text.
 
     The three stages before the weights have no state, so a text is cut up
-    once, before anything is fitted, and need not be stored or moved again.
+    once, best on its scan: before any join, and before anything is fitted. The
+    mark (true, or null without a text) serves the rules on missing values.
     """
     tokenizer, remover, hashing, _ = text_stages(text, width)
-    return PipelineModel([tokenizer, remover, hashing]).transform(df).drop(text, "desc_words", "desc_filtered")
+    marked = df.withColumn("__has_text", F.when(F.col(text).isNotNull(), F.lit(True))).withColumn(text, F.coalesce(text, F.lit("")))
+    hashed = PipelineModel([tokenizer, remover, hashing]).transform(marked).drop(text, "desc_words", "desc_filtered")
+    return hashed.withColumnRenamed("__has_text", text)
 
 
 def feature_stages(variant: Variant) -> Pipeline:
@@ -157,10 +164,9 @@ def fit_features(frame: FeatureFrame) -> FeatureTables:
     index = indexer.fit(frame.temporal(frame.train_rows).select(variant.indexed))
     assembly = PipelineModel([weights, hasher, index, assembler])
 
-    def assemble(side: DataFrame, name: str) -> DataFrame:
-        return materialize(assembly.transform(side).select(variant.key, variant.target, "features"), name, [variant.key])
-
-    train, test = assemble(frame.train, "train"), assemble(frame.test, "test")
+    assembled = assembly.transform(frame.both).select(variant.key, variant.target, "features", "side")
+    vectors = materialize(assembled, "vectors", [variant.key], ["side"])
+    train, test = one_side(vectors, "train"), one_side(vectors, "test")
     scaling = scaler.fit(train)
     stages = PipelineModel([tokenizer, remover, hashing, *assembly.stages, scaling])
     return FeatureTables(stages, scaling.transform(train), scaling.transform(test))

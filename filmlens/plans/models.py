@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from filmlens.operators.cleaning import clean_required
 from filmlens.plans.features import FeatureFrame, FeatureTables, feature_frame, fit_features, hash_text, split_table
 from filmlens.plans.variants import Variant
-from filmlens.sources.staging import materialize, widen
+from filmlens.sources.staging import materialize
 
-# Ensemble weights.
+# Ensemble weights, and the parameters of the estimators below.
 ENSEMBLE_WEIGHTS = {"ridge": 0.2, "forest": 0.3, "gbt": 0.5}
 
 
@@ -97,15 +97,16 @@ def prepare(df: DataFrame, variant: Variant, year: str = "year", **temporal: flo
 
     The cleaned rows are written to the staging folder, with the hashed terms
     in place of the text: the encoders and the feature stages all read them
-    again, and a lost executor must not bring back the joins behind them.
+    again, and a lost executor must not bring back the joins behind them. The
+    text is hashed here unless the caller has done so on its scan, before the
+    joins behind ``df`` (:func:`filmlens.plans.features.hash_text`).
     """
-    wanted = [variant.key, variant.text, variant.genre, *variant.categories, "duration", variant.target, "year_clean"]
+    wanted = [variant.key, "desc_tf", variant.genre, *variant.categories, "duration", variant.target, "year_clean"]
     if variant.popularity:
         wanted += ["votes", "reviews_from_users", "reviews_from_critics"]
-    clean = widen(clean_required(df, variant.required, year).select(*wanted), [variant.key])
-    hashed = hash_text(clean, variant.text, variant.text_width)
-    train_rows, test_rows = split_table(hashed, [variant.key], "clean", spread=[])
-    frame = feature_frame(train_rows, test_rows, variant, **temporal)
+    clean = clean_required(df, variant.required, year)
+    hashed = clean if "desc_tf" in df.columns else hash_text(clean, variant.text, variant.text_width)
+    frame = feature_frame(split_table(hashed.select(*wanted), [variant.key], "clean"), variant, **temporal)
     return frame, fit_features(frame)
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
+from filmlens.sources.staging import materialize
+
 
 @dataclass(frozen=True)
 class QueryResult:
@@ -29,6 +31,7 @@ def run(df: DataFrame, order: Sequence[Column], n: int = 10) -> QueryResult:
 
 
 def summary(df: DataFrame, order: Sequence[Column], n: int = 10) -> DataFrame:
-    """The first ``n`` rows, each with the total number found."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    return df.orderBy(*order).limit(n).withColumn("total", total)
+    """The first ``n`` rows, each with the total number found; the query itself runs once."""
+    hits = materialize(df, "hits")
+    total = hits.select(F.count(F.lit(1))).scalar()
+    return hits.orderBy(*order).limit(n).withColumn("total", total)

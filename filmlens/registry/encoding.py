@@ -83,17 +83,26 @@ def target_encode_fit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "target_encode_apply",
-    f"""{_SPLIT_SQL} SELECT o_orderkey, round(coalesce(encoding, (SELECT m FROM g)), 4) AS o_custkey_encoded
-        FROM o LEFT JOIN cust USING (o_custkey)""",
-)
+_TARGET_APPLY_SQL = f"""{_SPLIT_SQL} SELECT o_orderkey, round(coalesce(encoding, (SELECT m FROM g)), 4) AS o_custkey_encoded
+        FROM o LEFT JOIN cust USING (o_custkey)"""
+
+
+@query("target_encode_apply", _TARGET_APPLY_SQL)
 def target_encode_apply(spark: SparkSession, sf: str) -> DataFrame:
     fitted = E.target_encode_fit(train_orders(spark, sf), "o_custkey", "o_totalprice")
     found = E.encode_apply(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), fitted, ["o_orderkey"])
     return found.withColumn("o_custkey_encoded", rounded("o_custkey_encoded", 4))
 
 
+@query("target_encode_apply_shuffled", _TARGET_APPLY_SQL)
+def target_encode_apply_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    """The way of large mappings, fitted on keys of a narrower type than those looked up."""
+    train = train_orders(spark, sf).withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    fitted = E.target_encode_fit(train, "o_custkey", "o_totalprice")
+    found = E.encode_apply(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), fitted, ["o_orderkey"], broadcast_bytes=0)
+    return found.withColumn("o_custkey_encoded", rounded("o_custkey_encoded", 4))
+
+
 @query(
     "target_encode_two",
     f"""{_SPLIT_SQL} SELECT o_orderkey, round(coalesce(cust.encoding, (SELECT m FROM g)), 4) AS o_custkey_encoded,
@@ -129,17 +138,26 @@ def frequency_encode_fit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "frequency_encode_apply",
-    f"""{_FREQUENCY_SQL} SELECT o_orderkey, round(coalesce(encoding, 1.0 / (SELECT n FROM t)), 9) AS o_custkey_freq
-        FROM o LEFT JOIN freq USING (o_custkey)""",
-)
-def frequency_encode_apply(spark: SparkSession, sf: str) -> DataFrame:
+_FREQUENCY_APPLY_SQL = f"""{_FREQUENCY_SQL} SELECT o_orderkey, round(coalesce(encoding, 1.0 / (SELECT n FROM t)), 9) AS o_custkey_freq
+        FROM o LEFT JOIN freq USING (o_custkey)"""
+
+
+def _frequency_encoded(spark: SparkSession, sf: str, broadcast_bytes: int | None = None) -> DataFrame:
     fitted = E.frequency_encode_fit(train_orders(spark, sf), "o_custkey")
-    found = E.encode_apply(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), fitted, ["o_orderkey"])
+    found = E.encode_apply(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), fitted, ["o_orderkey"], broadcast_bytes)
     return found.withColumn("o_custkey_freq", rounded("o_custkey_freq", 9))
 
 
+@query("frequency_encode_apply", _FREQUENCY_APPLY_SQL)
+def frequency_encode_apply(spark: SparkSession, sf: str) -> DataFrame:
+    return _frequency_encoded(spark, sf)
+
+
+@query("frequency_encode_apply_shuffled", _FREQUENCY_APPLY_SQL)
+def frequency_encode_apply_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    return _frequency_encoded(spark, sf, broadcast_bytes=0)
+
+
 _TOP_SQL = "SELECT p_name, count(*) AS category_count FROM part GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 30"
 
 
@@ -213,11 +231,10 @@ _FRAME_TAIL = f"""s.title_id, CASE WHEN s.genre IN (SELECT genre FROM top) THEN
 
 
 def _frame(spark: SparkSession, sf: str, variant, encoded: tuple[str, str], digits: int) -> DataFrame:
-    train, test = split_table(sales_lines(spark, sf), ["title_id"], "sales-lines", spread=["title_id", "actors"])
-    frame = feature_frame(train, test, variant, **SALES_LIMITS)
+    rows = split_table(sales_lines(spark, sf), ["title_id"], "sales-lines", spread=["title_id", "actors"])
+    frame = feature_frame(rows, variant, **SALES_LIMITS)
     columns = [*_FRAME_COLUMNS, *[rounded(c, digits).alias(c) for c in encoded]]
-    sides = [side.select(*columns, F.lit(name).alias("side")) for side, name in ((frame.train, "train"), (frame.test, "test"))]
-    return sides[0].unionByName(sides[1])
+    return frame.both.select(*columns, "side")
 
 
 def _smoothed(column: str) -> str:

@@ -18,15 +18,14 @@ def _through_csv(df: DataFrame, name: str, **read_options: bool) -> DataFrame:
     return read_csv(df.sparkSession, path, df.schema, **read_options)
 
 
-@query("scan_csv_escaped", "SELECT event_id, user_id, event_type, value, props FROM events")
+@query("scan_csv_escaped", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def scan_csv_escaped(spark: SparkSession, sf: str) -> DataFrame:
-    return _through_csv(table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "props"), "events-csv")
+    return _through_csv(table(spark, sf, "events"), "events-csv")
 
 
-@query("scan_csv_multiline", "SELECT doc_id, text, lang, n_chars FROM documents")
+@query("scan_csv_multiline", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def scan_csv_multiline(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
-    return _through_csv(docs, "documents-csv", multi_line=True)
+    return _through_csv(table(spark, sf, "documents"), "documents-csv", multi_line=True)
 
 
 @query("scan_csv_plain", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")

@@ -179,18 +179,19 @@ def model_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("feature_importance")
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    trained = _documents_model(spark, sf, INTRINSIC_FREQUENCY, "forest")
-    return V.feature_importance(trained.models["forest"], trained.scored, INTRINSIC_FREQUENCY, 15)
+    trained = _documents_model(spark, sf, INTRINSIC_FREQUENCY, "forest", "gbt")
+    tops = [V.feature_importance(trained.models[m], trained.scored, INTRINSIC_FREQUENCY, 10).withColumn("model", F.lit(m)) for m in ("forest", "gbt")]
+    return tops[0].unionByName(tops[1])
 
 
 @query("importance_share")
 def importance_share_query(spark: SparkSession, sf: str) -> DataFrame:
-    trained = _parts_model(spark, sf, INTRINSIC_TARGET, "forest")
-    return importance_share(V.feature_importance(trained.models["forest"], trained.scored, INTRINSIC_TARGET, None))
+    trained = _parts_model(spark, sf, INTRINSIC_TARGET, "gbt")
+    return importance_share(V.feature_importance(trained.models["gbt"], trained.scored, INTRINSIC_TARGET, None))
 
 
 @query("variant_comparison")
 def variant_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    first = _parts_model(spark, sf, WITH_POPULARITY, "ridge", "forest")
-    second = _parts_model(spark, sf, INTRINSIC_TARGET, "ridge", "forest")
+    first = _parts_model(spark, sf, WITH_POPULARITY, "ridge", "forest", "gbt")
+    second = _parts_model(spark, sf, INTRINSIC_TARGET, "ridge", "forest", "gbt")
     return V.variant_comparison(V.variant_metrics(first), V.variant_metrics(second))

@@ -61,7 +61,7 @@ def schema_catalog(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("null_profile", _blank_sql(LABELLED_SQL, _LABELLED_COLUMNS, _TEXT_COLUMNS))
 def null_profile(spark: SparkSession, sf: str) -> DataFrame:
-    found = labelled_documents(spark, sf).select(*_LABELLED_COLUMNS)
+    found = labelled_documents(spark, sf, P.blank_marks).select(*_LABELLED_COLUMNS)
     return P.null_profile(found).withColumn("pct", rounded("pct"))
 
 
@@ -252,14 +252,14 @@ def clean_with_popularity(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "clean_validation",
-    f"""SELECT doc_id, lang, verdict, CAST(n_chars AS INT) AS year_clean FROM ({LABELLED_SQL})
-        WHERE lang = 'en' AND quality IS NOT NULL AND verdict <> ''""",
+    """SELECT page_id, url, TRY_CAST(regexp_extract(url, '[^/]*$') AS INT) AS year_clean FROM pages
+       WHERE TRY_CAST(regexp_extract(url, '[^/]*$') AS INT) IS NOT NULL AND page_id IS NOT NULL AND url <> '' AND html <> ''""",
 )
 def clean_validation(spark: SparkSession, sf: str) -> DataFrame:
-    year = F.when(F.col("lang") == "en", F.col("n_chars").cast("string")).otherwise(F.col("source"))
-    dirty = labelled_documents(spark, sf).withColumn("year", year)
-    found = C.clean_validation(dirty, ["quality", "lang", "text", "year_clean"], ["verdict", "lang", "text"])
-    return found.select("doc_id", "lang", "verdict", "year_clean")
+    """The last part of an address is a number on some pages and text on others."""
+    dirty = table(spark, sf, "pages").withColumn("year", F.substring_index("url", "/", -1))
+    found = C.clean_validation(dirty, ["page_id", "year_clean"], ["url", "html"])
+    return found.select("page_id", "url", "year_clean")
 
 
 @query(

@@ -150,11 +150,11 @@ def sql_outliers_3sigma(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "catalog_view",
     """SELECT o.o_custkey, o.o_orderkey, o.o_orderstatus, o.o_totalprice, o.o_orderpriority,
-              CAST(year(o.o_orderdate) AS INT) AS o_year, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment
+              o.o_orderdate, CAST(year(o.o_orderdate) AS INT) AS o_year, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment
        FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""",
 )
 def catalog_view(spark: SparkSession, sf: str) -> DataFrame:
-    register_catalog(spark, orders(spark, sf).drop("o_orderdate"), customers(spark, sf), "o_custkey")
+    register_catalog(spark, orders(spark, sf), customers(spark, sf), "o_custkey")
     return spark.sql("SELECT * FROM full_movies")
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from filmlens.plans.features import hash_text
 from filmlens.plans.roles import Roles
 from filmlens.sources.catalog import catalog
 
@@ -103,9 +106,9 @@ def popular_orders(spark: SparkSession, sf: str) -> DataFrame:
     return dirty_orders(spark, sf).join(user_counts(spark, sf), "o_custkey", "left")
 
 
-def labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents left join labels; the verdict text is blank for low quality and null without a label."""
-    joined = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+def labelled_documents(spark: SparkSession, sf: str, prepared: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Documents (``prepared`` on their scan) left join labels; the verdict text is blank for low quality and null without a label."""
+    joined = prepared(table(spark, sf, "documents")).join(table(spark, sf, "labels"), "doc_id", "left")
     return joined.withColumn("verdict", F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, ""))
 
 
@@ -167,10 +170,15 @@ PARTS_LIMITS = {"recent_from": 20, "classic_to": 8, "short": 15, "medium": 35}
 
 
 def documents_film(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents left join labels under the film files' column names; unlabelled rows have no target."""
-    return labelled_documents(spark, sf).select(
+    """Documents left join labels under the film files' column names; unlabelled rows have no target.
+
+    The texts are hashed on their scan, so only their term counts go through the join.
+    """
+    hashed = hash_text(table(spark, sf, "documents").withColumnRenamed("text", "description"), "description")
+    return hashed.join(table(spark, sf, "labels"), "doc_id", "left").select(
         F.col("doc_id").alias("title_id"),
-        F.col("text").alias("description"),
+        "description",
+        "desc_tf",
         F.col("lang").alias("genre"),
         F.col("source").alias("director"),
         F.concat_ws("-", "lang", "source").alias("actors"),

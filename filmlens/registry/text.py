@@ -15,7 +15,7 @@ from filmlens.operators.relational import hash_percent, split_by_key
 from filmlens.plans.features import hash_text, vector_entries
 from filmlens.registry.core import query
 from filmlens.registry.tables import draw_sql, labelled_documents, rounded, table
-from filmlens.sources.staging import materialize, widen
+from filmlens.sources.staging import materialize
 
 _STOP_SQL = ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH)
 _TOKENS_SQL = r"list_filter(regexp_split_to_array(lower(text), '\W+'), lambda w: length(w) >= 3)"
@@ -38,23 +38,34 @@ def text_tokens_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.size("words").alias("n_tokens"), F.array_join("words", " ").alias("tokens"))
 
 
-@query(
-    "term_tfidf",
+_TFIDF_SQL = (
     f"""WITH x AS (SELECT doc_id, {draw_sql("doc_id")} AS draw, unnest({_CONTENT_SQL}) AS term FROM documents),
              m AS (SELECT count(*) AS m FROM documents WHERE {draw_sql("doc_id")} < 80),
              f AS (SELECT term, count(DISTINCT doc_id) AS df FROM x WHERE draw < 80 GROUP BY 1),
              c AS (SELECT doc_id, term, count(*) AS tf FROM x GROUP BY 1, 2)
         SELECT doc_id, c.term, tf, coalesce(df, 0) AS df,
                round(tf * ln(CAST((SELECT m FROM m) + 1 AS DOUBLE) / (coalesce(df, 0) + 1)), 6) AS tfidf
-        FROM c LEFT JOIN f ON c.term = f.term""",
+        FROM c LEFT JOIN f ON c.term = f.term"""
 )
-def term_tfidf_query(spark: SparkSession, sf: str) -> DataFrame:
+
+
+def _term_tfidf(spark: SparkSession, sf: str, broadcast_bytes: int | None = None) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return term_tfidf(docs, "doc_id", "text", hash_percent(["doc_id"]) < 80).withColumn("tfidf", rounded("tfidf"))
+    return term_tfidf(docs, "doc_id", "text", hash_percent(["doc_id"]) < 80, broadcast_bytes).withColumn("tfidf", rounded("tfidf"))
+
+
+@query("term_tfidf", _TFIDF_SQL)
+def term_tfidf_query(spark: SparkSession, sf: str) -> DataFrame:
+    return _term_tfidf(spark, sf)
+
+
+@query("term_tfidf_shuffled", _TFIDF_SQL)
+def term_tfidf_shuffled(spark: SparkSession, sf: str) -> DataFrame:
+    return _term_tfidf(spark, sf, broadcast_bytes=0)
 
 
 def _hashed_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return hash_text(widen(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"]), "text")
+    return hash_text(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
 
 
 @query("hashing_tf")

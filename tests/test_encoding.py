@@ -37,7 +37,7 @@ def test_top_categories(spark):
     assert {r.genre for r in top.table.collect()} == {"a", "b"}
     assert sorted(r.genre for r in E.top_categories_apply(df, top).collect()) == ["Other"] * 3 + ["a"] * 3 + ["b"]
     with pytest.raises(ValueError):
-        E.top_categories_fit(df, "genre", E.MAX_TOP + 1)
+        E.top_categories_fit(df, "genre", 0)
 
 
 def test_test_rows_cannot_change_a_mapping(spark):
@@ -68,6 +68,34 @@ def test_large_lookup_equals_the_broadcast_one(spark, monkeypatch):
     assert len(small) == 3001
 
 
+@pytest.mark.parametrize("narrow,wide", [("int", "bigint"), ("float", "double"), ("smallint", "int")])
+def test_both_ways_agree_on_keys_of_different_types(spark, narrow, wide):
+    """Hot, rare, missing and unseen keys, fitted in one type and looked up in the other."""
+    key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 50 + 100)
+    df = spark.range(600).select("id", key.alias("k"), (F.col("id") % 11).cast("double").alias("y"))
+    probe = df.select("id", "k").union(spark.createDataFrame([(-1, 9999)], "id long, k long"))
+    for fit_type, use_type in ((narrow, wide), (wide, narrow), (wide, wide)):
+        fitted = E.target_encode_fit(df.withColumn("k", F.col("k").cast(fit_type)), "k", "y")
+        asked = probe.withColumn("k", F.col("k").cast(use_type))
+        small = {r.id: r.k_encoded for r in E.encode_apply(asked, fitted).collect()}
+        large = {r.id: r.k_encoded for r in E.encode_apply(asked, fitted, ["id"], broadcast_bytes=0).collect()}
+        assert small == large and len(set(small.values())) > 10
+        assert small[-1] == fitted.default != small[0]
+
+
+def test_a_lossy_lookup_is_refused(spark):
+    fitted = E.frequency_encode_fit(spark.createDataFrame([("1",), ("2",)], "k string"), "k")
+    with pytest.raises(TypeError):
+        E.encode_apply(spark.range(3).select(F.col("id").alias("k")), fitted)
+
+
+@pytest.mark.parametrize("mean", [0.0, 1e6, 1e9])
+def test_encoding_correlation_of_large_values(spark, mean):
+    df = spark.range(4000).select((F.col("id") % 20).alias("c"), (F.lit(mean) + (F.col("id") % 20) / 10.0 + (F.col("id") * 37 % 101) / 25.0).alias("y"))
+    joined = df.join(df.groupBy("c").agg(F.avg(F.col("y") - mean).alias("m")), "c").withColumn("d", F.col("y") - mean)
+    assert L.encoding_target_corr(df, "c", "y").first()["corr"] == pytest.approx(joined.stat.corr("d", "m"), abs=1e-5)
+
+
 def test_hot_rows_spread_over_the_shuffle(spark, monkeypatch):
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
