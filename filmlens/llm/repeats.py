@@ -223,6 +223,8 @@ def marked_starts(docs: DataFrame, kind: Kind, mode: str) -> DataFrame:
     anchors = rows.groupBy("anchor").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.min("region").alias("r0"), F.max("region").alias("r1"))
     # Structs with a missing id compare as equal only if all fields are: no null-safe test is needed on min and max.
     repeated = anchors.filter(~F.col("first").eqNullSafe(F.col("last"))).select("anchor", "first", (F.col("r0") != F.col("r1")).alias("open"))
+    # Written first, so that both sides of the join have a shuffle of their own and a hot anchor's rows can be split.
+    repeated = materialize(repeated, "repeated-anchors")
     hits = rows.join(repeated, "anchor").select("anchor", "region", "doc_id", "text_hash", "start", "n", "open", place.eqNullSafe(F.col("first")).alias("is_first"))
     hits = materialize(hits, "repeated-runs")
     closed = hits.filter("NOT open") if mode == ANY else hits.filter("NOT open AND NOT is_first")
