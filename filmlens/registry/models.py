@@ -11,12 +11,12 @@ from filmlens.operators.leakage import importance_share
 from filmlens.operators.relational import split_by_key
 from filmlens.plans import evaluation as V
 from filmlens.plans.features import feature_summary
-from filmlens.plans.models import TrainedVariant, prepare, train_variant, weighted_sum
+from filmlens.plans.models import ENSEMBLE_WEIGHTS, TrainedVariant, prepare, train_variant, weighted_sum
 from filmlens.plans.variants import INTRINSIC_FREQUENCY, INTRINSIC_TARGET, WITH_POPULARITY, Variant
 from filmlens.registry.core import query
 from filmlens.registry.tables import DOCUMENT_LIMITS, PARTS_LIMITS, documents_film, draw_sql, parts_film, rounded, table
 from filmlens.sources.sinks import save_table
-from filmlens.sources.staging import staging_path
+from filmlens.sources.staging import materialize, staging_path
 
 # --- fixed predictors, with exact SQL counterparts -----------------------
 
@@ -149,13 +149,103 @@ for _name in ("ridge", "forest", "gbt"):
     _register_model(_name)
 
 
-@query("feature_stages")
+_NUMERIC = INTRINSIC_TARGET.numeric
+_TEXT_AND_GENRE = INTRINSIC_TARGET.text_width + INTRINSIC_TARGET.genre_width
+_ASSEMBLED_SQL = f"""
+    WITH f AS (
+      SELECT d.doc_id, d.source AS director, concat_ws('-', d.lang, d.source) AS actors, d.n_chars AS duration,
+             CAST(regexp_replace(d.source, '[^0-9]', '', 'g') AS INT) AS year_clean, CAST(l.quality AS DOUBLE) AS t, {draw_sql("d.doc_id")} AS draw,
+             CASE WHEN d.n_chars <= 500 THEN 'short' WHEN d.n_chars <= 2000 THEN 'medium' ELSE 'long' END AS length
+      FROM documents d JOIN labels l USING (doc_id) WHERE d.text IS NOT NULL AND d.lang IS NOT NULL AND d.source IS NOT NULL AND l.quality IS NOT NULL
+    ), tr AS (SELECT * FROM f WHERE draw < 80), g AS (SELECT avg(t) AS m FROM tr),
+    d AS (SELECT director, (avg(t) * count(*) + (SELECT m FROM g) * 10) / (count(*) + 10) AS e FROM tr GROUP BY 1),
+    a AS (SELECT actors, (avg(t) * count(*) + (SELECT m FROM g) * 10) / (count(*) + 10) AS e FROM tr GROUP BY 1),
+    i AS (SELECT length, row_number() OVER (ORDER BY count(*) DESC, length) - 1 AS i FROM tr GROUP BY 1),
+    x AS (
+      SELECT doc_id, draw < 80 AS is_train, coalesce(d.e, (SELECT m FROM g)) AS director_encoded, coalesce(a.e, (SELECT m FROM g)) AS actors_encoded,
+             CAST(duration AS DOUBLE) AS duration, CAST(coalesce(i.i, (SELECT count(*) FROM i)) AS DOUBLE) AS duration_indexed,
+             CAST(year_clean AS DOUBLE) AS year_clean, CAST(trunc(year_clean / 10.0) AS DOUBLE) * 10 AS decade,
+             CASE WHEN year_clean >= 15 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_recent, CASE WHEN year_clean <= 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_old_classic
+      FROM f LEFT JOIN d USING (director) LEFT JOIN a USING (actors) LEFT JOIN i USING (length)
+    )"""
+
+
+def _scaled_sql(name: str) -> str:
+    return f"round(CASE WHEN s.{name} > 0 THEN x.{name} / s.{name} ELSE 0.0::DOUBLE END, 5) AS {name}"
+
+
+@query(
+    "feature_stages",
+    f"""{_ASSEMBLED_SQL}, s AS (SELECT {", ".join(f"stddev_samp({c}) AS {c}" for c in _NUMERIC)} FROM x WHERE is_train)
+        SELECT doc_id AS title_id, CASE WHEN is_train THEN 'train' ELSE 'test' END AS side, CAST({INTRINSIC_TARGET.width} AS INT) AS width,
+               {", ".join(_scaled_sql(c) for c in _NUMERIC)} FROM x CROSS JOIN s""",
+)
 def feature_stages(spark: SparkSession, sf: str) -> DataFrame:
+    """The scaled entries behind the text and genre blocks, of all rows."""
     _, tables = prepare(documents_film(spark, sf), INTRINSIC_TARGET, **DOCUMENT_LIMITS)
     both = tables.train.withColumn("side", F.lit("train")).unionByName(tables.test.withColumn("side", F.lit("test")))
-    scaled = vector_to_array("scaled_features")
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda total, x: total + x * x))
-    return both.select("title_id", "side", F.size(scaled).alias("width"), rounded(norm).alias("norm"))
+    scaled = both.select("title_id", "side", vector_to_array("scaled_features").alias("v"))
+    entries = [rounded(F.col("v")[_TEXT_AND_GENRE + i], 5).alias(c) for i, c in enumerate(_NUMERIC)]
+    return scaled.select("title_id", "side", F.size("v").alias("width"), *entries)
+
+
+def _position_sql(i: int, name: str) -> str:
+    group = "target_encoding" if name.endswith("_encoded") else "numeric"
+    return f"""SELECT CAST({_TEXT_AND_GENRE + i} AS INT) AS "index", '{name}' AS name, '{group}' AS "group",
+                      count(*) FILTER (WHERE {name} <> 0) AS n_nonzero, round(avg({name}), 5) AS mean FROM x WHERE is_train"""
+
+
+@query("feature_index_map_numeric", _ASSEMBLED_SQL + " UNION ALL ".join(f" {_position_sql(i, c)}" for i, c in enumerate(_NUMERIC)))
+def feature_index_map_numeric(spark: SparkSession, sf: str) -> DataFrame:
+    """The positions behind the hashed blocks, whose figures SQL can state."""
+    return feature_index_map(spark, sf).filter(F.col("index") >= _TEXT_AND_GENRE).withColumn("mean", rounded("mean", 5))
+
+
+@query(
+    "ensemble_saved",
+    f"""{_SCORED_SQL} SELECT o_orderkey, o_totalprice, round(pred_ridge, 4) AS pred_ridge, round(pred_forest, 4) AS pred_forest, round(pred_gbt, 4) AS pred_gbt,
+        round(0.2 * pred_ridge + 0.3 * pred_forest + 0.5 * pred_gbt, 4) AS pred_ensemble FROM scored""",
+)
+def ensemble_saved(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows of all predictions and their ensemble, saved and read back."""
+    path = staging_path(spark, "ensemble-saved")
+    scored = scored_orders(spark, sf)
+    save_table(scored.withColumn("pred_ensemble", weighted_sum(ENSEMBLE_WEIGHTS)), path)
+    saved = spark.read.parquet(path)
+    return saved.withColumns({c: rounded(c, 4) for c in saved.columns if c.startswith("pred_")})
+
+
+_COMPARED_SQL = f"""
+    {_METRICS_SQL}, customers AS (
+      SELECT 'ridge' AS model, rmse, r2 FROM metrics WHERE model = 'gbt' UNION ALL SELECT 'forest', rmse, r2 FROM metrics WHERE model = 'ridge'
+      UNION ALL SELECT 'gbt', rmse, r2 FROM metrics WHERE model = 'forest')
+"""
+
+
+@query(
+    "variant_comparison_fixed",
+    f"""{_COMPARED_SQL} SELECT model, round(a.rmse, 4) AS rmse_first, round(a.r2, 6) AS r2_first, round(b.rmse, 4) AS rmse_second, round(b.r2, 6) AS r2_second,
+        round(a.r2 - b.r2, 6) AS r2_drop, a.r2 > 0.7 AS first_suspect, b.r2 < 0.5 AS second_realistic FROM metrics a JOIN customers b USING (model)""",
+)
+def variant_comparison_fixed(spark: SparkSession, sf: str) -> DataFrame:
+    """The comparison of two sets of predictions, here one set with its models exchanged."""
+    scored = scored_orders(spark, sf)
+    exchanged = {"ridge": "pred_gbt", "forest": "pred_ridge", "gbt": "pred_forest"}
+    first, second = (V.regression_metrics(scored, "o_totalprice", names) for names in (_PREDICTIONS, exchanged))
+    found = V.variant_comparison(first, second)
+    return found.withColumns({c: rounded(c, 4 if c.startswith("rmse") else 6) for c in ("rmse_first", "r2_first", "rmse_second", "r2_second", "r2_drop")})
+
+
+@query(
+    "importance_share_parts",
+    """WITH s AS (SELECT p_type AS "group", count(*) AS n_features, sum(p_retailprice) AS importance FROM part GROUP BY 1)
+       SELECT "group", n_features, round(importance, 4) AS importance, round(importance / (SELECT sum(importance) FROM s), 6) AS share,
+              importance / (SELECT sum(importance) FROM s) > 0.2 AS dominates FROM s""",
+)
+def importance_share_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Shares of the groups of a frame of importances, here the parts' prices by type."""
+    importance = table(spark, sf, "part").select(F.col("p_type").alias("group"), F.col("p_retailprice").alias("importance"))
+    return importance_share(importance, 0.2).withColumns({"importance": rounded("importance", 4), "share": rounded("share")})
 
 
 @query("feature_index_map")
@@ -177,6 +267,33 @@ def model_report(spark: SparkSession, sf: str) -> DataFrame:
     return V.model_report(_documents_model(spark, sf, INTRINSIC_TARGET, "ridge", "forest", "gbt"))
 
 
+def _whole_report(spark: SparkSession, sf: str, variant: Variant) -> TrainedVariant:
+    return _parts_model(spark, sf, variant, "ridge", "forest", "gbt")
+
+
+def _register_report(name: str, variant: Variant) -> None:
+    def report(spark: SparkSession, sf: str) -> DataFrame:
+        """Metrics with gains over the baseline, rank and bands of every model of the variant."""
+        metrics = materialize(V.variant_metrics(_whole_report(spark, sf, variant)), "metrics")
+        return V.model_ranking(metrics).join(V.r2_bands(metrics).drop("r2"), "model").orderBy("rank")
+
+    def worst(spark: SparkSession, sf: str) -> DataFrame:
+        """The 20 worst test rows of every model of the variant."""
+        trained = _whole_report(spark, sf, variant)
+        lists = [V.worst_errors(trained.scored, variant.target, column, variant.key, 20).withColumn("model", F.lit(m)) for m, column in trained.predictions.items()]
+        found = lists[0]
+        for more in lists[1:]:
+            found = found.unionByName(more)
+        return found
+
+    query(f"report_{name}")(report)
+    query(f"worst_{name}")(worst)
+
+
+_register_report("with_popularity", WITH_POPULARITY)
+_register_report("intrinsic_frequency", INTRINSIC_FREQUENCY)
+
+
 @query("feature_importance")
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     trained = _documents_model(spark, sf, INTRINSIC_FREQUENCY, "forest", "gbt")

@@ -73,6 +73,12 @@ def hashing_tf(spark: SparkSession, sf: str) -> DataFrame:
     return vector_entries(_hashed_documents(spark, sf), "doc_id", "desc_tf", "tf")
 
 
+@query("hashing_tf_sums", f"SELECT doc_id, CAST(len({_CONTENT_SQL}) AS DOUBLE) AS n_tokens FROM documents WHERE len({_CONTENT_SQL}) > 0")
+def hashing_tf_sums(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts of a document over all buckets: its tokens, wherever they were hashed to."""
+    return hashing_tf(spark, sf).groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"))
+
+
 @query("hashed_tfidf")
 def hashed_tfidf(spark: SparkSession, sf: str) -> DataFrame:
     hashed = materialize(_hashed_documents(spark, sf), "hashed-documents")
@@ -88,6 +94,12 @@ def feature_hasher(spark: SparkSession, sf: str) -> DataFrame:
     return vector_entries(hasher.transform(parts), "p_partkey", "genre_features")
 
 
+@query("feature_hasher_entries", "SELECT p_partkey, CAST(1 AS BIGINT) AS n_entries, 1.0::DOUBLE AS total FROM part WHERE p_type IS NOT NULL")
+def feature_hasher_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """One entry of value 1 for each part, in whatever bucket."""
+    return feature_hasher(spark, sf).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n_entries"), F.sum("value").alias("total"))
+
+
 @query(
     "string_index",
     """WITH t AS (SELECT p_partkey, CASE WHEN p_size <= 15 THEN 'short' WHEN p_size <= 35 THEN 'medium' ELSE 'long' END AS duration_category FROM part),

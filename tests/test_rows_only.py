@@ -44,6 +44,7 @@ def test_hashed_weights_scale_with_the_counts(spark):
 def test_feature_rows(spark):
     found = run(spark, "feature_stages")
     assert {r.width for r in found.select("width").distinct().collect()} == {124}
+    assert run(spark, "feature_index_map").count() == 124
     assert found.count() == spark.read.parquet(f"{SF_DIR}/labels.parquet").join(
         spark.read.parquet(f"{SF_DIR}/documents.parquet"), "doc_id"
     ).count()
@@ -53,3 +54,17 @@ def test_ridge_scores_the_test_side(spark):
     scored = run(spark, "model_ridge")
     test_side = run(spark, "feature_stages").filter("side = 'test'")
     assert scored.count() == test_side.count() and scored.filter("prediction is null").count() == 0
+
+
+def test_importances(spark):
+    found = run(spark, "feature_importance").collect()
+    assert {r.model for r in found} == {"forest", "gbt"} and all(r.rank <= 10 for r in found)
+    shares = run(spark, "importance_share").collect()
+    assert abs(sum(r.share for r in shares) - 1) < 1e-9
+
+
+def test_whole_reports(spark):
+    report = run(spark, "report_with_popularity").collect()
+    assert {r.model for r in report} == {"ridge", "forest", "gbt", "ensemble"} and [r.rank for r in report] == [1, 2, 3, 4]
+    worst = run(spark, "worst_intrinsic_frequency").groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count("prediction").alias("p")).collect()
+    assert {(r.model, r.n, r.p) for r in worst} == {(m, 20, 20) for m in ("ridge", "forest", "gbt")}
