@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filmlens.operators.relational import all_present, is_blank
+from filmlens.sources.staging import materialize
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -62,6 +63,23 @@ def schema_catalog(df: DataFrame) -> DataFrame:
     return counts.select(_long_form(fields))
 
 
+def frame_profile(df: DataFrame) -> dict[str, DataFrame]:
+    """Dimensions, column catalog and null profile of a frame, all from one aggregate over it."""
+    fields = df.schema.fields
+    blanks = [F.count_if(is_blank(df, f.name)).alias(f"blank_{i}") for i, f in enumerate(fields)]
+    row = materialize(df.agg(F.count(F.lit(1)).alias("total"), *blanks), "frame-profile")
+    nulls = [F.struct(F.lit(f.name).alias("column"), F.col(f"blank_{i}").alias("n_null")) for i, f in enumerate(fields)]
+    catalog = [
+        F.struct(F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"), F.col(f"blank_{i}").alias("n_null"))
+        for i, f in enumerate(fields)
+    ]
+    return {
+        "dimensions": row.select(F.col("total").alias("n_rows"), F.lit(len(fields)).alias("n_columns")),
+        "columns": row.select(_long_form(catalog)),
+        "nulls": row.select("total", _long_form(nulls)).select("column", "n_null", _percent(F.col("n_null"), F.col("total")).alias("pct")),
+    }
+
+
 def describe_typed(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum and maximum of numeric columns."""
     stats = df.agg(

@@ -31,13 +31,16 @@ SUSPECT_COLUMNS = ("votes", "reviews_from_users", "reviews_from_critics", "durat
 
 
 def exploration(movies: DataFrame, ratings: DataFrame, key: str = "title_id") -> dict[str, DataFrame]:
-    """Sizes, columns, nulls, statistics, distinct values, top years and completeness."""
+    """Sizes, columns, nulls, statistics, distinct values, top years and completeness.
+
+    The files are parsed once and kept as Parquet; sizes, columns and nulls of
+    a frame come from one aggregate.
+    """
+    movies, ratings = materialize(movies, "movies"), materialize(ratings, "ratings")
     full = materialize(movies.join(ratings, key, "left"), "joined")
     found = {}
     for name, df in (("movies", movies), ("ratings", ratings), ("joined", full)):
-        found[f"{name}_dimensions"] = P.dimensions(df)
-        found[f"{name}_columns"] = P.schema_catalog(df)
-        found[f"{name}_nulls"] = P.null_profile(df)
+        found |= {f"{name}_{what}": part for what, part in P.frame_profile(df).items()}
     found["movies_year"] = P.describe_text(movies, ["year"])
     found["movies_stats"] = P.describe_typed(movies, ["duration"])
     found["ratings_stats"] = P.describe_typed(ratings, ["weighted_average_vote", "total_votes", "mean_vote", "median_vote"])

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from filmlens.operators import leakage as L
 from filmlens.operators.cleaning import clean_year, require
+from filmlens.plans import film
 from filmlens.registry.core import query
 from filmlens.registry.tables import PARTS_FILM_SQL, parts_film, rounded, table
 
@@ -59,3 +60,27 @@ def leakage_verdict(spark: SparkSession, sf: str) -> DataFrame:
 )
 def encoding_target_corr(spark: SparkSession, sf: str) -> DataFrame:
     return L.encoding_target_corr(table(spark, sf, "orders"), "o_custkey", "o_totalprice").withColumn("corr", rounded("corr"))
+
+
+_DIAGNOSIS_SQL = _CORR_SQL.replace("total_votes IS NOT NULL", "avg_vote IS NOT NULL").replace("corr(total_votes,", "corr(avg_vote,")
+
+
+@query(
+    "film_diagnosis_correlations",
+    f"""{_DIAGNOSIS_SQL} SELECT "column", round(corr, 6) AS corr,
+        CASE WHEN abs(corr) > 0.7 THEN 'strong' WHEN abs(corr) > 0.5 THEN 'moderate' WHEN abs(corr) > 0.3 THEN 'suspicious'
+             ELSE 'acceptable' END AS band FROM corrs""",
+)
+def film_diagnosis_correlations(spark: SparkSession, sf: str) -> DataFrame:
+    """From the whole diagnosis job."""
+    return film.diagnosis(parts_film(spark, sf))["correlations"].withColumn("corr", rounded("corr"))
+
+
+@query(
+    "film_diagnosis_verdict",
+    f"""{_DIAGNOSIS_SQL} SELECT count(*) AS n_flagged, coalesce(string_agg("column", ',' ORDER BY "column"), '') AS flagged,
+        CASE WHEN count(*) > 0 THEN 'detected' ELSE 'not detected' END AS verdict FROM corrs WHERE {_FLAG_SQL}""",
+)
+def film_diagnosis_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    """From the whole diagnosis job."""
+    return film.diagnosis(parts_film(spark, sf))["verdict"]
