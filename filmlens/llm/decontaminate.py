@@ -30,7 +30,7 @@ from filmlens.llm.tokens import _power, prefix_sums, slices
 Q = 10
 ERROR_PCT = 8
 """Edits allowed per hundred characters of a passage."""
-SEGMENT = 160
+SEGMENT = 80
 """Items of more than one and a half times this length are searched in overlapping passages of it."""
 BAND = 16
 BLOCK_CHARS = 1 << 21

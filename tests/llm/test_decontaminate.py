@@ -57,7 +57,7 @@ def cases():
     items = [(i, say(int(rng.integers(8, 70)))) for i in range(12)]
     docs = []
     for i, (_, t) in enumerate(items):
-        for n in (0, 3, 6, 9, 12, 14, 18):
+        for n in (0, 5, 9, 14):
             docs.append((len(docs), f"{say(i * 5)} {_edited(rng, t.upper(), n)}\n\n{say(12 - i)}"))
     docs += [(900, items[0][1]), (901, items[1][1][: len(items[1][1]) // 2]), (902, items[2][1] + items[2][1])]
     return docs, items
