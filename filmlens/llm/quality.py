@@ -1,11 +1,11 @@
 """Quality rules as a short-circuit cascade, cheapest rejection first.
 
-Each rule is a boolean column: true rejects the text. Rules read features, and
-features are columns too. The cost of a rule (seconds a row for it and the
-features it needs) and its selectivity (share of rows rejected) are measured on
-a sample; rules then run in the order of rejections per second. A chain of
-``CASE WHEN`` evaluates a rule only for rows that every earlier rule let pass,
-so the verdict does not depend on the order, only the work does.
+Each rule is a condition on features of the text: true rejects it. The cost of a
+rule (seconds a row for it and the features it needs) and its selectivity (share
+of rows rejected) are measured on a sample; rules then run in the order of
+rejections per second. In the cascade a feature is bound where the first rule
+needs it, behind all earlier rules, and is computed once and only for texts that
+come so far. The verdict does not depend on the order, only the work does.
 
 Everything is a built-in column expression: one scan, no shuffle.
 """
@@ -13,7 +13,7 @@ Everything is a built-in column expression: one scan, no shuffle.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,10 +31,11 @@ MAX_REPEAT_PCT = 50
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects`` is a condition on the feature columns (null counts as false)."""
+    """``rejects`` gives a condition on the features named by ``needs`` (null counts as false)."""
 
     name: str
-    rejects: Column
+    needs: tuple[str, ...]
+    rejects: Callable[[Mapping[str, Column]], Column]
 
 
 @dataclass(frozen=True)
@@ -75,32 +76,46 @@ def _repeat_words(found: Column) -> Column:
     return let(F.sort_array(windows), covered)
 
 
-def _features_of(text: Column) -> dict[str, Column]:
-    lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
-    return {
-        "word_chars": F.char_length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("bigint"),
-        "n_symbols": F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("bigint"),
-        "n_lines": F.size(lines).cast("bigint"),
-        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-        "n_letters": F.regexp_count(text, F.lit(r"\p{L}")).cast("bigint"),
-        "n_capitals": F.regexp_count(text, F.lit(r"\p{Lu}")).cast("bigint"),
-    }
-
-
-def features(text: Column) -> dict[str, Column]:
-    """Counts of one text by name; a null text counts as an empty one.
-
-    ``n_words``, ``word_chars`` (code points in words), ``n_symbols``,
-    ``n_lines`` (lines with a word), ``n_dup_lines`` (such lines equal to an
-    earlier one), ``n_repeat_words`` (words in 3-word windows found twice or
-    more, the first occurrence included), ``n_letters``, ``n_capitals``.
-    """
+def _lines(text: Column) -> Column:
+    return F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
+
+
+# How each feature follows from the text and from what is bound before it:
+# "words" and "lines" are lists, all others are counts.
+_FROM: dict[str, tuple[tuple[str, ...], Callable[[Column, Mapping[str, Column]], Column]]] = {
+    "words": ((), lambda text, f: words(text)),
+    "lines": ((), lambda text, f: _lines(text)),
+    "n_words": (("words",), lambda text, f: F.size(f["words"]).cast("bigint")),
+    "n_repeat_words": (("words",), lambda text, f: _repeat_words(f["words"]).cast("bigint")),
+    "word_chars": ((), lambda text, f: F.char_length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")).cast("bigint")),
+    "n_symbols": ((), lambda text, f: F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast("bigint")),
+    "n_lines": (("lines",), lambda text, f: F.size(f["lines"]).cast("bigint")),
+    "n_dup_lines": (("lines",), lambda text, f: (F.size(f["lines"]) - F.size(F.array_distinct(f["lines"]))).cast("bigint")),
+    "n_letters": ((), lambda text, f: F.regexp_count(text, F.lit(r"\p{L}")).cast("bigint")),
+    "n_capitals": ((), lambda text, f: F.regexp_count(text, F.lit(r"\p{Lu}")).cast("bigint")),
+}
+FEATURES = tuple(name for name in _FROM if name not in ("words", "lines"))
+"""``n_words``, ``word_chars`` (code points in words), ``n_symbols``, ``n_lines`` (lines with a word), ``n_dup_lines``
+(such lines equal to an earlier one), ``n_repeat_words`` (words in 3-word windows found twice or more, the first
+occurrence included), ``n_letters``, ``n_capitals``."""
+
+
+def _bound(text: Column, needs: Sequence[str], bound: Mapping[str, Column], body: Callable[[Mapping[str, Column]], Column]) -> Column:
+    """``body`` with the needed features bound, each computed once."""
+    for name in needs:
+        if name not in bound:
+            before, value = _FROM[name]
+            return _bound(
+                text, before, bound,
+                lambda f: let(value(text, f), lambda x: _bound(text, needs, {**f, name: x}, body)),
+            )
+    return body(bound)
+
+
+def features(text: Column) -> Column:
+    """A struct of all features of one text; a null text counts as an empty one."""
     whole = F.coalesce(text, F.lit(""))
-    counts = let(
-        words(text),
-        lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), _repeat_words(w).cast("bigint").alias("n_repeat_words")),
-    )
-    return {"_word_counts": counts} | _features_of(whole)
+    return _bound(whole, FEATURES, {}, lambda f: F.struct(*[f[name].alias(name) for name in FEATURES]))
 
 
 def base_failed() -> Column:
@@ -109,29 +124,28 @@ def base_failed() -> Column:
 
 def default_rules() -> list[Rule]:
     """Bounds that running prose keeps in any of the languages, by a wide margin."""
-    n = F.col("n_words")
     return [
-        Rule("too_few_words", n < MIN_WORDS),
-        Rule("repetitive", 100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * n),
-        Rule("symbols", 4 * F.col("n_symbols") > n),
-        Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
-        Rule("repeated_lines", 2 * F.col("n_dup_lines") > F.col("n_lines")),
-        Rule("few_letters", 2 * F.col("n_letters") < F.col("word_chars")),
-        Rule("capitals", 2 * F.col("n_capitals") > F.col("n_letters")),
+        Rule("too_few_words", ("n_words",), lambda f: f["n_words"] < MIN_WORDS),
+        Rule("repetitive", ("n_words", "n_repeat_words"), lambda f: 100 * f["n_repeat_words"] > MAX_REPEAT_PCT * f["n_words"]),
+        Rule("symbols", ("n_words", "n_symbols"), lambda f: 4 * f["n_symbols"] > f["n_words"]),
+        Rule("word_length", ("n_words", "word_chars"), lambda f: (f["word_chars"] < 2 * f["n_words"]) | (f["word_chars"] > 15 * f["n_words"])),
+        Rule("repeated_lines", ("n_lines", "n_dup_lines"), lambda f: 2 * f["n_dup_lines"] > f["n_lines"]),
+        Rule("few_letters", ("n_letters", "word_chars"), lambda f: 2 * f["n_letters"] < f["word_chars"]),
+        Rule("capitals", ("n_letters", "n_capitals"), lambda f: 2 * f["n_capitals"] > f["n_letters"]),
     ]
 
 
-def with_features(docs: DataFrame, text_column: str = "text", keep: Sequence[str] = ()) -> DataFrame:
-    """The columns ``keep`` and the feature columns."""
-    found = features(F.col(f"`{text_column}`"))
-    rest = [c.alias(name) for name, c in found.items()]
-    staged = docs.select(*[F.col(f"`{k}`") for k in keep], *rest)
-    return staged.select(
-        *[F.col(f"`{k}`") for k in keep],
-        F.col("_word_counts.n_words").alias("n_words"),
-        F.col("_word_counts.n_repeat_words").alias("n_repeat_words"),
-        *[name for name in found if name != "_word_counts"],
-    )
+def cascade(text: Column, rules: Sequence[Rule]) -> Column:
+    """Name of the first rule, in the given order, that rejects the text; null if none does."""
+    whole = F.coalesce(text, F.lit(""))
+
+    def chain(left: Sequence[Rule], bound: Mapping[str, Column]) -> Column:
+        if not left:
+            return F.lit(None).cast("string")
+        rule = left[0]
+        return _bound(whole, rule.needs, bound, lambda f: F.when(rule.rejects(f), F.lit(rule.name)).otherwise(chain(left[1:], f)))
+
+    return chain(rules, {})
 
 
 def estimate(docs: DataFrame, rules: Sequence[Rule], text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
@@ -145,19 +159,11 @@ def estimate(docs: DataFrame, rules: Sequence[Rule], text_column: str = "text",
     measured = []
     for rule in rules:
         started = time.monotonic()
-        rejected = with_features(sample).agg(F.count_if(F.coalesce(rule.rejects, F.lit(False))).alias("n")).first().n
+        rejected = sample.agg(F.count(cascade(F.col("text"), [rule])).alias("n")).first().n
         measured.append(Estimate(rule.name, (time.monotonic() - started) / n, rejected / n))
     return sorted(measured, key=lambda e: (-e.rank, e.rule))
 
 
-def cascade(rules: Sequence[Rule]) -> Column:
-    """Name of the first rule, in the given order, that rejects; null if none does."""
-    chain = None
-    for rule in rules:
-        chain = F.when(rule.rejects, F.lit(rule.name)) if chain is None else chain.when(rule.rejects, F.lit(rule.name))
-    return F.lit(None).cast("string") if chain is None else chain
-
-
 def order_rules(docs: DataFrame, rules: Sequence[Rule], text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     by_name = {rule.name: rule for rule in rules}
     return [by_name[e.rule] for e in estimate(docs, rules, text_column, sample_rows)]
@@ -177,8 +183,12 @@ def assess(
     names do not matter. An empty table gives an empty result.
     """
     ordered = order_rules(docs, rules or default_rules(), text_column, sample_rows)
-    found = with_features(docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text")), keep=["doc_id"])
-    return found.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & cascade(ordered).isNull()})
+    found = docs.select(F.col(f"`{id_column}`").alias("doc_id"), features(F.col(f"`{text_column}`")).alias("f")).select("doc_id", "f.*")
+    counted = {name: F.col(name) for name in FEATURES}
+    verdict = F.lit(True)
+    for rule in ordered:
+        verdict = verdict & ~F.coalesce(rule.rejects(counted), F.lit(False))
+    return found.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & verdict})
 
 
 def filter_quality(
@@ -190,10 +200,7 @@ def filter_quality(
     the rows that reach it. Column names of ``docs`` may be anything.
     """
     ordered = order_rules(docs, rules or default_rules(), text_column, sample_rows)
-    names = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), F.col(f"`{text_column}`").alias("text"))
-    judged = with_features(packed, keep=["_row"]).filter(cascade(ordered).isNull())
-    return judged.select(*[F.col("_row").getField(n).alias(n) for n in names])
+    return docs.filter(cascade(F.col(f"`{text_column}`"), ordered).isNull())
 
 
 NAME = "op1_quality_rules"
