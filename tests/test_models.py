@@ -201,3 +201,25 @@ def test_ridge_brute_force(spark):
     # The penalty applies to the standardised coefficients; lambda is given on the target's own scale.
     beta = np.linalg.solve(z.T @ z / len(y) + 0.1 / sy * np.eye(3), z.T @ t / len(y)) * sy / sx
     assert model.coefficients.toArray() == pytest.approx(beta, rel=2e-2)
+
+
+def test_a_read_of_one_side_leaves_out_the_other(spark):
+    from filmlens.plans.features import one_side, split_table
+
+    rows = split_table(spark.range(500).withColumnRenamed("id", "k"), ["k"], "sides")
+    train, test = one_side(rows, "train"), one_side(rows, "test")
+    assert "PartitionFilters: [isnotnull(side" in train._jdf.queryExecution().executedPlan().toString()
+    assert train.count() + test.count() == 500 and train.join(test, "k").count() == 0 and train.columns == ["k"]
+
+
+def test_texts_stay_below_every_shuffle(spark):
+    """Profiles and features read texts on their scan; what is shuffled or joined no longer has them."""
+    from filmlens.operators import profiling as P
+    from filmlens.registry.tables import documents_film, labelled_documents
+
+    for df in (P.null_profile(labelled_documents(spark, "/root/testdata/sf0.001", P.blank_marks)), documents_film(spark, "/root/testdata/sf0.001")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joined = next(line for line in plan.splitlines() if "Join" in line)
+        below = plan.split(joined)[1].splitlines()
+        project = next(line for line in below if "Project" in line)
+        assert " text#" not in project.replace("AS text#", "") and "[text#" not in project
