@@ -24,8 +24,8 @@ WEIGHTS: Mapping[str, float] = {"src0": 4.0, "src1": 2.0, "src2": 2.0}
 DEFAULT_WEIGHT = 1.0
 EPOCHS = 1.0
 SEED = 20240607
-MAX_RATE = 1000.0
-"""Largest mean repetition; a small source asked to be more is a mistake in the weights."""
+MAX_RATE = 100.0
+"""Largest mean repetition: a source smaller than a hundredth of its target is repeated so often and stays below its weight."""
 
 
 def uniform(*parts: Column) -> Column:
@@ -55,8 +55,9 @@ def source_rates(
     epochs: float = EPOCHS,
     source_column: str = "source",
     text_column: str = "text",
+    max_rate: float = MAX_RATE,
 ) -> DataFrame:
-    """One row per source: size (characters), weight, and mean repetition rate.
+    """One row per source: size (characters), weight, and mean repetition rate, at most ``max_rate``.
 
     Rows without a source form a source of their own with the default weight. A
     source without any character cannot be brought to a weight and keeps rate 1.
@@ -74,8 +75,7 @@ def source_rates(
         return sizes.withColumn("rate", F.lit(1.0))
     wanted = F.col("weight") / F.lit(float(whole.all_weights)) * F.lit(epochs * float(whole.all_chars))
     rate = F.when(F.col("n_chars") > 0, wanted / F.col("n_chars")).otherwise(F.lit(1.0))
-    capped = F.when(rate <= MAX_RATE, rate).otherwise(F.raise_error(F.concat(F.lit("repetition rate too large for source "), F.coalesce("source", F.lit("null")))))
-    return sizes.withColumn("rate", capped)
+    return sizes.withColumn("rate", F.least(rate, F.lit(max_rate)))
 
 
 def mix(
@@ -87,6 +87,7 @@ def mix(
     id_column: str = "doc_id",
     source_column: str = "source",
     text_column: str = "text",
+    max_rate: float = MAX_RATE,
 ) -> DataFrame:
     """The columns of ``docs`` with ``copy`` (1, 2, ...) and ``shuffle_key``, in the order of the latter.
 
@@ -95,7 +96,7 @@ def mix(
     size zero and are replicated with their source. An empty table gives an
     empty mix. Columns named ``copy`` or ``shuffle_key`` are replaced.
     """
-    rates = source_rates(docs, weights, default_weight, epochs, source_column, text_column)
+    rates = source_rates(docs, weights, default_weight, epochs, source_column, text_column, max_rate)
     # The written table's size is known to the planner: it is broadcast only where it is small.
     steps = materialize(rates.select(F.col("source").alias("_mix_source"), poisson_steps(F.col("rate")).alias("_mix_steps")), "source-steps")
     identity = F.col(f"`{id_column}`")
@@ -124,8 +125,8 @@ sizes AS (
     CASE source WHEN 'src0' THEN 4.0 WHEN 'src1' THEN 2.0 WHEN 'src2' THEN 2.0 ELSE 1.0 END::DOUBLE AS weight
   FROM mixed_from GROUP BY source
 ), rates AS (
-  SELECT source, CASE WHEN n_chars > 0 THEN weight / (SELECT sum(weight) FROM sizes WHERE n_chars > 0)
-    * (SELECT sum(n_chars) FROM sizes)::DOUBLE / n_chars ELSE 1.0 END AS rate
+  SELECT source, CASE WHEN n_chars > 0 THEN least(weight / (SELECT sum(weight) FROM sizes WHERE n_chars > 0)
+    * (SELECT sum(n_chars) FROM sizes)::DOUBLE / n_chars, {MAX_RATE}) ELSE 1.0 END AS rate
   FROM sizes
 ), steps AS (
   SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS upto

@@ -31,3 +31,9 @@ def test_mean_repetition_meets_the_weights(spark):
     out = mixing.mix(docs, weights={"small": 3.0, "large": 1.0})
     got = {r.source: r["count"] for r in out.groupBy("source").count().collect()}
     assert abs(got["small"] / 15000 - 1) < 0.03 and abs(got["large"] / 5000 - 1) < 0.05
+
+
+def test_a_tiny_source_is_repeated_within_bounds(spark):
+    docs = spark.createDataFrame([(i, "x" * 50000, "large") for i in range(3)] + [(9, "y", None)], "doc_id bigint, text string, source string")
+    out = mixing.mix(docs, weights={})
+    assert 50 < out.filter("source IS NULL").count() < 150
