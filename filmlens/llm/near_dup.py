@@ -181,10 +181,11 @@ def components(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     before, now = None, state(edges)
     while now != before:
         both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # Minima are written before they are joined: the join then has shuffles of its own, in which a hot node's rows are split.
+        least = materialize(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         large = both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = materialize(large.distinct(), "links")
-        small = large.join(large.groupBy("a").agg(F.min("b").alias("m")), "a")
+        small = large.join(materialize(large.groupBy("a").agg(F.min("b").alias("m")), "least"), "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).union(small.select("a", F.col("m").alias("b")))
         edges = materialize(small.filter("a <> b").distinct(), "links")
         before, now = now, state(edges)
@@ -360,7 +361,7 @@ def _near_duplicates(texts: DataFrame) -> DataFrame:
     of_class = narrow.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
     labelled = of_class.join(labels, F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("label", "class").alias("component"))
     labelled = materialize(labelled, "class-components")
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    least = materialize(labelled.groupBy("component").agg(F.min("least").alias("component_id")), "least-ids")
     ids = materialize(labelled.join(least, "component").select("class", "component_id"), "component-ids")
     alone: Column = F.col("class").isNull()
     return (
