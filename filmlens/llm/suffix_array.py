@@ -93,5 +93,26 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-# One row per byte and window is too much for SQL over whole tables; tests hold the query against brute force.
-ORACLE_SQL = None
+# Bytes are written as two hexadecimal digits each.
+ORACLE_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents
+), windows AS (
+  SELECT doc_id, p, md5(substr(h, CAST(2 * p + 1 AS BIGINT), 400)) AS k FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 199, 0))) AS p FROM d)
+), twice AS (
+  SELECT doc_id, p FROM windows QUALIFY count(*) OVER (PARTITION BY k) > 1
+), starts AS (
+  SELECT doc_id, p, CASE WHEN p - lag(p) OVER o <= 200 THEN 0 ELSE 1 END AS new FROM twice WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+), runs AS (
+  SELECT doc_id, min(p) AS a, max(p) + 200 AS b FROM (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM starts) GROUP BY doc_id, r
+), pieces AS (
+  SELECT doc_id, coalesce(lag(b) OVER o, 0) AS a, a AS b FROM runs WINDOW o AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL SELECT d.doc_id, coalesce(max(r.b), 0), any_value(d.n) FROM d LEFT JOIN runs r USING (doc_id) GROUP BY d.doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, CAST(2 * a + 1 AS BIGINT), CAST(2 * (b - a) AS BIGINT)), '' ORDER BY a) AS h FROM pieces JOIN d USING (doc_id) GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k.h, ''))) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id) LEFT JOIN counted USING (doc_id)
+"""
