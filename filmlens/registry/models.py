@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,10 @@ from filmlens.operators.leakage import importance_share
 from filmlens.operators.relational import split_by_key
 from filmlens.plans import evaluation as V
 from filmlens.plans.features import feature_summary
-from filmlens.plans.models import ENSEMBLE_WEIGHTS, TrainedVariant, prepare, train_variant, weighted_sum
+from filmlens.plans.models import ENSEMBLE_WEIGHTS, TrainedVariant, prepare, regressors, train_variant, weighted_sum
 from filmlens.plans.variants import INTRINSIC_FREQUENCY, INTRINSIC_TARGET, WITH_POPULARITY, Variant
 from filmlens.registry.core import query
-from filmlens.registry.tables import DOCUMENT_LIMITS, PARTS_LIMITS, documents_film, draw_sql, parts_film, rounded, table
+from filmlens.registry.tables import DOCUMENT_LIMITS, PARTS_FILM_SQL, PARTS_LIMITS, documents_film, draw_sql, parts_film, rounded, table
 from filmlens.sources.sinks import save_table
 from filmlens.sources.staging import materialize, staging_path
 
@@ -271,6 +272,43 @@ def _whole_report(spark: SparkSession, sf: str, variant: Variant) -> TrainedVari
     return _parts_model(spark, sf, variant, "ridge", "forest", "gbt")
 
 
+_RIDGE_SQL = f"""
+    WITH r AS (SELECT title_id, avg_vote AS y, CAST(duration AS DOUBLE) AS a, reviews_from_users AS b FROM ({PARTS_FILM_SQL})
+               WHERE avg_vote IS NOT NULL),
+    m AS (SELECT avg(y) AS my, avg(a) AS ma, avg(b) AS mb, stddev_pop(y) AS sy, stddev_pop(a) AS sa, stddev_pop(b) AS sb,
+                 corr(a, b) AS ab, corr(a, y) AS ay, corr(b, y) AS byy, 1 + 0.1::DOUBLE / stddev_pop(y) AS d FROM r),
+    w AS (SELECT *, (d * ay - ab * byy) / (d * d - ab * ab) * sy / sa AS wa, (d * byy - ab * ay) / (d * d - ab * ab) * sy / sb AS wb FROM m)
+    SELECT title_id, round(my + wa * (a - ma) + wb * (b - mb), 6) AS prediction FROM r CROSS JOIN w
+"""
+
+
+@query("model_ridge_two_features", _RIDGE_SQL)
+def model_ridge_two_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The ridge estimator on two features, for which SQL can state the solution."""
+    rows = parts_film(spark, sf).filter("avg_vote IS NOT NULL").select("title_id", "avg_vote", "duration", "reviews_from_users")
+    assembled = VectorAssembler(inputCols=["duration", "reviews_from_users"], outputCol="scaled_features").transform(rows)
+    fitted = regressors("avg_vote")["ridge"].fit(assembled)
+    return fitted.transform(assembled).select("title_id", rounded("pred_ridge").alias("prediction"))
+
+
+@query(
+    "model_trees_one_split",
+    f"""WITH r AS (SELECT title_id, avg_vote AS y, duration > 25 AS flag FROM ({PARTS_FILM_SQL}) WHERE avg_vote IS NOT NULL)
+        SELECT title_id, round(avg(y) OVER (PARTITION BY flag), 6) AS pred_forest, round(avg(y) OVER (PARTITION BY flag), 6) AS pred_gbt FROM r""",
+)
+def model_trees_one_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Both tree estimators cut down to one tree with one split and no bagging: the mean of each side."""
+    flag = (F.col("duration") > 25).cast("double").alias("flag")
+    rows = parts_film(spark, sf).filter("avg_vote IS NOT NULL").select("title_id", "avg_vote", flag)
+    assembled = VectorAssembler(inputCols=["flag"], outputCol="scaled_features").transform(rows)
+    estimators = regressors("avg_vote", gbt_iterations=1, forest_trees=1)
+    estimators["forest"].setBootstrap(False)
+    for name in ("forest", "gbt"):
+        fitted = estimators[name].setMaxDepth(1).setSubsamplingRate(1.0).fit(assembled)
+        assembled = fitted.transform(assembled)
+    return assembled.select("title_id", *[rounded(f"pred_{name}").alias(f"pred_{name}") for name in ("forest", "gbt")])
+
+
 def _register_report(name: str, variant: Variant) -> None:
     def report(spark: SparkSession, sf: str) -> DataFrame:
         """Metrics with gains over the baseline, rank and bands of every model of the variant."""
