@@ -87,12 +87,11 @@ def base_spans(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     none = F.array().cast(_SPAN)
     has = lambda ok, spans: F.when(ok, spans).otherwise(none)
-    digit = text.rlike("[0-9]{2}")
     return F.sort_array(
         F.concat(
             has(F.contains(text, F.lit("@")), _places(text, _EMAIL, 0, lambda m: F.lit(True))),
             has(text.rlike(r"[0-9]\.[0-9]"), _places(text, _IP, 1, _ip_valid)),
-            has(digit, _places(text, _CARD, 2, _card_valid)),
+            has(text.rlike(r"[0-9][\x20-]?[0-9]"), _places(text, _CARD, 2, _card_valid)),
             has(F.contains(text, F.lit("+")), _places(text, _PHONE, 3, _phone_valid)),
         )
     )

@@ -36,6 +36,14 @@ def test_edges(spark):
     assert _find(spark, EDGE) == _sorted(brute.pii(EDGE))
 
 
+def test_card_of_single_digits(spark):
+    card = "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"
+    rows = [(1, f"card {card}"), (2, "card " + card.replace(" ", "-")), (3, "1 2 and 3"), (4, "4  1  1")]
+    assert _find(spark, rows) == _sorted(brute.pii(rows))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert [r.text for r in pii.sanitise(docs).orderBy("doc_id").collect()] == ["card [CARD]", "card [CARD]", "1 2 and 3", "4  1  1"]
+
+
 def _secretive():
     rows = [(i, f"plain filler number {'abcdefghij'[i % 10]}word text about nothing in particular") for i in range(900)]
     rows += [(1000 + i, f"{'pqrstuvw'[i]}extra falconer writes from jo@mail.org {'klmnopqr'[i]}ending") for i in range(8)]
