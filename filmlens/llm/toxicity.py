@@ -3,8 +3,8 @@
 Features are words and their beginnings of 4 to 7 bytes, hashed; one that
 occurs 2, 3 or 5 times in a text is a further feature each time, so that the
 cosine, which forgets lengths, still sees how often it occurs. A bounded
-sample of labelled texts is the example set; from it the features that tell the
-classes apart are chosen. Document frequencies of the chosen features are
+sample of labelled texts is the example set; from it all features that tell the
+classes apart are taken. Document frequencies of the chosen features are
 counted over all documents. The examples form an inverted index whose postings
 are cut into blocks of examples; for each feature and block the largest weight
 is kept. A query adds up these maxima, visits blocks from the largest bound
@@ -32,7 +32,6 @@ from filmlens.sources.staging import materialize
 
 EXAMPLES = 2000
 """Most labelled texts of each class that are used: a bounded sample, by a hash of the id."""
-FEATURES = 1000
 MIN_TEXTS = 3
 MIN_LIFT = 4.0
 NEIGHBOURS = 15
@@ -243,11 +242,12 @@ def _examples(docs: DataFrame, labels: DataFrame, limit: int) -> tuple[DataFrame
     return materialize(rows, "examples"), sizes
 
 
-def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", limit: int = EXAMPLES, n_features: int = FEATURES) -> tuple[Model | None, DataFrame | None]:
+def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", limit: int = EXAMPLES, n_features: int | None = None) -> tuple[Model | None, DataFrame | None]:
     """The model, and the feature vectors of all rows (written); None if there is no usable example.
 
     ``labels`` has doc_id and toxic (0 or 1; other values are not used, of
     repeated rows the larger counts). Rows held out by their id are not read.
+    Every feature that tells the classes apart is used; ``n_features`` keeps only the best.
     """
     narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
     examples, sizes = _examples(narrow, labels, limit)
@@ -261,7 +261,10 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     pooled = (F.col("t") + F.col("c")) / (n_toxic + n_clean)
     telling = (p_toxic - p_clean) ** 2 / (pooled * (1.0 - pooled) + 1e-9)
     lift = p_toxic * max(n_clean, 1.0) >= MIN_LIFT * (F.col("c") + 0.5)
-    best = both.filter((F.col("t") >= MIN_TEXTS) & lift).orderBy(telling.desc(), "feature", "level").limit(n_features)
+    # As many as a bounded number of examples has.
+    best = both.filter((F.col("t") >= MIN_TEXTS) & lift)
+    if n_features is not None:
+        best = best.orderBy(telling.desc(), "feature", "level").limit(n_features)
     chosen = Chosen.of([(r.feature, r.level) for r in best.select("feature", "level").collect()])
 
     vectors = materialize(_vectors(narrow, chosen, "doc_id", "bigint"), "vectors")
@@ -282,7 +285,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     return model, vectors
 
 
-def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", limit: int = EXAMPLES, n_features: int = FEATURES) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", limit: int = EXAMPLES, n_features: int | None = None) -> DataFrame:
     """One row per input row: ``doc_id``, ``held_out``, ``score``, ``predicted``, ``evidence`` (ids of the nearest examples).
 
     A text without any chosen feature, null and empty ones too, has no nearest

@@ -56,3 +56,14 @@ def test_edges(spark):
     assert all(r.predicted == 1 for i in range(4, 12) for r in by_id[i]) and all(r.predicted == 0 for i in range(12, 22) for r in by_id[i])
     assert {r.score for r in toxicity.score(docs, labels.limit(0)).collect()} == {0.0}
     assert toxicity.score(docs.limit(0), labels).collect() == []
+
+
+def test_all_telling_features_are_used(spark):
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvw"), 9))
+    common = " ".join(word() for _ in range(300))
+    texts = [f"{common} {word()}" for _ in range(30)] + [f"xyzzyish {word()}" for _ in range(12)] + [f"calm day {word()}" for _ in range(60)]
+    docs = spark.createDataFrame([*enumerate(texts), (9000, "a xyzzyish thing")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i < 42)) for i in range(len(texts))], "doc_id bigint, toxic int")
+    found = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}[9000]
+    assert found.evidence and all(30 <= i < 42 for i in found.evidence) and found.predicted == 1
