@@ -31,7 +31,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of the documents by the target weights, in shuffled order: ``copy`` and ``shuffle_key`` are added."""
-    return mixing.mix(docs)
+    return mixing.mix(docs, max_rate=None)
 
 
 STAGES = [

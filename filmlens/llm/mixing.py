@@ -5,9 +5,10 @@ repetition rate is its share of the wanted size over its present size. Each
 document draws its number of copies from the Poisson distribution of that mean:
 the distribution function is inverted at a number hashed from the document's id
 and the seed, so a repeated task draws the same copies again and no state is
-shared. Documents are exploded by their counts and the copies are put into a
-global order by another hash: a range shuffle whose keys are evenly spread, so
-a hot source, or a document with many copies, is dealt over all tasks.
+shared. A large rate is drawn as a sum of Poisson counts of bounded mean, each
+at a hash of its own. Documents are exploded by their counts and the copies are
+put into a global order by another hash: a range shuffle whose keys are evenly
+spread, so a hot source, or a document with many copies, is dealt over all tasks.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ DEFAULT_WEIGHT = 1.0
 EPOCHS = 1.0
 SEED = 20240607
 MAX_RATE = 100.0
-"""Largest mean repetition: a source smaller than a hundredth of its target is repeated so often and stays below its weight."""
+"""The bound of ``mix`` where none is given: a source smaller than a hundredth of its target is repeated so often and stays below its weight. The query and the pipeline have no bound."""
+PART_RATE = 100.0
+"""Largest mean of one Poisson draw; a larger rate is split into equal parts."""
 
 
 def uniform(*parts: Column) -> Column:
@@ -55,9 +58,9 @@ def source_rates(
     epochs: float = EPOCHS,
     source_column: str = "source",
     text_column: str = "text",
-    max_rate: float = MAX_RATE,
+    max_rate: float | None = MAX_RATE,
 ) -> DataFrame:
-    """One row per source: size (characters), weight, and mean repetition rate, at most ``max_rate``.
+    """One row per source: size (characters), weight, and mean repetition rate, at most ``max_rate`` (None: as large as the weights ask).
 
     Rows without a source form a source of their own with the default weight. A
     source without any character cannot be brought to a weight and keeps rate 1.
@@ -75,7 +78,7 @@ def source_rates(
         return sizes.withColumn("rate", F.lit(1.0))
     wanted = F.col("weight") / F.lit(float(whole.all_weights)) * F.lit(epochs * float(whole.all_chars))
     rate = F.when(F.col("n_chars") > 0, wanted / F.col("n_chars")).otherwise(F.lit(1.0))
-    return sizes.withColumn("rate", F.least(rate, F.lit(max_rate)))
+    return sizes.withColumn("rate", rate if max_rate is None else F.least(rate, F.lit(max_rate)))
 
 
 def mix(
@@ -87,22 +90,27 @@ def mix(
     id_column: str = "doc_id",
     source_column: str = "source",
     text_column: str = "text",
-    max_rate: float = MAX_RATE,
+    max_rate: float | None = MAX_RATE,
 ) -> DataFrame:
     """The columns of ``docs`` with ``copy`` (1, 2, ...) and ``shuffle_key``, in the order of the latter.
 
     Rows with the same id draw the same number of copies; a null id draws as
     the text "null". Null sources are one source, null and empty texts count as
     size zero and are replicated with their source. An empty table gives an
-    empty mix. Columns named ``copy`` or ``shuffle_key`` are replaced.
+    empty mix. Columns named ``copy`` or ``shuffle_key`` are replaced. With
+    ``max_rate`` None every source reaches its weight, however small it is.
     """
     rates = source_rates(docs, weights, default_weight, epochs, source_column, text_column, max_rate)
     # The written table's size is known to the planner: it is broadcast only where it is small.
-    steps = materialize(rates.select(F.col("source").alias("_mix_source"), poisson_steps(F.col("rate")).alias("_mix_steps")), "source-steps")
+    parts = F.greatest(F.ceil(F.col("rate") / PART_RATE).cast("int"), F.lit(1))
+    steps = materialize(rates.select(F.col("source").alias("_mix_source"), parts.alias("_mix_parts"), poisson_steps(F.col("rate") / parts).alias("_mix_steps")), "source-steps")
     identity = F.col(f"`{id_column}`")
     names = [n for n in docs.columns if n not in ("copy", "shuffle_key")]
     drawn = docs.join(steps, F.col(f"`{source_column}`").eqNullSafe(F.col("_mix_source")), "left").withColumn("_mix_u", uniform(F.lit(seed), identity))
-    count = F.size(F.filter("_mix_steps", lambda c: c < F.col("_mix_u")))
+    below = lambda u: F.size(F.filter("_mix_steps", lambda c: c < u))
+    others = F.transform(F.sequence(F.lit(2), F.col("_mix_parts")), lambda part: uniform(F.lit(seed), identity, part))
+    more = F.aggregate(others, F.lit(0), lambda n, u: n + below(u))
+    count = below(F.col("_mix_u")) + F.when(F.col("_mix_parts") > 1, more).otherwise(0)
     copies = drawn.select(
         *[F.col(f"`{n}`") for n in names],
         F.explode(F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))).alias("copy"),
@@ -116,7 +124,7 @@ NAME = "op5_mix_sources"
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """The mix of all documents at the production weights."""
-    return mix(table(spark, folder, "documents"))
+    return mix(table(spark, folder, "documents"), max_rate=None)
 
 
 MIX_SQL = f"""

@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import corpus_pipeline
 from filmlens.llm import mixing
 
 
@@ -37,3 +38,17 @@ def test_a_tiny_source_is_repeated_within_bounds(spark):
     docs = spark.createDataFrame([(i, "x" * 50000, "large") for i in range(3)] + [(9, "y", None)], "doc_id bigint, text string, source string")
     out = mixing.mix(docs, weights={})
     assert 50 < out.filter("source IS NULL").count() < 150
+
+
+def test_tiny_sources_reach_their_weight_in_query_and_pipeline(spark, tmp_path):
+    rows = [(i, "x" * 40000, "en", f"src{3 + i % 3}", 40000) for i in range(6)] + [(100 + i, "y" * 20, "en", "tiny", 20) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    # 100 of 240100 characters are to be a quarter: each text 600 times.
+    for out in (mixing.query(spark, str(tmp_path)), corpus_pipeline.source_mix(spark, docs, str(tmp_path))):
+        copies = Counter(r.doc_id for r in out.filter("source = 'tiny'").select("doc_id").collect())
+        assert len(copies) == 5 and len(set(copies.values())) > 1
+        assert all(abs(n - 600.25) < 5 * 600.25**0.5 for n in copies.values())
+        assert out.select("doc_id", "copy").distinct().count() == out.count()
+    again = {(r.doc_id, r.copy, r.shuffle_key) for r in mixing.query(spark, str(tmp_path)).collect()}
+    assert again == {(r.doc_id, r.copy, r.shuffle_key) for r in mixing.query(spark, str(tmp_path)).collect()}
