@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filmlens.llm import decontaminate, html_text, mixing, near_dup, pii, quality, secrets, substrings, suffix_array, toxicity
+from filmlens.llm import decontaminate, html_text, mixing, near_dup, pii, quality, resampling, secrets, substrings, suffix_array, toxicity
 
-_MODULES = (quality, decontaminate, mixing, near_dup, pii, secrets, toxicity, substrings, suffix_array, html_text)
+_MODULES = (quality, decontaminate, mixing, near_dup, pii, secrets, toxicity, substrings, suffix_array, html_text, resampling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
