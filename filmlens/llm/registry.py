@@ -6,9 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from filmlens.llm import decontaminate, html_text, licenses, mixing, near_dup, pii, quality, resampling, secrets, substrings, suffix_array, toxicity
-
-_MODULES = (quality, decontaminate, mixing, near_dup, pii, secrets, toxicity, substrings, suffix_array, html_text, licenses, resampling)
+from filmlens.llm import (
+    conversations,
+    decontaminate,
+    html_text,
+    licenses,
+    mixing,
+    near_dup,
+    pii,
+    quality,
+    resampling,
+    secrets,
+    substrings,
+    suffix_array,
+    toxicity,
+)
+
+_MODULES = (quality, decontaminate, mixing, near_dup, pii, secrets, toxicity, substrings, suffix_array, html_text, licenses, conversations, resampling)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
