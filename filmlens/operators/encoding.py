@@ -7,12 +7,14 @@ driver and no Python function runs per row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmlens.operators.lookup import Lookup, build_lookup, lookup_join
+from filmlens.operators.relational import hash_number
 
 
 @dataclass(frozen=True)
@@ -83,6 +85,91 @@ def encode_apply(df: DataFrame, encoding: Encoding, spread: list[str] | None = N
     return joined.withColumn(encoding.output, value).drop(encoding.column)
 
 
+@dataclass(frozen=True)
+class FoldedEncoding:
+    """A target encoder with one value per category and fold, each fitted on the rows of all other folds.
+
+    The mapping has an array ``encodings`` of ``folds + 1`` values: the one at a
+    fold's number leaves that fold out, the last leaves nothing out. ``defaults``
+    are the values for unseen categories, in the same order.
+    """
+
+    column: str
+    lookup: Lookup
+    defaults: tuple[float | None, ...]
+    keys: tuple[str, ...]
+    seed: int
+
+    @property
+    def folds(self) -> int:
+        return len(self.defaults) - 1
+
+    @property
+    def mapping(self) -> DataFrame:
+        return self.lookup.table
+
+    @property
+    def output(self) -> str:
+        return f"{self.column}_encoded"
+
+    def fold(self) -> Column:
+        """The fold of a training row."""
+        return fold_number(self.keys, self.folds, self.seed)
+
+
+FOLD_SEED = 43
+
+
+def fold_number(keys: Sequence[str], folds: int, seed: int = FOLD_SEED) -> Column:
+    """A fold, 0 to ``folds - 1``, that depends only on the key values and the seed."""
+    return F.pmod(hash_number(keys, seed), F.lit(folds)).cast("int")
+
+
+def kfold_encode_fit(
+    train: DataFrame, column: str, target: str, keys: Sequence[str], folds: int = 5, smoothing: float = 10.0, seed: int = FOLD_SEED
+) -> FoldedEncoding:
+    """Smoothed category means for each fold, from the rows of the other folds only.
+
+    A training row's own target, and those of its whole fold, are not part of its
+    encoding. One grouped aggregate keeps the sums without each fold side by side;
+    sums are never subtracted from each other. Null is a category.
+    """
+    if folds < 2:
+        raise ValueError("folds must be at least 2")
+    rows = train.select(F.col(column), F.col(target).cast("double").alias("__y"), fold_number(keys, folds, seed).alias("__fold"))
+    outside = [F.col("__fold") != k for k in range(folds)] + [F.lit(True)]
+    stats = rows.groupBy(column).agg(
+        F.count(F.lit(1)).alias("category_count"),
+        *[F.coalesce(F.sum(F.when(o, F.col("__y"))), F.lit(0.0)).alias(f"sum_{k}") for k, o in enumerate(outside)],
+        *[F.count_if(o).alias(f"rows_{k}") for k, o in enumerate(outside)],
+        *[F.count_if(o & F.col("__y").isNotNull()).alias(f"known_{k}") for k, o in enumerate(outside)],
+    )
+    n = range(folds + 1)
+    means = [F.try_divide(F.sum(f"sum_{k}"), F.sum(f"known_{k}")).alias(f"mean_{k}") for k in n]
+    lookup, measured = build_lookup(stats, column, "category_count", "category_count", f"folded-means-{column}", *means)
+    defaults = tuple(measured[f"mean_{k}"] for k in n)
+
+    def smoothed(k: int) -> Column:
+        # The mean over the rows with a target, weighted by all rows, as in the plain encoder.
+        mean = F.try_divide(F.col(f"sum_{k}"), F.col(f"known_{k}"))
+        value = (mean * F.col(f"rows_{k}") + F.lit(defaults[k]) * F.lit(smoothing)) / (F.col(f"rows_{k}") + F.lit(smoothing))
+        return F.when(F.col(f"known_{k}") > 0, value).otherwise(F.lit(defaults[k]))
+
+    return FoldedEncoding(column, lookup.derive("encodings", F.array(*[smoothed(k) for k in n])), defaults, tuple(keys), seed)
+
+
+def kfold_encode_apply(
+    df: DataFrame, encoding: FoldedEncoding, training: Column, spread: list[str] | None = None, broadcast_bytes: int | None = None
+) -> DataFrame:
+    """Replace the category by its encoding: without the row's own fold where ``training`` holds, of all folds elsewhere."""
+    place = F.when(training, encoding.fold()).otherwise(encoding.folds)
+    placed = df.withColumn("__place_of_fold", place)
+    joined = lookup_join(placed, encoding.column, encoding.lookup, encoding.output, spread, broadcast_bytes)
+    defaults = F.array(*[F.lit(d).cast("double") for d in encoding.defaults])
+    value = F.coalesce(F.get(encoding.output, F.col("__place_of_fold")), F.get(defaults, F.col("__place_of_fold")))
+    return joined.withColumn(encoding.output, value).drop(encoding.column, "__place_of_fold")
+
+
 def encoding_sizes(encodings: list[Encoding]) -> DataFrame:
     """Number of categories behind each fitted encoder."""
     sizes = [

@@ -62,16 +62,20 @@ def first_last(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[s
     )
 
 
-def hash_percent(keys: Sequence[str], seed: int = 42) -> Column:
-    """A number 0-99 that depends only on the key values and the seed.
+def hash_number(keys: Sequence[str], seed: int = 42) -> Column:
+    """32 bits that depend only on the key values and the seed.
 
-    Unlike a random draw it does not change with the partitioning or when a
-    lost task is run again, and unlike plain key arithmetic it does not
+    Unlike a random draw they do not change with the partitioning or when a
+    lost task is run again, and unlike plain key arithmetic they do not
     inherit a pattern in the keys.
     """
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
-    head = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
-    return F.pmod(head, F.lit(100)).cast("int")
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_percent(keys: Sequence[str], seed: int = 42) -> Column:
+    """A number 0-99 that depends only on the key values and the seed."""
+    return F.pmod(hash_number(keys, seed), F.lit(100)).cast("int")
 
 
 def sample_by_key(df: DataFrame, keys: Sequence[str], percent: int, seed: int = 42) -> DataFrame:

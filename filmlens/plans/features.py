@@ -25,9 +25,12 @@ from filmlens.functions.derive import derive_popularity, derive_temporal
 from filmlens.functions.stopwords import ENGLISH
 from filmlens.operators.encoding import (
     Encoding,
+    FoldedEncoding,
     TopCategories,
     encode_apply,
     frequency_encode_fit,
+    kfold_encode_apply,
+    kfold_encode_fit,
     target_encode_fit,
     top_categories_apply,
     top_categories_fit,
@@ -43,7 +46,7 @@ class FeatureFrame:
 
     variant: Variant
     rows: DataFrame
-    encodings: dict[str, Encoding]
+    encodings: dict[str, Encoding | FoldedEncoding]
     top_genres: TopCategories
     limits: Mapping[str, float]
 
@@ -54,7 +57,10 @@ class FeatureFrame:
     def apply(self, df: DataFrame) -> DataFrame:
         """Encode the categories, reduce the genres and derive the row features."""
         for encoding in self.encodings.values():
-            df = encode_apply(df, encoding, [self.variant.key])
+            if isinstance(encoding, FoldedEncoding):
+                df = kfold_encode_apply(df, encoding, F.col("side") == "train", [self.variant.key])
+            else:
+                df = encode_apply(df, encoding, [self.variant.key])
         df = self.temporal(top_categories_apply(df, self.top_genres, spread=[self.variant.key]))
         return derive_popularity(df) if self.variant.popularity else df
 
@@ -84,6 +90,13 @@ def split_table(
     return materialize(df.withColumn("side", side), name, spread or keys, ["side"])
 
 
+def fit_encoder(train: DataFrame, variant: Variant, column: str) -> Encoding | FoldedEncoding:
+    """The variant's encoder, fitted on one category column of the training rows."""
+    if variant.encoder == "kfold":
+        return kfold_encode_fit(train, column, variant.target, [variant.key], variant.folds, variant.smoothing)
+    return target_encode_fit(train, column, variant.target, variant.smoothing) if variant.encoder == "target" else frequency_encode_fit(train, column)
+
+
 def feature_frame(rows: DataFrame, variant: Variant, **limits: float) -> FeatureFrame:
     """Fit the encoders and the genre list on the training rows of ``rows``, which have a ``side``.
 
@@ -92,10 +105,7 @@ def feature_frame(rows: DataFrame, variant: Variant, **limits: float) -> Feature
     encoders are chained.
     """
     train = one_side(rows, "train")
-    encodings = {
-        c: target_encode_fit(train, c, variant.target, variant.smoothing) if variant.encoder == "target" else frequency_encode_fit(train, c)
-        for c in variant.categories
-    }
+    encodings = {c: fit_encoder(train, variant, c) for c in variant.categories}
     top = top_categories_fit(train, variant.genre, variant.top_genres)
     return FeatureFrame(variant, rows, encodings, top, limits)
 

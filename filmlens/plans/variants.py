@@ -1,4 +1,4 @@
-"""The three model variants: what is required, how categories are encoded, what is assembled."""
+"""The model variants: what is required, how categories are encoded, what is assembled."""
 
 from __future__ import annotations
 
@@ -32,6 +32,7 @@ class Variant:
     genre_width: int = 16
     top_genres: int = 30
     smoothing: float = 10.0
+    folds: int = 5
 
     @property
     def width(self) -> int:
@@ -78,4 +79,11 @@ INTRINSIC_FREQUENCY = Variant(
     ensemble=False,
 )
 
-VARIANTS = {v.name: v for v in (WITH_POPULARITY, INTRINSIC_TARGET, INTRINSIC_FREQUENCY)}
+INTRINSIC_KFOLD = Variant(
+    name="intrinsic_kfold",
+    encoder="kfold",
+    required=INTRINSIC_REQUIRED,
+    numeric=INTRINSIC_TARGET.numeric,
+)
+
+VARIANTS = {v.name: v for v in (WITH_POPULARITY, INTRINSIC_TARGET, INTRINSIC_FREQUENCY, INTRINSIC_KFOLD)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from filmlens.registry import basics, encoding, files, leakage, models, profiles, searches, text  # noqa: F401
+from filmlens.registry import basics, encoding, files, leakage, models, profiles, searches, text, validation  # noqa: F401
 from filmlens.registry.core import ENTRIES, oracle_sql, queries
 
 __all__ = ["ENTRIES", "oracle_sql", "queries"]
