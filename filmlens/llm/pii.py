@@ -2,15 +2,18 @@
 
 Patterns find the protected entities (addresses, numbers) with their places.
 Sanitisation by information content then asks which ordinary terms reveal them:
-from the whole corpus it counts in how many different contexts a term stands
-beside an entity, and in how many different texts the term occurs at all. A
-term discloses an entity by the posterior p(entity | term) and by the
-information log2(p(entity | term) / p(entity)). Terms above the first threshold
-are generalised, terms above the second are removed, wherever they occur.
-
-Copies of one text are one piece of evidence: contexts and texts are counted by
-content. All of it is built-in column expressions, joins and aggregates with
-partial aggregation; a hot entity or term never meets in one task.
+from the whole corpus it counts in how many different texts a term stands beside
+an entity (within ``NEAR_WORDS`` words and ``NEAR_CHARS`` characters), and in how
+many the term occurs at all. A term discloses an entity by the posterior
+p(entity | term) and by the information log2(p(entity | term) / p(entity)). Terms
+above the first threshold are generalised, terms above the second are removed,
+wherever they occur.
+
+Copies of one text are one piece of evidence: texts are counted by content. All
+of it is built-in column expressions, joins and aggregates with partial
+aggregation; a hot entity or term never meets in one task. Work grows with the
+length of a text, however many matches are in it: places come from running sums,
+and what lies around them from blocks of the text.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmlens.llm.common import let, table
+from filmlens.llm.common import blocks, let, piece, running, table
 from filmlens.sources.staging import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -33,16 +36,17 @@ _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _TERM = r"\p{L}{4,}+"
 
-MIN_CONTEXTS = 3
-"""Contexts in which a term must stand beside an entity before it can count as revealing."""
+MIN_TEXTS = 3
+"""Different texts in which a term must stand beside an entity before it can count as revealing."""
 GENERALISE = 0.5
 REMOVE = 0.9
 """Thresholds of p(entity | term)."""
 MIN_BITS = 6.0
 NEAR_CHARS = 200
 NEAR_WORDS = 8
+"""A term is beside an entity within so many characters and terms on either side; further words are no evidence."""
 
-_SPAN = "array<struct<start:int,kind:int,end:int>>"
+_SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
 def _digits(match: Column) -> Column:
@@ -65,21 +69,20 @@ def _phone_valid(match: Column) -> Column:
 
 def _places(text: Column, pattern: str, kind: int, valid) -> Column:
     """Spans of the valid matches; the places follow from the lengths of what lies between matches."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.char_length(x["gap"])
-        end = begin + F.char_length(x["match"])
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        return F.struct(
-            F.coalesce(end, acc["at"]).alias("at"),
-            F.when(x["match"].isNotNull() & valid(x["match"]), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
-        )
-
     gaps = F.split(text, pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    both = F.zip_with(gaps, matches, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
-    return F.aggregate(both, start, step, lambda acc: acc["spans"])
+    parts = F.zip_with(gaps, matches, lambda gap, match: F.struct(F.char_length(gap).alias("gap"), match.alias("value")))
+    length = lambda x: x["gap"] + F.coalesce(F.char_length(x["value"]), F.lit(0))
+
+    def span(x: Column, before: Column) -> Column:
+        start = before + x["gap"]
+        return F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + F.char_length(x["value"])).alias("end"), x["value"].alias("value"))
+
+    def placed(parts: Column) -> Column:
+        before = let(F.transform(parts, length), lambda lengths: running(lengths, F.lit(0), lambda a, x: a + x))
+        return F.filter(F.zip_with(parts, before, span), lambda s: s["value"].isNotNull() & valid(s["value"]))
+
+    return let(parts, placed)
 
 
 def base_spans(text: Column) -> Column:
@@ -102,27 +105,42 @@ def _terms(text: Column) -> Column:
 
 
 def _mentions(spanned: DataFrame) -> DataFrame:
-    """One row per term and entity mention: entity, hash of the context, term."""
-    one = spanned.filter(F.size("spans") > 0).select("text", F.explode("spans").alias("s"))
-    begin, end = F.col("s.start"), F.col("s.end")
-    match = F.substring("text", begin + 1, end - begin)
-    value = F.when(F.col("s.kind") == 0, F.lower(match)).when(F.col("s.kind") == 1, match).otherwise(_digits(match))
+    """One row per term and entity mention: entity, hash of the text, term. Only what stands beside an entity leaves its row."""
+
+    def beside(whole: Column) -> Column:
+        parts, n = whole["parts"], whole["n"]
+        return F.transform(
+            "spans",
+            lambda s: F.struct(
+                s["kind"].alias("kind"),
+                s["value"].alias("value"),
+                piece(parts, F.greatest(s["start"] - NEAR_CHARS, F.lit(0)), s["start"]).alias("left"),
+                piece(parts, s["end"], F.least(s["end"] + NEAR_CHARS, n)).alias("right"),
+                (s["start"] > NEAR_CHARS).alias("left_cut"),
+                (n - s["end"] > NEAR_CHARS).alias("right_cut"),
+            ),
+        )
+
+    whole = F.struct(blocks(F.col("text")).alias("parts"), F.char_length("text").alias("n"))
+    found = F.when(F.size("spans") > 0, let(whole, beside))
+    one = spanned.select(F.xxhash64("text").alias("text_hash"), found.alias("found")).select("text_hash", F.explode("found").alias("s"))
+    digits = _digits(F.col("s.value"))
+    value = F.when(F.col("s.kind") == 0, F.lower("s.value")).when(F.col("s.kind") == 1, F.col("s.value")).otherwise(digits)
     # Words cut by the edge of the neighbourhood are left out.
     left = let(
-        _terms(F.substring("text", F.greatest(begin - NEAR_CHARS, F.lit(0)) + 1, F.least(begin, F.lit(NEAR_CHARS)))),
-        lambda w: let(F.when((begin > NEAR_CHARS) & (F.size(w) > 0), F.slice(w, 2, F.size(w))).otherwise(w), lambda v: F.slice(v, F.greatest(F.size(v) - NEAR_WORDS, F.lit(0)) + 1, NEAR_WORDS)),
+        _terms(F.col("s.left")),
+        lambda w: let(F.when(F.col("s.left_cut") & (F.size(w) > 0), F.slice(w, 2, F.size(w))).otherwise(w), lambda v: F.slice(v, F.greatest(F.size(v) - NEAR_WORDS, F.lit(0)) + 1, NEAR_WORDS)),
     )
     right = let(
-        _terms(F.substring("text", end + 1, F.lit(NEAR_CHARS))),
-        lambda w: F.slice(F.when((F.char_length("text") - end > NEAR_CHARS) & (F.size(w) > 0), F.slice(w, 1, F.size(w) - 1)).otherwise(w), 1, NEAR_WORDS),
+        _terms(F.col("s.right")),
+        lambda w: F.slice(F.when(F.col("s.right_cut") & (F.size(w) > 0), F.slice(w, 1, F.size(w) - 1)).otherwise(w), 1, NEAR_WORDS),
     )
-    near = one.select(F.concat_ws(":", F.col("s.kind"), value).alias("entity"), F.xxhash64("text").alias("text_hash"), left.alias("l"), right.alias("r"))
-    context = F.xxhash64(F.concat_ws(" ", "l"), F.concat_ws(" ", "r"))
-    return near.select("entity", "text_hash", context.alias("context"), F.explode(F.array_distinct(F.concat("l", "r"))).alias("term"))
+    near = one.select("text_hash", F.concat_ws(":", F.col("s.kind"), value).alias("entity"), F.array_distinct(F.concat(left, right)).alias("terms"))
+    return near.select("entity", "text_hash", F.explode("terms").alias("term"))
 
 
 def disclosure(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Terms seen beside an entity in at least ``MIN_CONTEXTS`` contexts that may reach the first threshold, with their disclosure.
+    """Terms seen beside an entity in at least ``MIN_TEXTS`` texts that may reach the first threshold, with their disclosure.
 
     Columns: term, entity, n_together, n_term, n_entity, posterior, bits.
     """
@@ -136,12 +154,13 @@ def _spanned(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def _word_rows(spanned: DataFrame) -> DataFrame:
     """Distinct terms of every text, with the document."""
-    return spanned.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
+    of_text = spanned.select("doc_id", F.xxhash64("text").alias("text_hash"), F.array_distinct(_terms(F.col("text"))).alias("terms"))
+    return of_text.select("doc_id", "text_hash", F.explode("terms").alias("term"))
 
 
 def _disclosure(spanned: DataFrame) -> DataFrame:
     mentions = materialize(_mentions(spanned), "mentions")
-    together = mentions.groupBy("term", "entity").agg(F.count_distinct("context").alias("n_together")).filter(F.col("n_together") >= MIN_CONTEXTS)
+    together = mentions.groupBy("term", "entity").agg(F.count_distinct("text_hash").alias("n_together")).filter(F.col("n_together") >= MIN_TEXTS)
     # A term beside many entities is in at least so many texts: where this alone
     # keeps the posterior below the threshold, its texts need not be counted.
     at_least = mentions.groupBy("term").agg(F.count_distinct("text_hash").alias("n_near"))
@@ -152,7 +171,7 @@ def _disclosure(spanned: DataFrame) -> DataFrame:
         return spanned.sparkSession.createDataFrame([], schema)
     wanted = candidates.select("term").distinct()
     n_term = _word_rows(spanned).join(wanted, "term").groupBy("term").agg(F.count_distinct("text_hash").alias("n_term"))
-    n_entity = mentions.groupBy("entity").agg(F.count_distinct("context").alias("n_entity"))
+    n_entity = mentions.groupBy("entity").agg(F.count_distinct("text_hash").alias("n_entity"))
     n_texts = F.lit(max(spanned.count(), 1)).cast("double")
     posterior = F.least(F.col("n_together") / F.col("n_term"), F.lit(1.0))
     return (
@@ -217,19 +236,26 @@ def _rewritten(text: Column, spans: Column, removed: Column) -> Column:
     """The text with its spans replaced; overlapping spans are replaced together by the first one's mark."""
     marks = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
-    def step(acc: Column, s: Column) -> Column:
-        inside = s["start"] < acc["at"]
-        gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        gone = (s["kind"] == 4) & F.array_contains(removed, F.lower(F.substring(text, s["start"] + 1, s["end"] - s["start"])))
-        mark = F.when(gone, F.lit("")).otherwise(F.element_at(marks, s["kind"] + 1))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(inside, acc["parts"]).otherwise(F.concat(acc["parts"], F.array(gap, mark))).alias("parts"),
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    rest = lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(text, acc["at"] + 1, F.char_length(text) - acc["at"]))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, rest))
+    def mark(s: Column) -> Column:
+        gone = (s["kind"] == 4) & F.array_contains(removed, F.lower(s["value"]))
+        return F.when(gone, F.lit("")).otherwise(F.element_at(marks, s["kind"] + 1))
+
+    def parts(bound: Column) -> Column:
+        found, ends, whole = bound["spans"], bound["ends"], bound["parts"]
+        # A span counts if all spans before it have ended.
+        upto = running(ends, F.lit(0), lambda a, x: F.greatest(a, x))
+        placed = F.zip_with(found, upto, lambda s, at: F.struct(s.alias("s"), at.alias("at")))
+        kept = F.filter(placed, lambda x: x["s"]["start"] >= x["at"])
+        pieces = F.transform(kept, lambda x: F.concat(piece(whole, x["at"], x["s"]["start"]), mark(x["s"])))
+        return F.concat(F.array_join(pieces, ""), piece(whole, F.array_max(ends), bound["n"]))
+
+    bound = let(
+        spans,
+        lambda found: F.struct(
+            found.alias("spans"), F.transform(found, lambda s: s["end"]).alias("ends"), blocks(text).alias("parts"), F.char_length(text).alias("n")
+        ),
+    )
+    return F.when(F.size(spans) == 0, text).otherwise(let(bound, parts))
 
 
 def sanitise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -52,8 +52,8 @@ def pii(rows):
             value = text[s:e]
             value = (k, value.lower() if k == 0 else value if k == 1 else re.sub("[^0-9]", "", value))
             for t in {*left, *right}:
-                mentions[value].add((tuple(left), tuple(right)))
-                contexts[t, value].add((tuple(left), tuple(right)))
+                mentions[value].add(text)
+                contexts[t, value].add(text)
     flagged = set()
     for (t, value), seen in contexts.items():
         if len(seen) >= 3:

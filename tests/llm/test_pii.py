@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from filmlens.llm import pii
@@ -62,6 +64,39 @@ def test_copies_are_one_piece_of_evidence(spark):
     assert all("term" not in r[-1] for r in _find(spark, rows))
 
 
+def test_a_paragraph_shared_by_different_texts_is_evidence(spark):
+    shared = "our rare falconer keeper answers under keeper falconer jo@mail.org whatever season falconer writes again"
+    rows = [(i, f"text {i} says things. {shared} and {i} more") for i in range(30)] + [(100 + i, f"other plain words {i}") for i in range(3000)]
+    found = _find(spark, rows)
+    assert found == _sorted(brute.pii(rows))
+    assert all("term" in r[-1] for r in found if r[0] < 30) and not any("term" in r[-1] for r in found if r[0] >= 100)
+
+
+def test_planted_terms_are_found(spark):
+    rng = random.Random(2)
+    filler = ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(400)]
+    say = lambda n: " ".join(rng.choice(filler) for _ in range(n))
+    rows, planted = [(i, say(30)) for i in range(2000)], []
+    for k in range(20):
+        name = "zz" + "".join(rng.choice("qrstuvwxyz") for _ in range(7))
+        planted.append(name)
+        rows += [(3000 + 10 * k + j, f"{say(12)} {name} at person{k}@mail.org {say(12)}") for j in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    strong = {r.term for r in pii.disclosure(docs).collect() if r.posterior >= pii.GENERALISE and r.bits >= pii.MIN_BITS}
+    assert set(planted) <= strong and len(strong - set(planted)) <= 2
+    assert _find(spark, rows) == _sorted(brute.pii(rows))
+
+
+def test_many_matches_in_one_text(spark):
+    rows = [(1, " ".join(f"a{i}@b.org" for i in range(3000)) + " " + " ".join(f"10.0.{i % 200}.{i % 250}" for i in range(3000)))]
+    assert _find(spark, rows) == _sorted(brute.pii(rows))
+    long = spark.range(1).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 50000), i -> concat('user', i, '@b.org')), ' ') AS text")
+    (row,) = pii.find(long).collect()
+    assert row.n_email == 50000
+    (clean,) = pii.sanitise(long).collect()
+    assert clean.text == " ".join(["[EMAIL]"] * 50000)
+
+
 def test_sanitise(spark):
     rows = [(i, t, "x", n) for n, (i, t) in enumerate(EDGE + _secretive())]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, spans string, removed bigint")
