@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filmlens.llm.common import table
+from filmlens.llm.common import blocks, let, piece, running, table
 from filmlens.sources.staging import materialize
 
 # One pass over the text: a run starts where no key character stands before it.
@@ -39,7 +39,7 @@ MAX_LABELLED = 20_000
 TREES, DEPTH, SEED = 20, 6, 11
 THRESHOLD = 0.5
 
-_FOUND = "array<struct<start:int,value:string>>"
+_FOUND = "array<struct<start:int,value:string,before:string,after:string>>"
 FEATURES = [
     "length", "changes", "digit_share", "capital_share", "mark_share", "hex", "vowel_share", "distinct_share", "coverage",
     "slashes", "dots_beside", "extension", "address", "near_words", "named", "assigned", "quoted",
@@ -47,34 +47,35 @@ FEATURES = [
 
 
 def _candidates_of(text: Column) -> Column:
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_FOUND).alias("found"))
-
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.char_length(x["gap"])
-        one = F.array(F.struct(begin.alias("start"), x["value"].alias("value")))
-        return F.struct(
-            F.coalesce(begin + F.char_length(x["value"]), acc["at"]).alias("at"),
-            F.when(x["value"].isNotNull(), F.concat(acc["found"], one)).otherwise(acc["found"]).alias("found"),
-        )
-
+    """Place, value and neighbourhood of every candidate, in work that grows with the length of the text."""
     both = F.zip_with(
-        F.split(text, _CANDIDATE, -1), F.regexp_extract_all(text, F.lit(_CANDIDATE), F.lit(0)), lambda g, v: F.struct(g.alias("gap"), v.alias("value"))
-    )
-    return F.when(text.rlike(_CANDIDATE), F.aggregate(both, start, step, lambda acc: acc["found"])).otherwise(F.array().cast(_FOUND))
+        F.split(text, _CANDIDATE, -1), F.regexp_extract_all(text, F.lit(_CANDIDATE), F.lit(0)),
+        lambda g, v: F.struct(F.char_length(g).alias("gap"), v.alias("value")),
+    )
+    length = lambda x: x["gap"] + F.coalesce(F.char_length(x["value"]), F.lit(0))
+
+    def placed(bound: Column) -> Column:
+        found, parts, n = bound["found"], bound["parts"], bound["n"]
+
+        def one(x: Column, at: Column) -> Column:
+            begin = at + x["gap"]
+            end = begin + F.char_length(x["value"])
+            before = piece(parts, F.greatest(begin - BEFORE, F.lit(0)), begin)
+            return F.struct(begin.alias("start"), x["value"].alias("value"), before.alias("before"), piece(parts, end, F.least(end + AFTER, n)).alias("after"))
+
+        starts = let(F.transform(found, length), lambda lengths: running(lengths, F.lit(0), lambda a, x: a + x))
+        return F.filter(F.zip_with(found, starts, one), lambda s: s["value"].isNotNull())
+
+    bound = F.struct(both.alias("found"), blocks(text).alias("parts"), F.char_length(text).alias("n"))
+    return F.when(text.rlike(_CANDIDATE), let(bound, placed)).otherwise(F.array().cast(_FOUND))
 
 
 def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per candidate: doc_id, start (code points), value, and the characters before and after."""
     narrow = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text")).filter("text IS NOT NULL")
-    one = narrow.select("doc_id", "text", F.explode(_candidates_of(F.col("text"))).alias("f"))
-    begin, end = F.col("f.start"), F.col("f.start") + F.char_length("f.value")
-    return one.select(
-        "doc_id",
-        begin.alias("start"),
-        F.col("f.value").alias("value"),
-        F.substring("text", F.greatest(begin - BEFORE, F.lit(0)) + 1, F.least(begin, F.lit(BEFORE))).alias("before"),
-        F.substring("text", end + 1, F.lit(AFTER)).alias("after"),
-    )
+    # The text stays behind: only what is found in it is repeated by candidate.
+    found = narrow.select("doc_id", _candidates_of(F.col("text")).alias("found"))
+    return found.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
 
 
 def _pieces(text: Column) -> Column:
@@ -86,7 +87,8 @@ def _coverage(values: DataFrame, texts: DataFrame) -> DataFrame:
     pieces = values.select("value", F.explode(_pieces(F.col("value"))).alias("piece"))
     wanted = materialize(pieces.select("piece").distinct(), "pieces")
     # Candidates themselves are no texts: a key that is repeated is not a word for it.
-    words = texts.select(F.xxhash64("text").alias("text_hash"), F.explode(F.array_distinct(_pieces(F.regexp_replace("text", _CANDIDATE, " ")))).alias("piece"))
+    of_text = texts.select(F.xxhash64("text").alias("text_hash"), F.array_distinct(_pieces(F.regexp_replace("text", _CANDIDATE, " "))).alias("pieces"))
+    words = of_text.select("text_hash", F.explode("pieces").alias("piece"))
     counted = words.join(wanted, "piece").groupBy("piece").agg(F.count_distinct("text_hash").alias("n"))
     dictionary = materialize(counted.filter(F.col("n") >= WORD_TEXTS).select("piece"), "dictionary")
     covered = pieces.join(dictionary, "piece").groupBy("value").agg(F.sum(F.char_length("piece")).alias("covered"))

@@ -30,6 +30,14 @@ def test_candidates_against_brute_force(spark):
     assert sorted((tuple(r) for r in secrets.candidates(spark.read.parquet(f"{folder}/documents.parquet")).collect()), key=repr) == brute(rows)
 
 
+def test_many_candidates_in_one_text(spark):
+    rows = [(1, "é " + " ".join(f"key_number_{i:08d}" for i in range(5000)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted((tuple(r) for r in secrets.candidates(docs).collect()), key=repr) == brute(rows)
+    long = spark.range(1).selectExpr("id AS doc_id", "array_join(transform(sequence(10, 200009), i -> concat('key_number_is_', i)), ' ') AS text")
+    assert secrets.candidates(long).count() == 200000
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(d, t, "x", 1) for d, t in ROWS], "doc_id bigint, text string, label string, score int")
     got = secrets.scan(docs).collect()
