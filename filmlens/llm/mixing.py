@@ -25,8 +25,6 @@ WEIGHTS: Mapping[str, float] = {"src0": 4.0, "src1": 2.0, "src2": 2.0}
 DEFAULT_WEIGHT = 1.0
 EPOCHS = 1.0
 SEED = 20240607
-MAX_RATE = 100.0
-"""The bound of ``mix`` where none is given: a source smaller than a hundredth of its target is repeated so often and stays below its weight. The query and the pipeline have no bound."""
 PART_RATE = 100.0
 """Largest mean of one Poisson draw; a larger rate is split into equal parts."""
 
@@ -58,9 +56,9 @@ def source_rates(
     epochs: float = EPOCHS,
     source_column: str = "source",
     text_column: str = "text",
-    max_rate: float | None = MAX_RATE,
+    max_rate: float | None = None,
 ) -> DataFrame:
-    """One row per source: size (characters), weight, and mean repetition rate, at most ``max_rate`` (None: as large as the weights ask).
+    """One row per source: size (characters), weight, and mean repetition rate, as large as the weights ask, or at most ``max_rate`` where that is given.
 
     Rows without a source form a source of their own with the default weight. A
     source without any character cannot be brought to a weight and keeps rate 1.
@@ -90,32 +88,37 @@ def mix(
     id_column: str = "doc_id",
     source_column: str = "source",
     text_column: str = "text",
-    max_rate: float | None = MAX_RATE,
+    max_rate: float | None = None,
 ) -> DataFrame:
     """The columns of ``docs`` with ``copy`` (1, 2, ...) and ``shuffle_key``, in the order of the latter.
 
     Rows with the same id draw the same number of copies; a null id draws as
     the text "null". Null sources are one source, null and empty texts count as
-    size zero and are replicated with their source. An empty table gives an
-    empty mix. Columns named ``copy`` or ``shuffle_key`` are replaced. With
-    ``max_rate`` None every source reaches its weight, however small it is.
+    size zero and are replicated with their source; very long ones are moved like
+    any other. Copies of rows that share an id have equal keys, and their order
+    among each other is not defined. An empty table gives an empty mix. Columns
+    named ``copy`` or ``shuffle_key`` are replaced; other names may be anything.
+    Every source reaches its weight, however small it is, unless ``max_rate`` is given.
     """
     rates = source_rates(docs, weights, default_weight, epochs, source_column, text_column, max_rate)
     # The written table's size is known to the planner: it is broadcast only where it is small.
     parts = F.greatest(F.ceil(F.col("rate") / PART_RATE).cast("int"), F.lit(1))
-    steps = materialize(rates.select(F.col("source").alias("_mix_source"), parts.alias("_mix_parts"), poisson_steps(F.col("rate") / parts).alias("_mix_steps")), "source-steps")
-    identity = F.col(f"`{id_column}`")
+    steps = materialize(rates.select(F.col("source").alias("of_source"), parts.alias("parts"), poisson_steps(F.col("rate") / parts).alias("steps")), "source-steps")
     names = [n for n in docs.columns if n not in ("copy", "shuffle_key")]
-    drawn = docs.join(steps, F.col(f"`{source_column}`").eqNullSafe(F.col("_mix_source")), "left").withColumn("_mix_u", uniform(F.lit(seed), identity))
-    below = lambda u: F.size(F.filter("_mix_steps", lambda c: c < u))
-    others = F.transform(F.sequence(F.lit(2), F.col("_mix_parts")), lambda part: uniform(F.lit(seed), identity, part))
-    more = F.aggregate(others, F.lit(0), lambda n, u: n + below(u))
-    count = below(F.col("_mix_u")) + F.when(F.col("_mix_parts") > 1, more).otherwise(0)
-    copies = drawn.select(
-        *[F.col(f"`{n}`") for n in names],
-        F.explode(F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))).alias("copy"),
+    # The caller's columns travel in one struct, so that no name can meet those below.
+    packed = docs.select(
+        F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"),
+        F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("null")).alias("id"),
+        F.col(f"`{source_column}`").alias("source"),
     )
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed + 1), F.coalesce(identity.cast("string"), F.lit("null")), F.col("copy"))))
+    drawn = packed.join(steps, F.col("source").eqNullSafe(F.col("of_source")), "left").withColumn("u", uniform(F.lit(seed), F.col("id")))
+    below = lambda u: F.size(F.filter("steps", lambda c: c < u))
+    others = F.transform(F.sequence(F.lit(2), F.col("parts")), lambda part: uniform(F.lit(seed), F.col("id"), part))
+    more = F.aggregate(others, F.lit(0), lambda n, u: n + below(u))
+    count = below(F.col("u")) + F.when(F.col("parts") > 1, more).otherwise(0)
+    copies = drawn.select("row", "id", F.explode(F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))).alias("copy"))
+    key = F.md5(F.concat_ws(":", F.lit(seed + 1), F.col("id"), F.col("copy")))
+    keyed = copies.select(*[F.col("row").getField(n).alias(n) for n in names], "copy", key.alias("shuffle_key"))
     return keyed.orderBy("shuffle_key")
 
 
@@ -124,7 +127,7 @@ NAME = "op5_mix_sources"
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """The mix of all documents at the production weights."""
-    return mix(table(spark, folder, "documents"), max_rate=None)
+    return mix(table(spark, folder, "documents"))
 
 
 MIX_SQL = f"""
@@ -133,21 +136,29 @@ sizes AS (
     CASE source WHEN 'src0' THEN 4.0 WHEN 'src1' THEN 2.0 WHEN 'src2' THEN 2.0 ELSE 1.0 END::DOUBLE AS weight
   FROM mixed_from GROUP BY source
 ), rates AS (
-  SELECT source, CASE WHEN n_chars > 0 THEN least(weight / (SELECT sum(weight) FROM sizes WHERE n_chars > 0)
-    * (SELECT sum(n_chars) FROM sizes)::DOUBLE / n_chars, {MAX_RATE}) ELSE 1.0 END AS rate
+  SELECT source, CASE WHEN n_chars > 0 THEN weight / (SELECT sum(weight) FROM sizes WHERE n_chars > 0)
+    * (SELECT sum(n_chars) FROM sizes)::DOUBLE / n_chars ELSE 1.0 END AS rate
   FROM sizes
+), parts AS (
+  SELECT source, greatest(ceil(rate / {PART_RATE}), 1)::BIGINT AS parts, rate / greatest(ceil(rate / {PART_RATE}), 1) AS rate FROM rates
 ), steps AS (
   SELECT source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS upto
-  FROM rates, range(0, 400) t(k)
+  FROM parts, range(0, 400) t(k)
+), hashed AS (
+  SELECT d.*, row_number() OVER () AS r, unnest(range(1, coalesce(parts, 1) + 1)) AS part,
+    '{SEED}:' || coalesce(doc_id::VARCHAR, 'null') AS key
+  FROM mixed_from d LEFT JOIN parts p ON p.source IS NOT DISTINCT FROM d.source
 ), drawn AS (
-  SELECT d.*, (('0x' || substr(md5('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
-  FROM mixed_from d
+  SELECT *, (('0x' || substr(md5(CASE WHEN part = 1 THEN key ELSE key || ':' || part END), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
+  FROM hashed
 ), counted AS (
-  SELECT d.*, (SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source AND s.upto < d.u) AS n FROM drawn d
+  SELECT r, any_value(d.doc_id) AS doc_id, any_value(text) AS text, any_value(lang) AS lang, any_value(d.source) AS source, any_value(n_chars) AS n_chars,
+    sum((SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source AND s.upto < d.u))::BIGINT AS n
+  FROM drawn d GROUP BY r
 ), mixed AS (
   SELECT doc_id, text, lang, source, n_chars, k::INTEGER AS copy,
     md5('{SEED + 1}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || k::VARCHAR) AS shuffle_key
-  FROM counted, range(1, 400) t(k) WHERE k <= n
+  FROM (SELECT *, unnest(range(1, n + 1)) AS k FROM counted)
 )
 """
 

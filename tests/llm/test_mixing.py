@@ -1,6 +1,8 @@
 import math
 from collections import Counter
 
+import duckdb
+
 import corpus_pipeline
 from filmlens.llm import mixing
 
@@ -34,10 +36,28 @@ def test_mean_repetition_meets_the_weights(spark):
     assert abs(got["small"] / 15000 - 1) < 0.03 and abs(got["large"] / 5000 - 1) < 0.05
 
 
-def test_a_tiny_source_is_repeated_within_bounds(spark):
-    docs = spark.createDataFrame([(i, "x" * 50000, "large") for i in range(3)] + [(9, "y", None)], "doc_id bigint, text string, source string")
-    out = mixing.mix(docs, weights={})
-    assert 50 < out.filter("source IS NULL").count() < 150
+def test_a_tiny_source_is_repeated_as_its_weight_asks_unless_bounded(spark):
+    docs = spark.createDataFrame([(i, "x" * 50000, "large") for i in range(3)] + [(9, "y" * 100, None)], "doc_id bigint, text string, source string")
+    assert 600 < mixing.mix(docs, weights={}).filter("source IS NULL").count() < 900
+    assert 50 < mixing.mix(docs, weights={}, max_rate=100.0).filter("source IS NULL").count() < 150
+
+
+def test_names_of_any_kind_are_kept(spark):
+    rows = [(1, "text", "a", 5, 6, 7, 8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _mix_u int, u int, steps int, `row.x` int")
+    got = mixing.mix(docs, weights={}, epochs=30.0).collect()
+    assert 10 < len(got) < 60 and {tuple(r)[:7] for r in got} == set(rows)
+
+
+def test_large_rates_against_sql(spark):
+    rows = [(i, "x" * 40000, "en", f"src{3 + i % 3}", 40000) for i in range(6)] + [(100 + i, "y" * 20, "en", "tiny", 20) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", rows)
+    want = con.execute(f"SELECT doc_id, copy, shuffle_key FROM ({mixing.ORACLE_SQL})").fetchall()
+    got = [(r.doc_id, r.copy, r.shuffle_key) for r in mixing.mix(docs).collect()]
+    assert len(want) > 2500 and sorted(got) == sorted(want)
 
 
 def test_tiny_sources_reach_their_weight_in_query_and_pipeline(spark, tmp_path):
