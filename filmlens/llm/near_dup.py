@@ -375,12 +375,19 @@ def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column
     """The rows of ``docs`` that stay: one document of each component, with its columns unchanged.
 
     Repeated rows of a document that stays all stay only if they differ; equal rows are one document.
+    Null and empty texts are like no other and stay; null ids are allowed, and names may be anything.
     """
     texts = _text(docs, id_column, text_column)
-    gone = _near_duplicates(texts).filter("NOT kept").select(F.col("doc_id").alias("_g_id"), F.col("text_hash").alias("_g_hash")).distinct()
-    gone = materialize(gone, "near-copies")
-    own = F.col(f"`{id_column}`").cast("bigint").eqNullSafe(F.col("_g_id")) & (F.xxhash64(F.col(f"`{text_column}`")) == F.col("_g_hash"))
-    return docs.join(gone, own, "left_anti")
+    gone = materialize(_near_duplicates(texts).filter("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "near-copies")
+    names = docs.columns
+    # The caller's columns travel in one struct, so that no name can meet those of the other side.
+    packed = docs.select(
+        F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"),
+        F.col(f"`{id_column}`").cast("bigint").alias("id"),
+        F.xxhash64(F.col(f"`{text_column}`")).alias("hash"),
+    )
+    left = packed.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash")), "left_anti")
+    return left.select(*[F.col("row").getField(n).alias(n) for n in names])
 
 
 NAME = "op6_minhash_near_dup"

@@ -93,3 +93,10 @@ def test_filter(spark):
     out = near_dup.drop_near_duplicates(docs)
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [0, 5, 6, 7]
     assert near_dup.drop_near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_dropping_keeps_rows_with_any_names(spark):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, text, 5, 6), (2, text, 7, 8), (3, None, 9, 10), (None, "", 11, 12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _g_id int, gone_hash int")
+    assert sorted((tuple(r) for r in near_dup.drop_near_duplicates(docs).collect()), key=repr) == sorted((rows[0], rows[2], rows[3]), key=repr)
