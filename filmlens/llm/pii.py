@@ -112,6 +112,7 @@ def _mentions(spanned: DataFrame) -> DataFrame:
         return F.transform(
             "spans",
             lambda s: F.struct(
+                whole["text_hash"].alias("text_hash"),
                 s["kind"].alias("kind"),
                 s["value"].alias("value"),
                 piece(parts, F.greatest(s["start"] - NEAR_CHARS, F.lit(0)), s["start"]).alias("left"),
@@ -121,9 +122,9 @@ def _mentions(spanned: DataFrame) -> DataFrame:
             ),
         )
 
-    whole = F.struct(blocks(F.col("text")).alias("parts"), F.char_length("text").alias("n"))
-    found = F.when(F.size("spans") > 0, let(whole, beside))
-    one = spanned.select(F.xxhash64("text").alias("text_hash"), found.alias("found")).select("text_hash", F.explode("found").alias("s"))
+    whole = F.struct(blocks(F.col("text")).alias("parts"), F.char_length("text").alias("n"), F.xxhash64("text").alias("text_hash"))
+    # Exploded as one expression: a named list would be computed again by the filter that Spark infers for it.
+    one = spanned.select(F.explode(F.when(F.size("spans") > 0, let(whole, beside))).alias("s"))
     digits = _digits(F.col("s.value"))
     value = F.when(F.col("s.kind") == 0, F.lower("s.value")).when(F.col("s.kind") == 1, F.col("s.value")).otherwise(digits)
     # Words cut by the edge of the neighbourhood are left out.
@@ -135,8 +136,8 @@ def _mentions(spanned: DataFrame) -> DataFrame:
         _terms(F.col("s.right")),
         lambda w: F.slice(F.when(F.col("s.right_cut") & (F.size(w) > 0), F.slice(w, 1, F.size(w) - 1)).otherwise(w), 1, NEAR_WORDS),
     )
-    near = one.select("text_hash", F.concat_ws(":", F.col("s.kind"), value).alias("entity"), F.array_distinct(F.concat(left, right)).alias("terms"))
-    return near.select("entity", "text_hash", F.explode("terms").alias("term"))
+    entity = F.concat_ws(":", F.col("s.kind"), value).alias("entity")
+    return one.select(entity, F.col("s.text_hash").alias("text_hash"), F.explode(F.array_distinct(F.concat(left, right))).alias("term"))
 
 
 def disclosure(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -154,8 +155,10 @@ def _spanned(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 def _word_rows(spanned: DataFrame) -> DataFrame:
     """Distinct terms of every text, with the document."""
-    of_text = spanned.select("doc_id", F.xxhash64("text").alias("text_hash"), F.array_distinct(_terms(F.col("text"))).alias("terms"))
-    return of_text.select("doc_id", "text_hash", F.explode("terms").alias("term"))
+    hashed = F.struct(F.xxhash64("text").alias("h"), F.array_distinct(_terms(F.col("text"))).alias("terms"))
+    # The text stays behind, and the hash is taken once.
+    pairs = let(hashed, lambda x: F.transform(x["terms"], lambda t: F.struct(x["h"].alias("text_hash"), t.alias("term"))))
+    return spanned.select("doc_id", F.explode(pairs).alias("x")).select("doc_id", "x.*")
 
 
 def _disclosure(spanned: DataFrame) -> DataFrame:
