@@ -74,8 +74,7 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """One row per candidate: doc_id, start (code points), value, and the characters before and after."""
     narrow = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text")).filter("text IS NOT NULL")
     # The text stays behind: only what is found in it is repeated by candidate.
-    found = narrow.select("doc_id", _candidates_of(F.col("text")).alias("found"))
-    return found.select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.*")
+    return narrow.select("doc_id", F.explode(_candidates_of(F.col("text"))).alias("f")).select("doc_id", "f.*")
 
 
 def _pieces(text: Column) -> Column:
@@ -87,8 +86,9 @@ def _coverage(values: DataFrame, texts: DataFrame) -> DataFrame:
     pieces = values.select("value", F.explode(_pieces(F.col("value"))).alias("piece"))
     wanted = materialize(pieces.select("piece").distinct(), "pieces")
     # Candidates themselves are no texts: a key that is repeated is not a word for it.
-    of_text = texts.select(F.xxhash64("text").alias("text_hash"), F.array_distinct(_pieces(F.regexp_replace("text", _CANDIDATE, " "))).alias("pieces"))
-    words = of_text.select("text_hash", F.explode("pieces").alias("piece"))
+    hashed = F.struct(F.xxhash64("text").alias("h"), F.array_distinct(_pieces(F.regexp_replace("text", _CANDIDATE, " "))).alias("pieces"))
+    pairs = let(hashed, lambda x: F.transform(x["pieces"], lambda t: F.struct(x["h"].alias("text_hash"), t.alias("piece"))))
+    words = texts.select(F.explode(pairs).alias("x")).select("x.*")
     counted = words.join(wanted, "piece").groupBy("piece").agg(F.count_distinct("text_hash").alias("n"))
     dictionary = materialize(counted.filter(F.col("n") >= WORD_TEXTS).select("piece"), "dictionary")
     covered = pieces.join(dictionary, "piece").groupBy("value").agg(F.sum(F.char_length("piece")).alias("covered"))
