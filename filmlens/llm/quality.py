@@ -12,9 +12,11 @@ Everything is a built-in column expression: one scan, no shuffle.
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from statistics import median
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +27,9 @@ from filmlens.sources.staging import materialize
 SAMPLE_ROWS = 2000
 """Rows on which costs and selectivities are estimated; they set the order of rules only."""
 
+ROUNDS = 3
+"""Timed runs of each rule."""
+
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 
@@ -99,6 +104,8 @@ FEATURES = tuple(name for name in _FROM if name not in ("words", "lines"))
 (such lines equal to an earlier one), ``n_repeat_words`` (words in 3-word windows found twice or more, the first
 occurrence included), ``n_letters``, ``n_capitals``."""
 
+REPORTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
 
 def _bound(text: Column, needs: Sequence[str], bound: Mapping[str, Column], body: Callable[[Mapping[str, Column]], Column]) -> Column:
     """``body`` with the needed features bound, each computed once."""
@@ -135,33 +142,42 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def cascade(text: Column, rules: Sequence[Rule]) -> Column:
-    """Name of the first rule, in the given order, that rejects the text; null if none does."""
-    whole = F.coalesce(text, F.lit(""))
+def _chain(whole: Column, rules: Sequence[Rule], bound: Mapping[str, Column]) -> Column:
+    if not rules:
+        return F.lit(None).cast("string")
+    rule = rules[0]
+    return _bound(whole, rule.needs, bound, lambda f: F.when(rule.rejects(f), F.lit(rule.name)).otherwise(_chain(whole, rules[1:], f)))
 
-    def chain(left: Sequence[Rule], bound: Mapping[str, Column]) -> Column:
-        if not left:
-            return F.lit(None).cast("string")
-        rule = left[0]
-        return _bound(whole, rule.needs, bound, lambda f: F.when(rule.rejects(f), F.lit(rule.name)).otherwise(chain(left[1:], f)))
 
-    return chain(rules, {})
+def cascade(text: Column, rules: Sequence[Rule]) -> Column:
+    """Name of the first rule, in the given order, that rejects the text; null if none does."""
+    return _chain(F.coalesce(text, F.lit("")), rules, {})
 
 
 def estimate(docs: DataFrame, rules: Sequence[Rule], text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
     """Cost and selectivity of each rule on a random sample of about ``sample_rows``, best rank first.
 
     Each rule is timed alone, so that only the features it reads are computed.
+    Rounds over all rules follow each other after one that is not timed; a rule's
+    cost is its median, less that of a job without a rule, to the nearest power
+    of two, so that small differences between runs do not change the order.
+    Equal ranks go by name.
     """
     share = min(1.0, sample_rows / max(docs.count(), 1))
     sample = materialize(docs.select(F.col(f"`{text_column}`").alias("text")).sample(share, seed=1), "rule-sample")
     n = max(sample.count(), 1)
-    measured = []
-    for rule in rules:
-        started = time.monotonic()
-        rejected = sample.agg(F.count(cascade(F.col("text"), [rule])).alias("n")).first().n
-        measured.append(Estimate(rule.name, (time.monotonic() - started) / n, rejected / n))
-    return sorted(measured, key=lambda e: (-e.rank, e.rule))
+    jobs = {None: F.when(F.length("text") < 0, "none")} | {rule.name: cascade(F.col("text"), [rule]) for rule in rules}
+    seconds: dict[str | None, list[float]] = {name: [] for name in jobs}
+    rejected = {}
+    for timed in range(ROUNDS + 1):
+        for name, verdict in jobs.items():
+            started = time.monotonic()
+            rejected[name] = sample.agg(F.count(verdict).alias("n")).first().n
+            if timed:
+                seconds[name].append(time.monotonic() - started)
+    empty = median(seconds[None])
+    cost = lambda name: 2.0 ** round(math.log2(max(median(seconds[name]) - empty, empty / 16, 1e-6) / n))
+    return sorted((Estimate(rule.name, cost(rule.name), rejected[rule.name] / n) for rule in rules), key=lambda e: (-e.rank, e.rule))
 
 
 def order_rules(docs: DataFrame, rules: Sequence[Rule], text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
@@ -176,19 +192,26 @@ def assess(
     text_column: str = "text",
     sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
-    """One row per input row: the id, every feature, ``base_failed`` and ``kept``.
+    """One row per input row: the id, the ``REPORTED`` features, ``base_failed``, ``rejected_by`` and ``kept``.
+
+    The reported features are computed for every row. The verdict is the
+    cascade's: it goes on from them, and any other feature is computed only for
+    the rows that reach a rule which needs it. ``rejected_by`` is the first rule,
+    in the measured order, that rejects the row; the order changes no verdict.
 
-    Null or empty texts have no words and fail. Repeated rows and null ids are
-    judged like any other row. Other columns of ``docs`` are not read, so their
-    names do not matter. An empty table gives an empty result.
+    Null or empty texts have no words and fail. Very long texts are read whole.
+    Repeated rows and null ids are judged like any other row. Other columns of
+    ``docs`` are not read, so their names do not matter. An empty table gives an
+    empty result.
     """
     ordered = order_rules(docs, rules or default_rules(), text_column, sample_rows)
-    found = docs.select(F.col(f"`{id_column}`").alias("doc_id"), features(F.col(f"`{text_column}`")).alias("f")).select("doc_id", "f.*")
-    counted = {name: F.col(name) for name in FEATURES}
-    verdict = F.lit(True)
-    for rule in ordered:
-        verdict = verdict & ~F.coalesce(rule.rejects(counted), F.lit(False))
-    return found.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & verdict})
+    whole = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    judged = _bound(
+        whole, REPORTED, {},
+        lambda f: F.struct(*[f[name].alias(name) for name in REPORTED], _chain(whole, ordered, f).alias("rejected_by")),
+    )
+    found = docs.select(F.col(f"`{id_column}`").alias("doc_id"), judged.alias("f")).select("doc_id", "f.*")
+    return found.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & F.col("rejected_by").isNull()})
 
 
 def filter_quality(
@@ -197,7 +220,8 @@ def filter_quality(
     """The rows of ``docs`` that pass every rule, with their columns unchanged.
 
     The cascade is one filter on the scan: features of a rule are computed for
-    the rows that reach it. Column names of ``docs`` may be anything.
+    the rows that reach it. Null and empty texts fail. Column names of ``docs``
+    may be anything.
     """
     ordered = order_rules(docs, rules or default_rules(), text_column, sample_rows)
     return docs.filter(cascade(F.col(f"`{text_column}`"), ordered).isNull())

@@ -39,3 +39,15 @@ def test_order_changes_no_verdict(spark):
     rules = quality.default_rules()
     rows = [docs.filter(quality.cascade(docs["text"], r).isNull()).count() for r in (rules, rules[::-1])]
     assert rows == [2, 2]
+
+
+def test_the_verdict_is_the_cascades(spark):
+    docs = spark.createDataFrame([(d, t) for d, t in ROWS], "doc_id bigint, text string")
+    rules = quality.default_rules()
+    for order in (rules, rules[::-1]):
+        named = [r[0] for r in docs.select(quality.cascade(docs["text"], order)).collect()]
+        assert [name is None for name in named] == [r.kept for r in quality.assess(docs, rules).collect()]
+    # A rule that would fail on a text without words is not asked about it.
+    careful = quality.Rule("careful", ("n_words", "n_letters"), lambda f: F.assert_true(f["n_words"] > 0).isNotNull() | (f["n_letters"] < 0))
+    verdicts = docs.select(quality.cascade(docs["text"], [rules[0], careful]).alias("v")).collect()
+    assert {r.v for r in verdicts} == {"too_few_words", None}
