@@ -5,12 +5,13 @@ hash. Equal windows have equal anchors at equal places, so only windows around
 an anchor that occurs twice can be repeated. Consecutive windows with one
 anchor form a run, and a run's region is all they cover; a run is one row.
 
-* An anchor whose runs all have one region (two independent hashes agree) needs
-  no more: copies of a text, however many, are settled by aggregates.
+* An anchor whose runs all have one region (by one 64-bit hash of the region,
+  beside that of the anchor's gram) needs no more: copies of a text, however
+  many, are settled by aggregates.
 * Other anchors keep their distinct regions, each from its first occurrence
   only. These are the groups that a suffix structure is built on: the anchor is
-  the prefix that groups suffixes, and ``rank`` (given by the caller) orders a
-  batch of groups of bounded size.
+  the prefix that groups suffixes, and ``mark`` (given by the caller) builds the
+  structure of a batch of groups of bounded size.
 * Where an anchor has too many distinct regions for one task, the prefix is
   lengthened to the whole window: one row per window, counted by aggregates.
 
@@ -42,13 +43,19 @@ ANY = "any"
 
 @dataclass(frozen=True)
 class Kind:
-    """How texts become symbols: ``split`` gives the symbols of many texts, each text's first symbol (and the end), and
-    a function that cuts the bytes of a range of symbols; ``rank`` gives, for contents, equal numbers to equal windows."""
+    """How texts become symbols, and what finds their repeats.
+
+    ``split`` gives the symbols of many texts, each text's first symbol (and the
+    end), and a function that cuts the bytes of a range of symbols. ``mark``
+    builds a suffix structure on contents in the order of their texts, and gives
+    which of their windows are marked, and each content's first window (and the
+    end).
+    """
 
     width: int
     gram: int
     split: Callable[[Sequence[bytes | None]], tuple[np.ndarray, np.ndarray, Callable[[int, int], bytes]]]
-    rank: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
+    mark: Callable[[list[bytes], str], tuple[np.ndarray, np.ndarray]]
 
 
 def _anchors(values: np.ndarray, span: int) -> np.ndarray:
@@ -133,22 +140,6 @@ def _cut_rows(kind: Kind) -> Callable:
 _MARKS = "doc_id bigint, text_hash bigint, start int, n int"
 
 
-def marked_windows(kind: Kind, mode: str, order: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Which windows are marked. ``rank``: equal for equal windows; ``order``: their places in the order of the texts.
-
-    In suffix order (by rank, then place) the neighbour before a suffix, if it
-    shares the window, is its match at the next smaller place, and the one after
-    it is the match at the next larger place.
-    """
-    suffixes = np.lexsort((order, rank))
-    ranked = rank[suffixes]
-    same = ranked[1:] == ranked[:-1]
-    earlier, further = np.concatenate(([False], same)), np.concatenate((same, [False]))
-    out = np.zeros(len(rank), bool)
-    out[suffixes] = earlier if mode == LATER else earlier | further
-    return out
-
-
 def _group_rows(kind: Kind, mode: str) -> Callable:
     """Regions, sorted by anchor, in batches of whole groups; marked windows leave as intervals."""
 
@@ -156,8 +147,7 @@ def _group_rows(kind: Kind, mode: str) -> Callable:
         # Text order inside the batch; a missing id comes first.
         order = sorted(range(len(rows)), key=lambda i: (rows[i][1] is not None, rows[i][1] or 0, rows[i][2], rows[i][3]))
         rows = [rows[i] for i in order]
-        rank, first = kind.rank([r[5] for r in rows])
-        marked = marked_windows(kind, mode, np.arange(len(rank)), rank)
+        marked, first = kind.mark([r[5] for r in rows], mode)
         owner = np.repeat(np.arange(len(rows)), np.diff(first))
         if mode == ANY:
             marked &= np.array([r[4] for r in rows], bool)[owner]

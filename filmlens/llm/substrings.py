@@ -2,12 +2,11 @@
 
 Suffixes are grouped by a prefix: the gram of 6 words that anchors a window of
 20. Groups that are small enough for one task are built as subtrees on their
-distinct regions: suffixes are ordered by doubling their known prefix (6 words
-and less are one node to begin with, then 8, 16 and 20 words), and the nodes at
-depth 20 are the maximal repeats of 20 words and more, cut at that depth. A
-group too large gets the longest prefix, all 20 words, at which a subtree is a
-single node whose leaves need only be counted. Every leaf but the first of such
-a node, by document and place, is a copy.
+distinct regions, as sorted leaves with the lengths that neighbours share; the
+internal nodes at depth 20 are the maximal repeats of 20 words and more, cut at
+that depth. A group too large gets the longest prefix, all 20 words, at which a
+subtree is a single node whose leaves need only be counted. Every leaf but the
+first of such a node, by document and place, is a copy.
 """
 
 from __future__ import annotations
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 
 from filmlens.llm import repeats
 from filmlens.llm.common import table
+from filmlens.llm.suffixes import Suffixes, doubled
 from filmlens.llm.tokens import find_words, slices
 
 WINDOW = 20
@@ -37,34 +37,34 @@ def _split(texts: Sequence[bytes | None]) -> tuple[np.ndarray, np.ndarray, Calla
     return words.hashes, words.first, cut
 
 
-def doubled_ranks(symbols: np.ndarray, depth: int, known: int = 1) -> np.ndarray:
-    """Numbers that order all suffixes by their first ``depth`` symbols; ``symbols`` order them by the first ``known``.
+def deep_nodes(suffixes: Suffixes) -> tuple[np.ndarray, np.ndarray]:
+    """The subtree's internal nodes at full depth: first and last leaf of each, as places in suffix order.
 
-    Places with fewer symbols behind them get no meaningful number.
+    Neighbouring leaves hang below one such node if they share a whole window;
+    a leaf that shares one with neither neighbour hangs below none.
     """
-    rank = symbols
-    while known < depth:
-        step = min(known, depth - known)
-        if len(rank) <= step:
-            return rank
-        pair = rank[: len(rank) - step].astype(np.uint64) << np.uint64(32) | rank[step:].astype(np.uint64)
-        rank = np.unique(pair, return_inverse=True)[1]
-        known += step
-    return rank
-
-
-def _rank(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    numbers: dict[bytes, int] = {}
-    parts = [[numbers.setdefault(w, len(numbers)) for w in c.split(b" ")] for c in contents]
-    rank = doubled_ranks(np.array([x for p in parts for x in p], np.int64), WINDOW)
-    starts = np.cumsum([0] + [len(p) for p in parts])
-    counts = np.array([len(p) - WINDOW + 1 for p in parts], np.int64)
-    first = np.concatenate(([0], np.cumsum(counts)))
-    at = np.repeat(starts[:-1] - first[:-1], counts) + np.arange(first[-1])
-    return rank[at], first
+    order = suffixes.order
+    joined = suffixes.shared(order[:-1], order[1:]) >= suffixes.depth
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], joined, [False])).astype(np.int8)))
+    return edges[0::2], edges[1::2]
 
 
-KIND = repeats.Kind(WINDOW, GRAM, _split, _rank)
+def _mark(contents: list[bytes], mode: str) -> tuple[np.ndarray, np.ndarray]:
+    numbers: dict[bytes, int] = {}
+    parts = [[numbers.setdefault(w, len(numbers)) for w in c.split(b" ")] for c in contents]
+    levels, rank = doubled(np.array([x for p in parts for x in p], np.int64), WINDOW)
+    suffixes = Suffixes.build(levels, rank, [len(p) for p in parts], WINDOW)
+    first, last = deep_nodes(suffixes)
+    # The leaves of a node stand in the order of their places: all but the first are copies.
+    change = np.zeros(len(suffixes.order) + 1, np.int64)
+    change[first + (mode == repeats.LATER)] += 1
+    change[last + 1] -= 1
+    marked = np.zeros(len(suffixes.order), bool)
+    marked[suffixes.order] = np.cumsum(change[:-1]) > 0
+    return marked, suffixes.first
+
+
+KIND = repeats.Kind(WINDOW, GRAM, _split, _mark)
 
 
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

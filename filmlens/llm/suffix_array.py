@@ -1,12 +1,12 @@
 """Substring dedup on bytes by longest-previous-factor arrays.
 
 Suffixes are put in order by their first 200 bytes, in groups that share the
-anchor of their windows. In suffix order, the neighbour before a suffix that
-shares 200 bytes stands at the next smaller place, the one after it at the next
-larger place: the longest previous factor of a suffix reaches 200 bytes exactly
-if the one exists, its mirror, the longest next factor, if the other does. By
-default later copies go and the first one stays; ``keep_first=False`` removes
-every occurrence of what occurs twice.
+anchor of their windows. The previous and next smaller places in suffix order
+give every suffix its longest previous factor, the previous and next larger ones
+its mirror, the longest next factor; both are cut at 200 bytes, and a string of
+200 bytes has a copy if they reach that. By default later copies go and the
+first one stays; ``keep_first=False`` removes every occurrence of what occurs
+twice.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from filmlens.llm import repeats
 from filmlens.llm.common import table
-from filmlens.llm.substrings import doubled_ranks
+from filmlens.llm.suffixes import Suffixes, doubled, previous_smaller
 from filmlens.llm.tokens import mix64, slices
 
 WINDOW = 200
@@ -35,21 +35,42 @@ def _split(texts: Sequence[bytes | None]) -> tuple[np.ndarray, np.ndarray, Calla
     return _BYTES[np.frombuffer(whole, np.uint8)], first, lambda a, b: whole[a:b]
 
 
-def _rank(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def byte_suffixes(contents: list[bytes]) -> Suffixes:
     data = np.frombuffer(b"".join(contents), np.uint8)
-    # Eight bytes as one number order suffixes by as many symbols; then their ranks are doubled.
-    eight = np.zeros(max(len(data) - 7, 0), np.uint64)
-    for i in range(8):
-        eight = eight << np.uint64(8) | data[i : i + len(eight)].astype(np.uint64)
-    rank = doubled_ranks(np.unique(eight, return_inverse=True)[1], WINDOW, known=8)
-    starts = np.cumsum([0] + [len(c) for c in contents])
-    counts = np.array([len(c) - WINDOW + 1 for c in contents], np.int64)
-    first = np.concatenate(([0], np.cumsum(counts)))
-    at = np.repeat(starts[:-1] - first[:-1], counts) + np.arange(first[-1])
-    return rank[at], first
-
-
-KIND = repeats.Kind(WINDOW, GRAM, _split, _rank)
+    numbers, short = data.astype(np.uint64), []
+    for length in (1, 2, 4):
+        short.append((length, numbers))
+        numbers = numbers[:-length] << np.uint64(8 * length) | numbers[length:]
+    levels, rank = doubled(np.unique(numbers, return_inverse=True)[1], WINDOW, known=8)
+    return Suffixes.build(short + levels, rank, [len(c) for c in contents], WINDOW)
+
+
+def longest_factors(suffixes: Suffixes, later: bool = False) -> np.ndarray:
+    """For each window, the longest start of it that also starts at an earlier place (``later``: at a later one).
+
+    In suffix order no earlier suffix shares more with a suffix than the nearest
+    earlier one on either side, the previous and the next smaller place.
+    """
+    order, n = suffixes.order, len(suffixes.order)
+    places = -order if later else order
+    before = previous_smaller(places)
+    after = n - 1 - previous_smaller(places[::-1])[::-1]
+    out = np.zeros(n, np.int64)
+    for found in (before, after):
+        own = np.flatnonzero((found >= 0) & (found < n))
+        out[order[own]] = np.maximum(out[order[own]], suffixes.shared(order[own], order[found[own]]))
+    return out
+
+
+def _mark(contents: list[bytes], mode: str) -> tuple[np.ndarray, np.ndarray]:
+    suffixes = byte_suffixes(contents)
+    marked = longest_factors(suffixes) >= WINDOW
+    if mode == repeats.ANY:
+        marked |= longest_factors(suffixes, later=True) >= WINDOW
+    return marked, suffixes.first
+
+
+KIND = repeats.Kind(WINDOW, GRAM, _split, _mark)
 
 
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from filmlens.llm import repeats, substrings, suffix_array
+from filmlens.llm import repeats, substrings, suffix_array, suffixes
 from tests.llm.brute import WORD
 
 
@@ -117,6 +117,47 @@ def test_empty_table(spark):
 def test_doubling_orders_suffixes():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 3, 400)
-    rank = substrings.doubled_ranks(x, 7)
+    rank = suffixes.doubled(x, 7)[1]
     want = [tuple(x[i : i + 7]) for i in range(len(rank))]
     assert len(rank) == 394 and sorted(range(394), key=lambda i: (rank[i], i)) == sorted(range(394), key=lambda i: (want[i], i))
+
+
+@pytest.mark.parametrize("values", [[], [3], [1, 2, 3, 4], [4, 3, 2, 1], [1, 3, 5, 4, 2, 0], list(np.random.default_rng(1).permutation(500))], ids=len)
+def test_previous_smaller(values):
+    want = [next((j for j in range(i - 1, -1, -1) if values[j] < values[i]), -1) for i in range(len(values))]
+    assert suffixes.previous_smaller(np.array(values, np.int64)).tolist() == want
+
+
+def _shared(a, b):
+    return next((k for k, (x, y) in enumerate(zip(a, b, strict=True)) if x != y), len(a))
+
+
+def test_longest_factors_against_brute_force():
+    rng = np.random.default_rng(2)
+    part = lambda n: bytes(rng.integers(97, 100, n).tolist())
+    again = part(260)
+    contents = [again[:230], part(40) + again[20:250], part(199), b"a" * 230, again[:205] + part(30)]
+    built = suffix_array.byte_suffixes(contents)
+    windows = [c[p : p + 200] for c in contents for p in range(len(c) - 199)]
+    assert built.first.tolist() == [0, 31, 102, 102, 133, 169]
+    for later in (False, True):
+        others = [range(i + 1, len(windows)) if later else range(i) for i in range(len(windows))]
+        want = [max((_shared(windows[i], windows[j]) for j in js), default=0) for i, js in enumerate(others)]
+        assert suffix_array.longest_factors(built, later).tolist() == want
+    assert 0 < (np.array(want) == 200).sum() < len(want)
+
+
+def test_deep_nodes_are_the_repeated_windows():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.integers(0, 2, 90), rng.integers(0, 2, 25), np.zeros(30, np.int64)])
+    x = np.concatenate([x, x[10:60]])
+    levels, rank = suffixes.doubled(x, 20)
+    built = suffixes.Suffixes.build(levels, rank, [90, 25, 30, 50], 20)
+    texts = np.split(x, [90, 115, 145])
+    windows = [tuple(t[p : p + 20]) for t in texts for p in range(len(t) - 19)]
+    first, last = substrings.deep_nodes(built)
+    nodes = sorted(tuple(built.order[a : b + 1].tolist()) for a, b in zip(first, last, strict=True))
+    places = {}
+    for i, w in enumerate(windows):
+        places.setdefault(w, []).append(i)
+    assert nodes == sorted(tuple(v) for v in places.values() if len(v) > 1)
