@@ -209,6 +209,8 @@ def marked_starts(docs: DataFrame, kind: Kind, mode: str) -> DataFrame:
     one text; the order of texts is by id (missing first), then by hash.
     """
     rows = docs.filter("text IS NOT NULL").mapInArrow(_run_rows(kind), "anchor bigint, region bigint, doc_id bigint, text_hash bigint, start int, n int")
+    # Runs are read twice: written, they need not be found in the texts again.
+    rows = materialize(rows, "runs")
     place = F.struct("doc_id", "text_hash", "start")
     anchors = rows.groupBy("anchor").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.min("region").alias("r0"), F.max("region").alias("r1"))
     # Structs with a missing id compare as equal only if all fields are: no null-safe test is needed on min and max.
