@@ -23,20 +23,15 @@ def content_tokens(text: str, min_length: int = 3) -> Column:
 def term_counts(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Occurrences of each content token per row, with the row's columns ``keys``.
 
-    The tokens of a row are counted inside the row: sorted, equal ones are
-    neighbours, and a count is the distance from one start to the next. Nothing
-    is shuffled, and only distinct terms become rows.
+    Tokens become rows on the scan and are counted there: a row's tokens are in
+    one task, so its partial counts are whole before the shuffle, which moves
+    distinct terms and no text.
     """
-
-    def counted(words: Column) -> Column:
-        places = F.sequence(F.lit(0), F.size(words) - 1)
-        starts = F.filter(places, lambda i: (i == 0) | (F.get(words, i) != F.get(words, F.greatest(i - 1, F.lit(0)))))
-        ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(words)))
-        found = F.zip_with(starts, ends, lambda a, b: F.struct(F.get(words, a).alias("term"), (b - a).cast("bigint").alias("tf")))
-        return F.when(F.size(words) > 0, found)
-
-    sorted_words = F.array(F.array_sort(content_tokens(text)))
-    return docs.select(*keys, F.explode(F.get(F.transform(sorted_words, counted), F.lit(0))).alias("t")).select(*keys, "t.term", "t.tf")
+    # A number of its own, given before tokens become rows, keeps rows with equal keys apart.
+    rows = docs.select(*keys, F.monotonically_increasing_id().alias("_row"), tokens(text).alias("words"))
+    words = rows.select(*keys, "_row", F.explode("words").alias("term"))
+    counts = words.filter(~F.col("term").isin(ENGLISH)).groupBy(*keys, "_row", "term").agg(F.count(F.lit(1)).alias("tf"))
+    return counts.select(*keys, "term", "tf")
 
 
 def term_tfidf(docs: DataFrame, key: str, text: str, is_train: Column, broadcast_bytes: int | None = None) -> DataFrame:
