@@ -7,25 +7,28 @@ cut into bands that overlap by k, so one band holds all hits of a leak. Bands
 with enough shared q-grams are retained, and each is verified by an alignment
 within the band: the least edit distance of the passage to any substring there.
 
-The benchmark is a stated query set. Its passages go to the tasks in blocks of
-bounded size; the documents are only scanned, once a block, without a shuffle,
-and a document's rows never meet others', so sources or copies that are
-frequent make no difference.
+The benchmark is a stated query set. Spark cuts its items into passages and
+writes them; they go to the tasks in blocks of bounded size, one after another:
+each block's index is sent out, the documents are scanned once with it, what is
+found is written, and the index is released before the next block. So driver
+and workers hold one block however large the benchmark is. Documents are not
+moved; only the hashes of texts with leaks meet them again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from filmlens.llm.common import table
 from filmlens.llm.tokens import _power, prefix_sums, slices
+from filmlens.sources.staging import materialize
 
 Q = 10
 ERROR_PCT = 8
@@ -34,9 +37,11 @@ SEGMENT = 80
 """Items of more than one and a half times this length are searched in overlapping passages of it."""
 BAND = 16
 BLOCK_CHARS = 1 << 21
-"""Benchmark characters that are sent to the tasks at once."""
+"""Characters of passages that are sent to the tasks at once."""
 _TABLE_BITS = 22
 _FAR = 1 << 20
+_ITEM = ["item_id", "item_hash"]
+_LEAK = "doc_id bigint, text_hash string, item_id bigint, item_hash bigint, edits int"
 
 
 def normalise(text: str) -> str:
@@ -74,7 +79,7 @@ def budget(length: int) -> int:
 class Index:
     """The q-grams of one block of passages, sorted by hash."""
 
-    item: list[int]
+    item: list[tuple[int | None, int | None]]
     codes: list[np.ndarray]
     edits: np.ndarray
     need: np.ndarray
@@ -85,15 +90,12 @@ class Index:
     seen: np.ndarray
 
     @classmethod
-    def build(cls, items: list[tuple[int, str]]) -> Index | None:
-        parts = [(i, _codes(p)) for i, text in items for p in passages(text) if len(p) >= Q]
-        if not parts:
-            return None
+    def build(cls, parts: list[tuple[tuple[int | None, int | None], np.ndarray]]) -> Index:
         lengths = np.array([len(c) for _, c in parts])
         edits = np.array([budget(n) for n in lengths])
         grams = [_qgrams(c) for _, c in parts]
-        owner = np.repeat(np.arange(len(parts)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams])
+        owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(g) for g in grams])
+        place = np.concatenate([np.arange(len(g), dtype=np.int32) for g in grams])
         values = np.concatenate(grams)
         order = np.argsort(values, kind="stable")
         hashes, first = np.unique(values[order], return_index=True)
@@ -114,7 +116,7 @@ class Index:
         n = self.first[k + 1] - self.first[k]
         total = np.concatenate(([0], np.cumsum(n)))
         entry = np.arange(total[-1]) - np.repeat(total[:-1] - self.first[k], n)
-        return np.repeat(at, n), self.passage[entry], self.place[entry]
+        return np.repeat(at, n), self.passage[entry].astype(np.int64), self.place[entry].astype(np.int64)
 
 
 def banded_distance(passage: np.ndarray, regions: np.ndarray, edits: int) -> np.ndarray:
@@ -138,9 +140,9 @@ def banded_distance(passage: np.ndarray, regions: np.ndarray, edits: int) -> np.
     return row.min(axis=1)
 
 
-def _found(index: Index, texts: list[str]) -> list[list[tuple[int, int]]]:
-    """For each normalised text, the (item, edits) of the passages in it."""
-    found: list[list[tuple[int, int]]] = [[] for _ in texts]
+def _found(index: Index, texts: list[str]) -> list[dict[tuple[int | None, int | None], int]]:
+    """For each normalised text, the items in it, each with the least edits of its passages."""
+    found: list[dict[tuple[int | None, int | None], int]] = [{} for _ in texts]
     gap = "\x00" * (SEGMENT * 3)
     joined = gap.join(["", *texts, ""])
     codes = _codes(joined)
@@ -171,110 +173,105 @@ def _found(index: Index, texts: list[str]) -> list[list[tuple[int, int]]]:
         text = np.searchsorted(starts, low + k + BAND + k, side="right") - 1
         for t, d in zip(text, distance, strict=True):
             if d <= k:
-                found[t].append((index.item[p], int(d)))
+                found[t][index.item[p]] = min(int(d), found[t].get(index.item[p], k))
     return found
 
 
-def blocks(benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text", size: int = BLOCK_CHARS) -> Iterator[Index]:
-    """The benchmark in indexes of about ``size`` characters, read one after another.
+def cut_benchmark(benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text") -> DataFrame:
+    """Rows ``item_id``, ``item_hash``, ``passage`` of all items (written); ``item_hash`` stands for a missing id.
 
     Items without text, or with fewer than ``Q`` characters, cannot be told from
-    chance and are not searched. Repeated items count once.
+    chance and give no row. Repeated items count once; items without an id are
+    told apart by their texts.
     """
-    rows = benchmark.select(F.col(f"`{item_column}`").cast("bigint").alias("i"), F.col(f"`{text_column}`").alias("t")).filter("i IS NOT NULL AND t IS NOT NULL").distinct()
-    waiting: list[tuple[int, str]] = []
-    held = 0
-    for row in rows.toLocalIterator():
-        text = normalise(row.t)
-        waiting.append((row.i, text))
-        held += len(text)
-        if held >= size:
-            yield from filter(None, [Index.build(waiting)])
-            waiting, held = [], 0
-    yield from filter(None, [Index.build(waiting)])
-
-
-def _matches(text_column: str, index: Index, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[dict[int, int]]]]:
-    for part, raw in slices(batches, text_column):
-        texts = [normalise(t.decode("utf-8")) if t else "" for t in raw]
-        least: list[dict[int, int]] = []
-        for pairs in _found(index, texts):
-            best: dict[int, int] = {}
-            for item, edits in pairs:
-                best[item] = min(edits, best.get(item, edits))
-            least.append(best)
-        yield part, least
+    item, text = F.col(f"`{item_column}`").cast("bigint"), F.col(f"`{text_column}`")
+    rows = benchmark.select(item.alias("item_id"), F.when(item.isNull(), F.xxhash64(text)).alias("item_hash"), text.alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, raw in slices(batches):
+            pieces = [[p for p in passages(normalise(t.decode("utf-8"))) if len(p) >= Q] for t in raw]
+            at = pa.array([r for r, some in enumerate(pieces) for _ in some], pa.int64())
+            flat = pa.array([p for some in pieces for p in some], pa.string())
+            yield pa.RecordBatch.from_arrays([*(part.column(c).take(at) for c in _ITEM), flat], names=[*_ITEM, "passage"])
+
+    cuts = rows.filter("text IS NOT NULL").distinct().mapInArrow(cut, "item_id bigint, item_hash bigint, passage string")
+    return materialize(cuts.distinct(), "leak-passages")
+
+
+def blocks(cuts: DataFrame, size: int = BLOCK_CHARS) -> Iterator[Index]:
+    """Indexes of about ``size`` characters of passages each; rows are dealt by hash, so an item of any length is spread."""
+    total = cuts.agg(F.sum(F.char_length("passage"))).first()[0] or 0
+    n = -(-total // size)
+    for b in range(n):
+        rows = cuts.filter(F.pmod(F.xxhash64(*cuts.columns), F.lit(n)) == b).collect()
+        if rows:
+            yield Index.build([((r.item_id, r.item_hash), _codes(r.passage)) for r in rows])
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Rows ``doc_id``, ``text_hash``, ``item_id``, ``edits``: every document row and benchmark item that is found in it."""
+    """Rows ``doc_id``, ``text_hash`` (md5), ``item_id``, ``item_hash``, ``edits`` (written): every document and benchmark item that is found in it.
+
+    ``item_hash`` is null but for items without an id. Null and empty texts hold
+    nothing; null ids are allowed; rows that repeat both id and text, and items
+    found in several places, give one row with the least edits. Very long texts
+    are searched whole. Either table may be empty. Other columns are not read,
+    whatever their names.
+    """
     spark = docs.sparkSession
-    schema = "doc_id bigint, text_hash bigint, item_id bigint, edits int"
     text = F.col(f"`{text_column}`")
-    narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    result = None
-    for index in blocks(benchmark, size=block_chars):
+    narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.md5(text).alias("text_hash"), text.alias("text"))
+    least = lambda df: df.groupBy("doc_id", "text_hash", *_ITEM).agg(F.min("edits").alias("edits"))
+    parts = []
+    for index in blocks(cut_benchmark(benchmark), block_chars):
         shared = spark.sparkContext.broadcast(index)
 
         def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for part, least in _matches("text", shared.value, batches):
-                at = [r for r, best in enumerate(least) for _ in best]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id").take(pa.array(at, pa.int64())),
-                        part.column("text_hash").take(pa.array(at, pa.int64())),
-                        pa.array([i for best in least for i in best], pa.int64()),
-                        pa.array([e for best in least for e in best.values()], pa.int32()),
-                    ],
-                    names=["doc_id", "text_hash", "item_id", "edits"],
-                )
-
-        found = narrow.mapInArrow(rows, schema)
-        result = found if result is None else result.union(found)
-    return spark.createDataFrame([], schema) if result is None else result
+            for part, raw in slices(batches):
+                found = _found(shared.value, [normalise(t.decode("utf-8")) if t else "" for t in raw])
+                at = pa.array([r for r, items in enumerate(found) for _ in items], pa.int64())
+                hit = [(*item, edits) for items in found for item, edits in items.items()]
+                columns = [pa.array([h[i] for h in hit], kind) for i, kind in enumerate([pa.int64(), pa.int64(), pa.int32()])]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").take(at), part.column("text_hash").take(at), *columns], names=["doc_id", "text_hash", *_ITEM, "edits"])
+
+        parts.append(materialize(least(narrow.mapInArrow(rows, _LEAK)), "leaks"))
+        shared.destroy()
+    if len(parts) > 1:
+        return materialize(least(reduce(DataFrame.union, parts)), "leaks")
+    return parts[0] if parts else spark.createDataFrame([], _LEAK)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per input row: ``doc_id``, ``contaminated``, ``n_items``, ``item_ids`` (ascending), ``edits`` (the least).
 
     Null and empty texts hold nothing; rows that repeat an id are judged by
-    their own texts, and null ids are allowed. Other columns are not read. With
-    an empty benchmark, or one without usable items, nothing is contaminated.
+    their own texts, and null ids are allowed. Items without an id are counted
+    in ``n_items`` and have no place in ``item_ids``. Other columns are not
+    read. With an empty benchmark, or one without usable items, nothing is
+    contaminated.
     """
-    spark = docs.sparkSession
-    text = F.col(f"`{text_column}`")
-    narrow = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), text.alias("text"))
-    narrow = narrow.withColumns({"item_ids": F.array().cast("array<bigint>"), "edits": F.lit(None).cast("int")})
-    for index in blocks(benchmark, size=block_chars):
-        shared = spark.sparkContext.broadcast(index)
-
-        def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for part, least in _matches("text", shared.value, batches):
-                ids = [sorted({*old, *best}) for old, best in zip(part.column("item_ids").to_pylist(), least, strict=True)]
-                edits = [min((e for e in [old, *best.values()] if e is not None), default=None) for old, best in zip(part.column("edits").to_pylist(), least, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text"), pa.array(ids, pa.list_(pa.int64())), pa.array(edits, pa.int32())],
-                    names=["doc_id", "text", "item_ids", "edits"],
-                )
-
-        narrow = narrow.mapInArrow(rows, "doc_id bigint, text string, item_ids array<bigint>, edits int")
-    n = F.size("item_ids").cast("bigint")
-    return narrow.select("doc_id", (n > 0).alias("contaminated"), n.alias("n_items"), "item_ids", "edits")
+    leaks = find_leaks(docs, benchmark, id_column, text_column, block_chars)
+    ids, unnamed = F.array_sort(F.collect_set("item_id")), F.size(F.collect_set("item_hash"))
+    judged = materialize(leaks.groupBy("text_hash").agg(ids.alias("ids"), unnamed.alias("unnamed"), F.min("edits").alias("edits")), "leaks-by-text")
+    ours = docs.select(F.col(f"`{id_column}`").cast("bigint").alias("doc_id"), F.md5(F.col(f"`{text_column}`")).alias("text_hash"))
+    ids = F.coalesce("ids", F.array().cast("array<bigint>"))
+    n = (F.size(ids) + F.coalesce("unnamed", F.lit(0))).cast("bigint")
+    return ours.join(judged, "text_hash", "left").select("doc_id", (n > 0).alias("contaminated"), n.alias("n_items"), ids.alias("item_ids"), "edits")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is found, with their columns unchanged."""
-    spark = docs.sparkSession
-    out = docs
-    for index in blocks(benchmark, size=block_chars):
-        shared = spark.sparkContext.broadcast(index)
+    """The rows of ``docs`` in which no benchmark item is found, with their columns unchanged.
 
-        def rows(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for part, least in _matches(text_column, shared.value, batches):
-                yield part.filter(pa.array([not best for best in least], pa.bool_()))
-
-        out = out.mapInArrow(rows, T.StructType(docs.schema.fields))
-    return out
+    Rows with null or empty texts stay; rows that repeat an id are judged by
+    their own texts, and copies of a text go or stay together. Very long texts
+    are searched whole. With an empty benchmark all rows stay. Columns may have
+    any names.
+    """
+    text = F.col(f"`{text_column}`")
+    leaks = find_leaks(docs.select(F.lit(0).alias("doc_id"), text.alias("text")), benchmark, block_chars=block_chars)
+    gone = materialize(leaks.select("text_hash").distinct(), "leaking-texts")
+    packed = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"), F.md5(text).alias("key"))
+    left = packed.join(gone, F.col("key") == F.col("text_hash"), "left_anti")
+    return left.select(*[F.col("row").getField(n).alias(n) for n in docs.columns])
 
 
 NAME = "op3_decontaminate"
