@@ -1,7 +1,9 @@
 """Secret scan: candidate strings, and a random forest that removes false findings.
 
-Candidates are long runs of key characters with a digit among them. Each gets
-features of five kinds: length; character transitions (changes between small
+Candidates are found by what stands before them or by their look: the value
+behind a secret's name and ``=`` or ``:``, of any length and alphabet; the
+password in an address ``scheme://user:password@``; and runs of 16 or more key
+characters with a digit among them. Each gets features of five kinds: length; character transitions (changes between small
 letters, capitals and digits, and the make-up of the string); dictionary
 coverage (share of its letters that are words of the corpus, the dictionary
 being counted over all texts); path (slashes, dots, extensions, addresses); and
@@ -27,11 +29,21 @@ from pyspark.sql import functions as F
 from filmlens.llm.common import blocks, let, piece, running, table
 from filmlens.sources.staging import materialize
 
-# One pass over the text: a run starts where no key character stands before it.
-_CANDIDATE = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*+[0-9])[A-Za-z0-9_+/=-]{16,}+"
-_SECRET_NAME = r"(?i)(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|auth)[a-z_]{0,16}[\"']?\s{0,3}[:=]\s{0,3}[\"']?\z"
+_KEY = "A-Za-z0-9_+/=-"
+_NAME = r"(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|auth)[a-z0-9_]{0,16}[\"']?\s{0,3}[:=]\s{0,3}[\"']?"
+_SECRET_NAME = rf"(?i){_NAME}\z"
+_LOGIN = r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@\"']{0,64}:(?=[^\s/@\"']+@)"
+_CONTEXT_OF = rf"(?i:[a-z0-9_-]{{0,32}}?{_NAME}|[a-z][a-z0-9+.-]{{1,15}}://[^\s/:@\"']{{0,64}}:)(?=.)"
+"""The context at the start of a match, of which the closing quote or ``@`` is not a part."""
+# A quoted value goes to its quote; any other to a blank or a sign that parts values, without a full stop or bracket behind it.
+_VALUE = r"(?:(?<=\")[^\"\n]++(?=\")|(?<=')[^'\n]++(?=')|[^\s\"'<>,;&]*[^\s\"'<>,;&.)])"
+# One pass over the text: a name, an address or a run starts where no key character stands before it.
+_CANDIDATE = (
+    rf"(?<![{_KEY}])(?:(?i:[a-z0-9_-]{{0,32}}?{_NAME}){_VALUE}|(?i:{_LOGIN})[^\s/@\"']+"
+    rf"|(?=[A-Za-z_+/=-]*+[0-9])[{_KEY}]{{16,}}+)"
+)
 _NEAR = r"(?i)token|secret|passw|credential|api|auth|key|bearer|private"
-BEFORE, AFTER = 60, 12
+BEFORE, AFTER = 90, 12
 WORD_TEXTS = 3
 """Texts in which a word must occur to be in the dictionary."""
 MAX_LABELLED = 20_000
@@ -42,16 +54,20 @@ THRESHOLD = 0.5
 _FOUND = "array<struct<start:int,value:string,before:string,after:string>>"
 FEATURES = [
     "length", "changes", "digit_share", "capital_share", "mark_share", "hex", "vowel_share", "distinct_share", "coverage",
-    "slashes", "dots_beside", "extension", "address", "near_words", "named", "assigned", "quoted",
+    "slashes", "dots_beside", "extension", "address", "near_words", "named", "assigned", "quoted", "login",
 ]
 
 
 def _candidates_of(text: Column) -> Column:
     """Place, value and neighbourhood of every candidate, in work that grows with the length of the text."""
-    both = F.zip_with(
-        F.split(text, _CANDIDATE, -1), F.regexp_extract_all(text, F.lit(_CANDIDATE), F.lit(0)),
-        lambda g, v: F.struct(F.char_length(g).alias("gap"), v.alias("value")),
-    )
+
+    def parted(gap: Column, match: Column) -> Column:
+        # What is found by its context counts from the end of the context, which belongs to the gap.
+        lead = F.char_length(F.regexp_extract(match, rf"^{_CONTEXT_OF}", 0))
+        value = F.substring(match, lead + 1, F.char_length(match))
+        return F.struct((F.char_length(gap) + F.coalesce(lead, F.lit(0))).alias("gap"), value.alias("value"))
+
+    both = F.zip_with(F.split(text, _CANDIDATE, -1), F.regexp_extract_all(text, F.lit(_CANDIDATE), F.lit(0)), parted)
     length = lambda x: x["gap"] + F.coalesce(F.char_length(x["value"]), F.lit(0))
 
     def placed(bound: Column) -> Column:
@@ -116,14 +132,16 @@ def _value_features() -> dict[str, Column]:
 def _place_features() -> dict[str, Column]:
     before, after = F.col("before"), F.col("after")
     one = lambda c: c.cast("double")
+    login = before.rlike(r"(?i)[a-z][a-z0-9+.-]{1,15}://[^\s/:@\"']{0,64}:\z") & after.rlike("^@")
     return {
         "dots_beside": one(before.rlike(r"[.]\z") | after.rlike(r"^[.]\S")),
         "extension": one(after.rlike(r"^[.][a-z]{2,4}\b")),
-        "address": one(after.rlike("^@") | before.rlike(r"@\z|://\S*\z|www[.]\S*\z")),
+        "address": one(~login & (after.rlike("^@") | before.rlike(r"@\z|://\S*\z|www[.]\S*\z"))),
         "near_words": F.regexp_count(before, F.lit(_NEAR)).cast("double"),
         "named": one(before.rlike(_SECRET_NAME)),
         "assigned": one(before.rlike(r"[=:]\s{0,3}[\"']?\z")),
         "quoted": one(before.rlike(r"[\"']\z") & after.rlike("^[\"']")),
+        "login": one(login),
     }
 
 
@@ -131,7 +149,7 @@ def seed_labels() -> Column:
     """1 for findings that are secrets on their face, 0 for such that are not, null for all others."""
     number = F.col("value").rlike(r"^[0-9_+/=-]+\z")
     plain = number | (F.col("address") > 0) | (F.col("coverage") >= 0.6) | (F.col("distinct_share") * F.least(F.col("length"), F.lit(64)) < 6)
-    sure = (F.col("named") > 0) & (F.col("length") >= 20)
+    sure = ((F.col("named") > 0) & (F.col("length") >= 20)) | (F.col("login") > 0)
     return F.when(plain, 0).when(sure, 1)
 
 
@@ -151,8 +169,10 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "d
     without it the seed rules label the findings. With labels of one class
     only, or none, no forest is fitted: labelled findings keep their label and
     all others are secrets, as a scan without removal would have them. Null and
-    empty texts have no candidates. Repeated rows repeat their findings; null
-    ids are allowed. Only the two named columns are read.
+    empty texts have no candidates, and very long ones are searched whole.
+    Repeated rows repeat their findings; null ids are allowed. A value labelled
+    both ways is a secret; equal scores stay equal. Of an empty table nothing is
+    returned. Only the two named columns are read, whatever the others' names.
     """
     described = describe(docs, id_column, text_column)
     if labelled is None:
