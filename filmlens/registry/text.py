@@ -64,11 +64,48 @@ def term_tfidf_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     return _term_tfidf(spark, sf, broadcast_bytes=0)
 
 
+_MASK = "4294967295::UBIGINT"
+
+
+def _rotated(x: str, bits: int) -> str:
+    return f"(((({x}) << {bits}) | (({x}) >> {32 - bits})) & {_MASK})"
+
+
+def _folded(x: str, shift: int) -> str:
+    return f"xor({x}, {x} >> {shift})"
+
+
+def _bucket_sql(source: str, width: int) -> str:
+    """CTEs ending in ``buckets`` (term, bucket): the terms of ``source`` under the public 32-bit Murmur3 hash with seed 42.
+
+    Terms are taken as UTF-8 in four-byte words, little end first; what is left
+    at the end is mixed in like a word but not stirred, and the bucket is the
+    signed hash modulo ``width``.
+    """
+    word = lambda at, n: "('0x' || " + " || ".join(f"h[{at} + {2 * k - 1} : {at} + {2 * k}]" for k in range(n, 0, -1)) + ")::UBIGINT"
+    mixed = lambda x: f"{_rotated(f'({x} * 3432918353::UBIGINT) & {_MASK}', 15)} * 461845907::UBIGINT & {_MASK}"
+    stirred = _rotated("xor(a, b)", 13)
+    return f"""
+        spelled AS (SELECT term, hex(encode(term)) AS h, octet_length(encode(term)) AS n FROM (SELECT DISTINCT term FROM {source}) q),
+        cut AS (SELECT term, n, list_transform(range(0, n // 4), lambda i: {word("8 * i", 4)}) AS body,
+                       CASE n % 4 WHEN 0 THEN 0::UBIGINT WHEN 1 THEN {word("2 * n - 2", 1)} WHEN 2 THEN {word("2 * n - 4", 2)} ELSE {word("2 * n - 6", 3)} END AS tail FROM spelled),
+        mixed AS (SELECT term, n, list_prepend(42::UBIGINT, list_transform(body, lambda k: {mixed("k")})) AS parts, {mixed("tail")} AS tail FROM cut),
+        stirred AS (SELECT term, xor(xor(list_reduce(parts, lambda a, b: ({stirred} * 5 + 3864292196::UBIGINT) & {_MASK}), tail), n::UBIGINT) AS h FROM mixed),
+        once AS (SELECT term, {_folded("h", 16)} * 2246822507::UBIGINT & {_MASK} AS h FROM stirred),
+        twice AS (SELECT term, {_folded("h", 13)} * 3266489909::UBIGINT & {_MASK} AS h FROM once),
+        final AS (SELECT term, {_folded("h", 16)}::BIGINT AS h FROM twice),
+        buckets AS (SELECT term, CAST(((h - CASE WHEN h >= 2147483648 THEN 4294967296 ELSE 0 END) % {width} + {width}) % {width} AS INT) AS bucket FROM final)"""
+
+
+_HASHED_SQL = f"""WITH x AS (SELECT doc_id, unnest({_CONTENT_SQL}) AS term FROM documents), {_bucket_sql("x", 100)},
+    counts AS (SELECT doc_id, bucket, CAST(count(*) AS DOUBLE) AS tf FROM x JOIN buckets USING (term) GROUP BY 1, 2)"""
+
+
 def _hashed_documents(spark: SparkSession, sf: str) -> DataFrame:
     return hash_text(table(spark, sf, "documents").select("doc_id", "text"), "text").drop("text")
 
 
-@query("hashing_tf")
+@query("hashing_tf", f"{_HASHED_SQL} SELECT doc_id, bucket, tf FROM counts")
 def hashing_tf(spark: SparkSession, sf: str) -> DataFrame:
     return vector_entries(_hashed_documents(spark, sf), "doc_id", "desc_tf", "tf")
 
@@ -79,15 +116,25 @@ def hashing_tf_sums(spark: SparkSession, sf: str) -> DataFrame:
     return hashing_tf(spark, sf).groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"))
 
 
-@query("hashed_tfidf")
+@query(
+    "hashed_tfidf",
+    f"""{_HASHED_SQL}, m AS (SELECT count(*) AS m FROM documents WHERE {draw_sql("doc_id")} < 80),
+        f AS (SELECT bucket, count(*) AS df FROM counts WHERE {draw_sql("doc_id")} < 80 GROUP BY 1),
+        w AS (SELECT doc_id, bucket, tf * ln(CAST((SELECT m FROM m) + 1 AS DOUBLE) / (coalesce(df, 0) + 1)) AS v FROM counts LEFT JOIN f USING (bucket))
+        SELECT doc_id, bucket, round(v, 6) AS tfidf FROM w WHERE v <> 0""",
+)
 def hashed_tfidf(spark: SparkSession, sf: str) -> DataFrame:
     hashed = materialize(_hashed_documents(spark, sf), "hashed-documents")
     train, _ = split_by_key(hashed, ["doc_id"])
     weights = IDF(inputCol="desc_tf", outputCol="tfidf_vector").fit(train)
-    return vector_entries(weights.transform(hashed), "doc_id", "tfidf_vector", "tfidf")
+    return vector_entries(weights.transform(hashed), "doc_id", "tfidf_vector", "tfidf").withColumn("tfidf", rounded("tfidf"))
 
 
-@query("feature_hasher")
+@query(
+    "feature_hasher",
+    f"""WITH x AS (SELECT p_partkey, 'p_type=' || p_type AS term FROM part), {_bucket_sql("x", 16)}
+        SELECT p_partkey, bucket, 1.0::DOUBLE AS value FROM x JOIN buckets USING (term)""",
+)
 def feature_hasher(spark: SparkSession, sf: str) -> DataFrame:
     parts = table(spark, sf, "part").select("p_partkey", "p_type")
     hasher = FeatureHasher(inputCols=["p_type"], outputCol="genre_features", numFeatures=16)
