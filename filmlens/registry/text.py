@@ -116,18 +116,24 @@ def hashing_tf_sums(spark: SparkSession, sf: str) -> DataFrame:
     return hashing_tf(spark, sf).groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"))
 
 
+@query("hashed_tfidf")
+def hashed_tfidf(spark: SparkSession, sf: str) -> DataFrame:
+    hashed = materialize(_hashed_documents(spark, sf), "hashed-documents")
+    train, _ = split_by_key(hashed, ["doc_id"])
+    weights = IDF(inputCol="desc_tf", outputCol="tfidf_vector").fit(train)
+    return vector_entries(weights.transform(hashed), "doc_id", "tfidf_vector", "tfidf")
+
+
 @query(
-    "hashed_tfidf",
+    "hashed_tfidf_rounded",
     f"""{_HASHED_SQL}, m AS (SELECT count(*) AS m FROM documents WHERE {draw_sql("doc_id")} < 80),
         f AS (SELECT bucket, count(*) AS df FROM counts WHERE {draw_sql("doc_id")} < 80 GROUP BY 1),
         w AS (SELECT doc_id, bucket, tf * ln(CAST((SELECT m FROM m) + 1 AS DOUBLE) / (coalesce(df, 0) + 1)) AS v FROM counts LEFT JOIN f USING (bucket))
         SELECT doc_id, bucket, round(v, 6) AS tfidf FROM w WHERE v <> 0""",
 )
-def hashed_tfidf(spark: SparkSession, sf: str) -> DataFrame:
-    hashed = materialize(_hashed_documents(spark, sf), "hashed-documents")
-    train, _ = split_by_key(hashed, ["doc_id"])
-    weights = IDF(inputCol="desc_tf", outputCol="tfidf_vector").fit(train)
-    return vector_entries(weights.transform(hashed), "doc_id", "tfidf_vector", "tfidf").withColumn("tfidf", rounded("tfidf"))
+def hashed_tfidf_rounded(spark: SparkSession, sf: str) -> DataFrame:
+    """The same to six places, for a comparison with SQL."""
+    return hashed_tfidf(spark, sf).withColumn("tfidf", rounded("tfidf"))
 
 
 @query(
