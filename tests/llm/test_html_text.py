@@ -102,3 +102,20 @@ def test_repeats_inside_one_of_several_candidates(spark):
     got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
     assert [got[i] for i in range(3)] == [f"the {i} story is told here in so many words as it takes, {i} times" for i in range(3)]
     assert got[9] == "Short one"
+
+
+def test_template_of_the_host_inside_the_only_candidate(spark):
+    notice, common = "<p>Please do support the work of our small team with a gift today</p>", "<p>it is a saying that two of the stories have alike</p>"
+    page = "<nav><a>Menu</a></nav><article><h2>Summary</h2><p>the {0} story is told here in so many words as it takes, {0} times</p>{1}<p>The end</p></article>"
+    pages = [(i, f"http://a.org/{i}", page.format(i, common * (i < 2) + notice)) for i in range(6)]
+    # A host of few pages, and one that copies the notice alone.
+    pages += [(10 + i, f"http://b.org/{i}", page.format(i, notice)) for i in range(3)] + [(20, "http://a.org/20", f"<article>{notice}</article>")]
+    # Short blocks of a page without any candidate.
+    pages += [(30 + i, f"http://c.org/{i}", f"<div>Home</div><div>About</div><div>the {i} story is told here in so many words as it takes</div><div>Imprint</div>") for i in range(5)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    story, words = "Summary\nthe {0} story is told here in so many words as it takes, {0} times", "Please do support the work of our small team with a gift today"
+    for i in range(6):
+        assert got[i] == story.format(i) + "\nit is a saying that two of the stories have alike" * (i < 2) + "\nThe end"
+    assert [got[10 + i] for i in range(3)] == [f"{story.format(i)}\n{words}\nThe end" for i in range(3)]
+    assert got[20] == words
+    assert [got[30 + i] for i in range(5)] == [f"the {i} story is told here in so many words as it takes" for i in range(5)]
