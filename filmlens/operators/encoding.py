@@ -7,7 +7,7 @@ driver and no Python function runs per row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -51,6 +51,10 @@ def category_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("category_count"))
 
 
+def _smoothed(mean: Column, n: Column, overall: float | None, smoothing: float) -> Column:
+    return (mean * n + F.lit(overall) * F.lit(smoothing)) / (n + F.lit(smoothing))
+
+
 def target_encode_fit(train: DataFrame, column: str, target: str, smoothing: float = 10.0) -> Encoding:
     """Smoothed category means ``(mean * n + global * smoothing) / (n + smoothing)``.
 
@@ -66,8 +70,7 @@ def target_encode_fit(train: DataFrame, column: str, target: str, smoothing: flo
     weighted = F.sum(F.col("category_mean") * F.col("target_count"))
     mean = F.try_divide(weighted, F.sum("target_count")).alias("global_mean")
     lookup, measured = build_lookup(stats, column, "category_mean", "category_count", f"means-{column}", mean)
-    n = F.col("category_count")
-    smoothed = (F.col("category_mean") * n + F.lit(measured.global_mean) * F.lit(smoothing)) / (n + F.lit(smoothing))
+    smoothed = _smoothed(F.col("category_mean"), F.col("category_count"), measured.global_mean, smoothing)
     return Encoding(column, "encoded", lookup.derive("encoding", smoothed), measured.global_mean)
 
 
@@ -85,6 +88,20 @@ def encode_apply(df: DataFrame, encoding: Encoding, spread: list[str] | None = N
     return joined.withColumn(encoding.output, value).drop(encoding.column)
 
 
+def encode_apply_grid(
+    df: DataFrame, encoding: Encoding, smoothings: Mapping[str, float], spread: list[str] | None = None, broadcast_bytes: int | None = None
+) -> DataFrame:
+    """Replace the category by one target encoding for each smoothing strength, under the strengths' names.
+
+    The strengths share one fit and one join: only the weight of its global mean differs.
+    """
+    parts = encoding.lookup.derive("__means", F.struct(F.col("category_mean").alias("mean"), F.col("category_count").alias("n")))
+    joined = lookup_join(df, encoding.column, parts, "__means", spread, broadcast_bytes)
+    overall = F.lit(encoding.default).cast("double")
+    values = {c: F.coalesce(_smoothed(F.col("__means.mean"), F.col("__means.n"), encoding.default, s), overall) for c, s in smoothings.items()}
+    return joined.withColumns(values).drop(encoding.column, "__means")
+
+
 @dataclass(frozen=True)
 class FoldedEncoding:
     """A target encoder with one value per category and fold, each fitted on the rows of all other folds.

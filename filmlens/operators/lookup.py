@@ -90,7 +90,8 @@ def lookup_join(
     cold_table = lookup.table.filter(~hot).select(
         key.alias("__key"), F.col(lookup.value).alias("__cold_value")
     )
-    cold_table = cold_table.withColumn("__cold_place", F.xxhash64("__key"))
+    # The planner's own estimate must not send out what was measured as too large.
+    cold_table = cold_table.withColumn("__cold_place", F.xxhash64("__key")).hint("merge")
     hit = F.coalesce("__hit", F.lit(False))
     served = df.join(F.broadcast(hot_table), wanted.eqNullSafe(F.col("__hot_key")), "left").select(
         *df.columns,

@@ -49,6 +49,7 @@ class FeatureFrame:
     encodings: dict[str, Encoding | FoldedEncoding]
     top_genres: TopCategories
     limits: Mapping[str, float]
+    broadcast_bytes: int | None = None
 
     def temporal(self, df: DataFrame) -> DataFrame:
         """The row features that need no fit."""
@@ -58,9 +59,9 @@ class FeatureFrame:
         """Encode the categories, reduce the genres and derive the row features."""
         for encoding in self.encodings.values():
             if isinstance(encoding, FoldedEncoding):
-                df = kfold_encode_apply(df, encoding, F.col("side") == "train", [self.variant.key])
+                df = kfold_encode_apply(df, encoding, F.col("side") == "train", [self.variant.key], self.broadcast_bytes)
             else:
-                df = encode_apply(df, encoding, [self.variant.key])
+                df = encode_apply(df, encoding, [self.variant.key], self.broadcast_bytes)
         df = self.temporal(top_categories_apply(df, self.top_genres, spread=[self.variant.key]))
         return derive_popularity(df) if self.variant.popularity else df
 
@@ -97,9 +98,10 @@ def fit_encoder(train: DataFrame, variant: Variant, column: str) -> Encoding | F
     return target_encode_fit(train, column, variant.target, variant.smoothing) if variant.encoder == "target" else frequency_encode_fit(train, column)
 
 
-def feature_frame(rows: DataFrame, variant: Variant, **limits: float) -> FeatureFrame:
+def feature_frame(rows: DataFrame, variant: Variant, broadcast_bytes: int | None = None, **limits: float) -> FeatureFrame:
     """Fit the encoders and the genre list on the training rows of ``rows``, which have a ``side``.
 
+    ``broadcast_bytes`` bounds the encoders' lookups (see ``lookup_join``).
     ``limits`` passes other year and duration limits to ``derive_temporal``.
     Every fit reads the raw training rows, so its plan stays flat however many
     encoders are chained.
@@ -107,7 +109,7 @@ def feature_frame(rows: DataFrame, variant: Variant, **limits: float) -> Feature
     train = one_side(rows, "train")
     encodings = {c: fit_encoder(train, variant, c) for c in variant.categories}
     top = top_categories_fit(train, variant.genre, variant.top_genres)
-    return FeatureFrame(variant, rows, encodings, top, limits)
+    return FeatureFrame(variant, rows, encodings, top, limits, broadcast_bytes)
 
 
 def text_stages(text: str, width: int = 100) -> list:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from filmlens.operators.cleaning import clean_required
 from filmlens.operators.encoding import FOLD_SEED, fold_number
+from filmlens.operators.lookup import BROADCAST_BYTES
 from filmlens.plans.evaluation import regression_metrics
 from filmlens.plans.features import feature_frame, fit_features, hash_text
 from filmlens.plans.variants import Variant
@@ -37,6 +38,11 @@ def fold_counts(rows: DataFrame, folds: int) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n"), *sizes).select(F.inline(F.array(*entries)))
 
 
+def broadcast_share(rounds: int) -> int:
+    """Largest key table that one of several rounds sends to every executor: all rounds together send no more than one lookup may."""
+    return BROADCAST_BYTES // rounds
+
+
 def cross_validate(rows: DataFrame, folds: int, fit_and_score: FitAndScore, label: str, predictions: Mapping[str, str]) -> DataFrame:
     """Metrics of every round and model: ``fold, model, rmse, mae, r2, mse``.
 
@@ -87,7 +93,7 @@ def cross_validate_variant(
     rows = fold_table(hashed.select(*wanted), [variant.key], folds)
 
     def fit_and_score(sides: DataFrame) -> DataFrame:
-        tables = fit_features(feature_frame(sides, variant, **temporal))
+        tables = fit_features(feature_frame(sides, variant, broadcast_bytes=broadcast_share(folds), **temporal))
         scored = tables.test
         for estimator in grid.values():
             scored = estimator.fit(tables.train).transform(scored)

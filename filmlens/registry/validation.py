@@ -135,12 +135,9 @@ def _smoothing_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """The grid of smoothing strengths: the encoding itself is the prediction."""
 
     def fit_and_score(sides: DataFrame) -> DataFrame:
-        train, scored = one_side(sides, "train"), one_side(sides, "test")
-        for name, strength in _SMOOTHINGS.items():
-            fitted = E.target_encode_fit(train, "o_custkey", "o_totalprice", strength)
-            kept = scored.withColumn("__customer", F.col("o_custkey"))
-            scored = E.encode_apply(kept, fitted, ["o_orderkey"]).withColumnsRenamed({"o_custkey_encoded": f"pred_{name}", "__customer": "o_custkey"})
-        return scored
+        fitted = E.target_encode_fit(one_side(sides, "train"), "o_custkey", "o_totalprice")
+        strengths = {f"pred_{name}": strength for name, strength in _SMOOTHINGS.items()}
+        return E.encode_apply_grid(one_side(sides, "test"), fitted, strengths, ["o_orderkey"], X.broadcast_share(FOLDS))
 
     return X.cross_validate(_order_folds(spark, sf), FOLDS, fit_and_score, "o_totalprice", {n: f"pred_{n}" for n in _SMOOTHINGS})
 

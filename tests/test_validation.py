@@ -106,3 +106,33 @@ def test_ranks_against_plain_loops(spark, broadcast_bytes):
         assert x.pair_count == weight.get((x.l, x.r))
         assert x.l_rank == (pytest.approx(rank_l[x.l]) if x.l in rank_l else None)
         assert x.r_degree == (len({l for l, r in weight if r == x.r}) or None)
+
+
+@pytest.mark.parametrize("broadcast_bytes", [None, 0])
+def test_a_grid_of_strengths_is_the_single_encodings(spark, broadcast_bytes):
+    df = spark.createDataFrame(ROWS, "i int, c string, y double")
+    train, test = df.filter("i < 60"), df.filter("i >= 60")
+    strengths = {"a": 1.0, "b": 10.0}
+    got = E.encode_apply_grid(test, E.target_encode_fit(train, "c", "y"), strengths, ["i"], broadcast_bytes)
+    assert got.columns == ["i", "y", "a", "b"]
+    for name, strength in strengths.items():
+        want = E.encode_apply(test, E.target_encode_fit(train, "c", "y", strength), ["i"]).collect()
+        assert {r.i: r[name] for r in got.collect()} == pytest.approx({r.i: r.c_encoded for r in want})
+
+
+def test_all_rounds_together_send_out_no_more_than_one_lookup(spark, monkeypatch):
+    assert 5 * X.broadcast_share(5) <= X.BROADCAST_BYTES
+    # Each round's table fits the whole limit, but not its share of it.
+    monkeypatch.setattr(X, "BROADCAST_BYTES", 1000)
+    scored = []
+
+    def fit_and_score(sides):
+        fitted = E.target_encode_fit(one_side(sides, "train"), "c", "y")
+        assert 200 < fitted.lookup.n_bytes <= 1000
+        scored.append(E.encode_apply_grid(one_side(sides, "test"), fitted, {"p": 1.0}, ["i"], X.broadcast_share(5)))
+        return scored[-1]
+
+    df = spark.createDataFrame([(i, f"c{i % 15}", float(i)) for i in range(80)], "i int, c string, y double")
+    assert X.cross_validate(X.fold_table(df, ["i"], 5), 5, fit_and_score, "y", {"p": "p"}).count() == 5
+    # Not even the planner's own estimate sends them out.
+    assert all("strategy=merge" in s._jdf.queryExecution().optimizedPlan().toString() for s in scored)
