@@ -124,7 +124,7 @@ def cv_encodings(spark: SparkSession, sf: str) -> DataFrame:
     for k in range(FOLDS):
         sides = X.sides_of_fold(folds, k)
         fitted = E.target_encode_fit(one_side(sides, "train"), "o_custkey", "o_totalprice")
-        one = E.encode_apply(one_side(sides, "test"), fitted, ["o_orderkey"]).select(
+        one = E.encode_apply(one_side(sides, "test"), fitted, ["o_orderkey"], X.broadcast_share(FOLDS)).select(
             F.lit(k).alias("fold"), "o_orderkey", rounded("o_custkey_encoded", 4).alias("o_custkey_encoded")
         )
         found = one if found is None else found.unionByName(one)
