@@ -136,3 +136,23 @@ def test_all_rounds_together_send_out_no_more_than_one_lookup(spark, monkeypatch
     assert X.cross_validate(X.fold_table(df, ["i"], 5), 5, fit_and_score, "y", {"p": "p"}).count() == 5
     # Not even the planner's own estimate sends them out.
     assert all("strategy=merge" in s._jdf.queryExecution().optimizedPlan().toString() for s in scored)
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_rounds_read_lists_of_the_larger_side(spark, monkeypatch, turned):
+    rng = random.Random(5)
+    rows = [(rng.randrange(6), rng.randrange(40)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "l int, r int")
+    if turned:
+        df = df.select(F.col("r").alias("l"), F.col("l").alias("r"))
+    whole = [{x.node: x.rank for x in side.collect()} for side in C.collaboration_rank(df, "l", "r", 3)]
+    # Nodes with many edges have several lists.
+    for size, broadcast_bytes in ((10_000, None), (3, None), (3, 0)):
+        monkeypatch.setattr(C, "LIST_EDGES", size)
+        lists, lefts, rights = C._ranked(df, "l", "r", 3, C.DAMPING, broadcast_bytes)
+        assert lists.by == ("left" if turned else "right")
+        n = lists.table.count()
+        assert n == 40 if size > 40 else n > 40
+        assert sorted((x.left, x.right, x.weight) for x in lists.edges().collect()) == sorted((x.left, x.right, x.weight) for x in C.edges(df, "l", "r").collect())
+        for got, want in zip((lefts, rights), whole, strict=True):
+            assert {x.node: x.rank for x in got.collect()} == pytest.approx(want)
