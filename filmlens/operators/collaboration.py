@@ -123,16 +123,27 @@ def collaboration_features(
     New columns: ``<left>_degree``, ``<left>_rank``, the same for the right, and
     ``pair_count``. No target is read, so they may be computed over all rows.
     """
-    out = df
-    ranked = collaboration_rank(df, left, right, rounds, damping)
-    for column, ranks in zip((left, right), ranked, strict=True):
+    lists, *ranked = _ranked(df, left, right, rounds, damping, None)
+    lookups = {}
+    for side, column, ranks in zip(("left", "right"), (left, right), ranked, strict=True):
         packed = ranks.withColumn("features", F.struct("degree", "rank"))
-        lookup, _ = build_lookup(packed, "node", "features", "strength", f"collaboration-{column}")
-        joined = lookup_join(out, column, lookup, "__found", spread)
-        out = joined.select(*out.columns, F.col("__found.degree").alias(f"{column}_degree"), F.col("__found.rank").alias(f"{column}_rank"))
-    pair = F.when(F.col(left).isNotNull() & F.col(right).isNotNull(), F.to_json(F.array(F.col(left).cast("string"), F.col(right).cast("string"))))
-    counts = edges(df, left, right).select(
-        F.to_json(F.array(F.col("left").cast("string"), F.col("right").cast("string"))).alias("pair"), "weight"
-    )
-    lookup, _ = build_lookup(counts, "pair", "weight", "weight", "collaboration-pairs")
-    return lookup_join(out.withColumn("__pair", pair), "__pair", lookup, "pair_count", spread).drop("__pair")
+        lookups[side], _ = build_lookup(packed, "node", "features", "strength", f"collaboration-{column}")
+
+    def named(found: Column, other: Column) -> list[Column]:
+        sides = ((left, found), (right, other))
+        return [features[f].alias(f"{column}_{f}") for column, features in sides for f in ("degree", "rank")]
+
+    # A pair's own row gets the features of both its nodes, so that rows with both values are moved once.
+    pairs = lists.with_lookup(lists.by, lookups[lists.by], "__by")
+    pairs = lookup_join(pairs, lists.other, lookups[lists.other], "__other", ["left", "right"])
+    of_left, of_right = ("__by", "__other") if lists.by == "left" else ("__other", "__by")
+    values = F.struct(*named(F.col(of_left), F.col(of_right)), F.col("weight").alias("pair_count"))
+    keyed = pairs.select(F.struct(F.col("left").alias("l"), F.col("right").alias("r")).alias("pair"), values.alias("found"), "weight")
+    by_pair, _ = build_lookup(keyed, "pair", "found", "weight", "collaboration-pairs")
+
+    both = F.col(left).isNotNull() & F.col(right).isNotNull()
+    whole = df.filter(both).withColumn("__pair", F.struct(F.col(left).alias("l"), F.col(right).alias("r")))
+    whole = lookup_join(whole, "__pair", by_pair, "__found", spread).select(*df.columns, "__found.*")
+    part = lookup_join(lookup_join(df.filter(~both), left, lookups["left"], "__left", spread), right, lookups["right"], "__right", spread)
+    none = F.lit(None).cast("bigint").alias("pair_count")
+    return whole.unionByName(part.select(*df.columns, *named(F.col("__left"), F.col("__right")), none))

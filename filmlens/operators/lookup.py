@@ -53,7 +53,7 @@ def build_lookup(table: DataFrame, key: str, value: str, count: str, name: str,
 
 def _common_type(column: T.DataType, key: T.DataType) -> T.DataType:
     """The type both sides are compared and hashed in; a cast that could lose values is refused."""
-    if column == key:
+    if column.simpleString() == key.simpleString():
         return key
     if isinstance(column, T.IntegralType) and isinstance(key, T.IntegralType):
         return T.LongType()

@@ -156,3 +156,19 @@ def test_rounds_read_lists_of_the_larger_side(spark, monkeypatch, turned):
         assert sorted((x.left, x.right, x.weight) for x in lists.edges().collect()) == sorted((x.left, x.right, x.weight) for x in C.edges(df, "l", "r").collect())
         for got, want in zip((lefts, rights), whole, strict=True):
             assert {x.node: x.rank for x in got.collect()} == pytest.approx(want)
+
+
+def test_rows_with_both_values_are_joined_once(spark, monkeypatch):
+    rows = [(1, "a", 1), (2, "a", 1), (3, "b", 1), (4, None, 1), (5, "a", None), (6, None, None), (7, "only here", None), (8, "b", 2)]
+    df = spark.createDataFrame(rows, "i int, l string, r int")
+    joined = []
+    lookup_join = C.lookup_join
+    monkeypatch.setattr(C, "lookup_join", lambda table, column, *rest: joined.append((table, column)) or lookup_join(table, column, *rest))
+    found = C.collaboration_features(df, "l", "r", 1, spread=["i"])
+    # Of all joins with rows of the input, one is of the rows with both values.
+    assert sorted(t.count() for t, _ in joined if "i" in t.columns) == [4, 4, 4]
+    got = {x.i: (x.l, x.r, x.l_degree, x.r_degree, x.pair_count) for x in found.collect()}
+    assert got == {
+        1: ("a", 1, 1, 2, 2), 2: ("a", 1, 1, 2, 2), 3: ("b", 1, 2, 2, 1), 4: (None, 1, None, 2, None), 5: ("a", None, 1, None, None),
+        6: (None, None, None, None, None), 7: ("only here", None, None, None, None), 8: ("b", 2, 2, 1, 1),
+    }
