@@ -20,18 +20,30 @@ def content_tokens(text: str, min_length: int = 3) -> Column:
     return F.filter(tokens(text, min_length), lambda word: ~word.isin(ENGLISH))
 
 
+def _counted(words: Column) -> Column:
+    """``term, tf`` of each different word of an array: the runs of equal words after sorting."""
+    nothing = F.array().cast("array<int>")
+
+    def terms(w: Column, starts: Column) -> Column:
+        tf = lambda at, k: F.coalesce(F.get(starts, k + 1), F.size(w)) - at
+        return F.transform(starts, lambda at, k: F.struct(F.get(w, at).alias("term"), tf(at, k).cast("bigint").alias("tf")))
+
+    def runs(w: Column) -> Column:
+        places = F.when(F.size(w) > 0, F.sequence(F.lit(0), F.size(w) - 1)).otherwise(nothing)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(w, i) != F.get(w, i - 1)))
+        # Arrays of one element bind the sorted words and the starts, which are read at every step.
+        return F.get(F.transform(F.array(starts), lambda s: terms(w, s)), F.lit(0))
+
+    return F.get(F.transform(F.array(F.sort_array(words)), runs), F.lit(0))
+
+
 def term_counts(docs: DataFrame, keys: list[str], text: str) -> DataFrame:
     """Occurrences of each content token per row, with the row's columns ``keys``.
 
-    Tokens become rows on the scan and are counted there: a row's tokens are in
-    one task, so its partial counts are whole before the shuffle, which moves
-    distinct terms and no text.
+    A row's tokens are sorted and counted within the row, so nothing is shuffled
+    and rows with equal keys stay apart.
     """
-    # A number of its own, given before tokens become rows, keeps rows with equal keys apart.
-    rows = docs.select(*keys, F.monotonically_increasing_id().alias("_row"), tokens(text).alias("words"))
-    words = rows.select(*keys, "_row", F.explode("words").alias("term"))
-    counts = words.filter(~F.col("term").isin(ENGLISH)).groupBy(*keys, "_row", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return counts.select(*keys, "term", "tf")
+    return docs.select(*keys, F.inline(_counted(tokens(text)))).filter(~F.col("term").isin(ENGLISH))
 
 
 def term_tfidf(docs: DataFrame, key: str, text: str, is_train: Column, broadcast_bytes: int | None = None) -> DataFrame:
