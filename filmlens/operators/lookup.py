@@ -97,12 +97,11 @@ def lookup_join(
         *df.columns,
         "__hot_value",
         hit.alias("__served"),
-        F.when(~hit, wanted).alias("__cold_key"),
         F.when(hit, F.xxhash64(*(spread or df.columns))).otherwise(F.xxhash64(wanted)).alias("__place"),
     )
     matched = served.join(
         cold_table,
-        (F.col("__place") == F.col("__cold_place")) & F.col("__cold_key").eqNullSafe(F.col("__key")) & ~F.col("__served"),
+        (F.col("__place") == F.col("__cold_place")) & wanted.eqNullSafe(F.col("__key")) & ~F.col("__served"),
         "left",
     )
     value = F.when(F.col("__served"), F.col("__hot_value")).otherwise(F.col("__cold_value"))
