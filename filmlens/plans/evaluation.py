@@ -77,7 +77,7 @@ def feature_importance(fitted: FittedModel, scored: DataFrame, variant: Variant,
 
     The vector has one entry per feature, so its length is the variant's width.
     """
-    values = fitted.model.featureImportances.toArray()
+    values = fitted.importances(variant.width)
     spark = scored.sparkSession
     found = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "index int, importance double")
     rank = F.row_number().over(Window.partitionBy().orderBy(F.desc("importance"), "index"))

@@ -160,6 +160,11 @@ class FeatureTables:
     train: DataFrame
     test: DataFrame
 
+    @property
+    def varying(self) -> list[int]:
+        """The positions that differ between training rows; at all others the scaled vector is 0."""
+        return [i for i, deviation in enumerate(self.stages.stages[-1].std.toArray()) if deviation != 0.0]
+
 
 def fit_features(frame: FeatureFrame) -> FeatureTables:
     """Fit every feature stage on the least input it needs; all regressors share the result.

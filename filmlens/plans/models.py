@@ -6,7 +6,9 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml import Model
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,9 @@ from filmlens.sources.staging import materialize
 # Ensemble weights, and the parameters of the estimators below.
 ENSEMBLE_WEIGHTS = {"ridge": 0.2, "forest": 0.3, "gbt": 0.5}
 
+VARYING = "varying_features"
+"""The scaled vector without the positions that are the same in all training rows."""
+
 
 def regressors(label: str, gbt_iterations: int = 50, forest_trees: int = 30) -> dict[str, object]:
     """The three estimators with their parameters.
@@ -39,21 +44,62 @@ def regressors(label: str, gbt_iterations: int = 50, forest_trees: int = 30) ->
 
 @dataclass(frozen=True)
 class FittedModel:
-    """A fitted regressor and the seconds its fit took."""
+    """A fitted regressor and the seconds its fit took.
+
+    With ``positions`` the model reads only those of the scaled vector, in their order.
+    """
 
     name: str
     model: Model
     seconds: float
+    positions: tuple[int, ...] | None = None
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with the model's prediction."""
+        if self.positions is None:
+            return self.model.transform(df)
+        return self.model.transform(at_positions(df, self.positions)).drop(VARYING)
+
+    def importances(self, width: int) -> np.ndarray:
+        """A tree model's importance of each of the ``width`` positions of the scaled vector."""
+        found = self.model.featureImportances.toArray()
+        if self.positions is None:
+            return found
+        values = np.zeros(width)
+        values[list(self.positions)] = found
+        return values
 
 
-def fit_models(train: DataFrame, label: str, names: Sequence[str] = ("ridge", "forest", "gbt"), **sizes: int) -> dict[str, FittedModel]:
-    """Fit the named regressors on one prepared training table."""
+def at_positions(df: DataFrame, positions: Sequence[int]) -> DataFrame:
+    """Add ``varying_features``: the scaled vector at ``positions``."""
+    return VectorSlicer(inputCol="scaled_features", outputCol=VARYING, indices=list(positions)).transform(df)
+
+
+def fit_models(
+    train: DataFrame,
+    label: str,
+    names: Sequence[str] = ("ridge", "forest", "gbt"),
+    varying: Sequence[int] | None = None,
+    **sizes: int,
+) -> dict[str, FittedModel]:
+    """Fit the named regressors on one prepared training table.
+
+    ``varying`` are the vector positions that differ between training rows
+    (:attr:`filmlens.plans.features.FeatureTables.varying`). Boosting searches
+    all positions at every node, where one without a split costs as much as any
+    other and is never chosen: its fit reads the varying ones alone, for the same
+    trees. The forest draws a third of all positions at a node and gets them all.
+    """
     estimators = regressors(label, **sizes)
     fitted = {}
     for name in names:
         started = time.monotonic()
-        model = estimators[name].fit(train)
-        fitted[name] = FittedModel(name, model, time.monotonic() - started)
+        if name == "gbt" and varying:
+            model = estimators[name].setFeaturesCol(VARYING).fit(at_positions(train, varying).select(label, VARYING))
+            fitted[name] = FittedModel(name, model, time.monotonic() - started, tuple(varying))
+        else:
+            model = estimators[name].fit(train)
+            fitted[name] = FittedModel(name, model, time.monotonic() - started)
     return fitted
 
 
@@ -72,7 +118,7 @@ def score_all(fitted: Mapping[str, FittedModel], df: DataFrame, weights: Mapping
     is needed.
     """
     for entry in fitted.values():
-        df = entry.model.transform(df)
+        df = entry.transform(df)
     return df.withColumn("pred_ensemble", weighted_sum(weights)) if weights else df
 
 
@@ -124,7 +170,7 @@ def train_variant(
     errors and saved predictions all read that narrow table.
     """
     frame, tables = prepare(df, variant, year, **temporal)
-    models = fit_models(tables.train, variant.target, names, **(sizes or {}))
+    models = fit_models(tables.train, variant.target, names, tables.varying, **(sizes or {}))
     weights = ENSEMBLE_WEIGHTS if variant.ensemble and set(ENSEMBLE_WEIGHTS) <= set(models) else None
     scored = score_all(models, tables.test, weights).drop("features", "scaled_features")
     return TrainedVariant(variant, frame, tables, models, materialize(scored, "scored"))

@@ -17,7 +17,7 @@ from filmlens.operators.cleaning import clean_required
 from filmlens.operators.relational import hash_percent, split_by_key
 from filmlens.plans import evaluation as V
 from filmlens.plans.features import feature_index_map, feature_stages, feature_summary, text_stages
-from filmlens.plans.models import ENSEMBLE_WEIGHTS, fit_models, train_variant
+from filmlens.plans.models import ENSEMBLE_WEIGHTS, fit_models, regressors, train_variant
 from filmlens.plans.variants import INTRINSIC_FREQUENCY, INTRINSIC_TARGET, VARIANTS, WITH_POPULARITY
 
 TEXTS = [
@@ -136,6 +136,24 @@ def test_ensemble_is_the_weighted_sum(trained):
     assert "pred_ensemble" not in trained["intrinsic_frequency"].scored.columns
 
 
+def test_boosting_reads_varying_positions_for_the_same_trees(trained):
+    run = trained["intrinsic_target"]
+    fitted = run.models["gbt"]
+    vectors = np.array([r.v for r in run.tables.train.select(vector_to_array("scaled_features").alias("v")).collect()])
+    assert list(fitted.positions) == [i for i in range(124) if len(set(vectors[:, i])) > 1]
+    assert fitted.model.numFeatures == len(fitted.positions) < 124
+    whole = regressors("avg_vote", gbt_iterations=3)["gbt"].fit(run.tables.train)
+    assert fitted.importances(124).tolist() == whole.featureImportances.toArray().tolist()
+    expected = {r.title_id: r.pred_gbt for r in whole.transform(run.tables.test).collect()}
+    assert {r.title_id: r.pred_gbt for r in run.scored.collect()} == expected
+
+
+def test_boosting_without_varying_positions_reads_all(spark):
+    rows = spark.createDataFrame([(float(i % 3), Vectors.dense([0.0, 0.0])) for i in range(30)], ["avg_vote", "scaled_features"])
+    fitted = fit_models(rows, "avg_vote", ["gbt"], varying=[], gbt_iterations=2)["gbt"]
+    assert fitted.positions is None and fitted.transform(rows).filter("pred_gbt IS NULL").count() == 0
+
+
 def test_metrics_match_the_evaluator(trained):
     from pyspark.ml.evaluation import RegressionEvaluator
 
