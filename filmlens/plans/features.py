@@ -79,16 +79,17 @@ def one_side(df: DataFrame, side: str) -> DataFrame:
     return df.filter(F.col("side") == side).drop("side")
 
 
-def split_table(
-    df: DataFrame, keys: list[str], name: str, train_percent: int = 80, seed: int = 42, spread: list[str] | None = None
-) -> DataFrame:
+def split_table(df: DataFrame, keys: list[str], name: str, train_percent: int = 80, seed: int = 42, dealt: bool = True) -> DataFrame:
     """Write ``df`` once with its ``side``, train or test, as the folder of each row.
 
-    A read of one side does not open the other's files. Rows are dealt by
-    ``spread``, the keys by default.
+    A read of one side does not open the other's files. Rows are dealt by the
+    keys. Where nothing depends on the layout, as in encoders and what they are
+    applied to, ``dealt=False`` saves that shuffle and the sort by folder: rows
+    are written by the task that has them, and ``side`` is a plain column.
     """
     side = F.when(hash_percent(keys, seed) < train_percent, "train").otherwise("test")
-    return materialize(df.withColumn("side", side), name, spread or keys, ["side"])
+    marked = df.withColumn("side", side)
+    return materialize(marked, name, keys, ["side"]) if dealt else materialize(marked, name)
 
 
 def fit_encoder(train: DataFrame, variant: Variant, column: str) -> Encoding | FoldedEncoding:

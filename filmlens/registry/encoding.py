@@ -231,7 +231,7 @@ _FRAME_TAIL = f"""s.title_id, CASE WHEN s.genre IN (SELECT genre FROM top) THEN
 
 
 def _frame(spark: SparkSession, sf: str, variant, encoded: tuple[str, str], digits: int) -> DataFrame:
-    rows = split_table(sales_lines(spark, sf), ["title_id"], "sales-lines", spread=["title_id", "actors"])
+    rows = split_table(sales_lines(spark, sf), ["title_id"], "sales-lines", dealt=False)
     frame = feature_frame(rows, variant, **SALES_LIMITS)
     columns = [*_FRAME_COLUMNS, *[rounded(c, digits).alias(c) for c in encoded]]
     return frame.both.select(*columns, "side")

@@ -133,3 +133,19 @@ def test_encoding_correlation_equals_the_join(spark):
     assert L.encoding_target_corr(df, "c", "y").first()["corr"] == pytest.approx(joined.stat.corr("y", "m"))
     means = E.group_mean_join(clean, "c", "y", "m")
     assert means.stat.corr("y", "m") == pytest.approx(joined.stat.corr("y", "m"))
+
+
+def test_large_lookup_sorts_no_rows_while_a_task_can_hold_its_keys(spark):
+    from dataclasses import replace
+
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 10 < 5, "hot").when(F.col("id") % 10 < 9, F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"), (F.col("id") % 7).cast("double").alias("y"))
+    fitted = E.target_encode_fit(rows.filter("id % 3 > 0"), "k", "y")
+    few = E.encode_apply(rows, fitted, ["id"], broadcast_bytes=0)
+    many = E.encode_apply(rows, replace(fitted, lookup=replace(fitted.lookup, n_bytes=1 << 60)), ["id"], broadcast_bytes=0)
+    plan, sorted_plan = (df._jdf.queryExecution().executedPlan().toString() for df in (few, many))
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "Sort " not in plan
+    assert "SortMergeJoin" in sorted_plan
+    expected = {r.id: r.k_encoded for r in E.encode_apply(rows, fitted, ["id"]).collect()}
+    for df in (few, many):
+        found = df.select("id", "k_encoded").collect()
+        assert len(found) == 3000 and {r.id: r.k_encoded for r in found} == expected

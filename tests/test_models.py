@@ -230,6 +230,15 @@ def test_a_read_of_one_side_leaves_out_the_other(spark):
     assert train.count() + test.count() == 500 and train.join(test, "k").count() == 0 and train.columns == ["k"]
 
 
+def test_rows_that_are_not_dealt_are_written_where_they_are(spark):
+    from filmlens.plans.features import split_table
+
+    rows = spark.range(500).withColumnRenamed("id", "k").repartition(3)
+    kept, dealt = split_table(rows, ["k"], "kept", dealt=False), split_table(rows, ["k"], "dealt")
+    assert {r.k: r.side for r in kept.collect()} == {r.k: r.side for r in dealt.collect()}
+    assert len(kept.inputFiles()) == 3 and not any("side=" in f for f in kept.inputFiles())
+
+
 def test_texts_stay_below_every_shuffle(spark):
     """Profiles and features read texts on their scan; what is shuffled or joined no longer has them."""
     from filmlens.operators import profiling as P
