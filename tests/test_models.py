@@ -148,6 +148,16 @@ def test_boosting_reads_varying_positions_for_the_same_trees(trained):
     assert {r.title_id: r.pred_gbt for r in run.scored.collect()} == expected
 
 
+def test_both_compared_variants_boost_on_varying_positions(trained):
+    for variant in (WITH_POPULARITY, INTRINSIC_TARGET):
+        run = trained[variant.name]
+        fitted = run.models["gbt"]
+        assert fitted.model.numFeatures == len(run.tables.varying) < variant.width
+        named = V.feature_importance(fitted, run.scored, variant, None).collect()
+        assert len(named) == variant.width and sum(r.importance for r in named) == pytest.approx(1.0)
+        assert {r["index"] for r in named if r.importance > 0} <= set(fitted.positions)
+
+
 def test_boosting_without_varying_positions_reads_all(spark):
     rows = spark.createDataFrame([(float(i % 3), Vectors.dense([0.0, 0.0])) for i in range(30)], ["avg_vote", "scaled_features"])
     fitted = fit_models(rows, "avg_vote", ["gbt"], varying=[], gbt_iterations=2)["gbt"]
