@@ -91,9 +91,10 @@ def lookup_join(
         key.alias("__key"), F.col(lookup.value).alias("__cold_value")
     )
     # The planner's own estimate must not send out what was measured as too large. A task's share of
-    # the keys that could be sent out is held in its memory, so that the rows need no sort.
+    # the keys that could be sent out is held in its memory, so that the rows need no sort; a caller's
+    # own bound is kept to by a merge.
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    how = "shuffle_hash" if lookup.n_bytes <= partitions * BROADCAST_BYTES else "merge"
+    how = "shuffle_hash" if broadcast_bytes is None and lookup.n_bytes <= partitions * BROADCAST_BYTES else "merge"
     cold_table = cold_table.withColumn("__cold_place", F.xxhash64("__key")).hint(how)
     hit = F.coalesce("__hit", F.lit(False))
     served = df.join(F.broadcast(hot_table), wanted.eqNullSafe(F.col("__hot_key")), "left").select(

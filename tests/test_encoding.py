@@ -140,8 +140,9 @@ def test_large_lookup_sorts_no_rows_while_a_task_can_hold_its_keys(spark):
 
     rows = spark.range(3000).select("id", F.when(F.col("id") % 10 < 5, "hot").when(F.col("id") % 10 < 9, F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"), (F.col("id") % 7).cast("double").alias("y"))
     fitted = E.target_encode_fit(rows.filter("id % 3 > 0"), "k", "y")
-    few = E.encode_apply(rows, fitted, ["id"], broadcast_bytes=0)
-    many = E.encode_apply(rows, replace(fitted, lookup=replace(fitted.lookup, n_bytes=1 << 60)), ["id"], broadcast_bytes=0)
+    sized = lambda n: replace(fitted, lookup=replace(fitted.lookup, n_bytes=n))
+    few = E.encode_apply(rows, sized(lookup.BROADCAST_BYTES + 1), ["id"])
+    many = E.encode_apply(rows, sized(1 << 60), ["id"])
     plan, sorted_plan = (df._jdf.queryExecution().executedPlan().toString() for df in (few, many))
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "Sort " not in plan
     assert "SortMergeJoin" in sorted_plan
