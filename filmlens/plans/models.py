@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -12,11 +13,12 @@ from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from filmlens.operators.cleaning import clean_required
 from filmlens.plans.features import FeatureFrame, FeatureTables, feature_frame, fit_features, hash_text, split_table
 from filmlens.plans.variants import Variant
-from filmlens.sources.staging import materialize
+from filmlens.sources.staging import materialize, staging_root
 
 # Ensemble weights, and the parameters of the estimators below.
 ENSEMBLE_WEIGHTS = {"ridge": 0.2, "forest": 0.3, "gbt": 0.5}
@@ -174,3 +176,34 @@ def train_variant(
     weights = ENSEMBLE_WEIGHTS if variant.ensemble and set(ENSEMBLE_WEIGHTS) <= set(models) else None
     scored = score_all(models, tables.test, weights).drop("features", "scaled_features")
     return TrainedVariant(variant, frame, tables, models, materialize(scored, "scored"))
+
+
+def train_variants(
+    df: DataFrame,
+    variants: Sequence[Variant],
+    names: Sequence[str] = ("ridge", "forest", "gbt"),
+    year: str = "year",
+    sizes: Mapping[str, int] | None = None,
+    parallelism: int = 2,
+    **temporal: float,
+) -> list[TrainedVariant]:
+    """Run several variants on the same raw rows, ``parallelism`` of them at a time.
+
+    Boosting is a chain of some hundred short jobs, each of which waits for the
+    one before and leaves cores idle; another variant's jobs fill them. Every
+    second variant fits its models in the opposite order, so that one's forest
+    meets the other's boosting, and two forests' rows are seldom cached at once.
+    Each variant reads and writes what ``train_variant`` does, for the same
+    models; only ``seconds`` of the fits include the time in which others had
+    the cores.
+    """
+    spark = df.sparkSession
+    staging_root(spark)  # Where this makes a temporary folder, it is made once, before the threads ask for it.
+
+    def run(variant: Variant, order: Sequence[str]) -> Callable[[], TrainedVariant]:
+        # Every thread gets local properties of its own, as in pyspark.ml.tuning.
+        return inheritable_thread_target(spark)(lambda: train_variant(df, variant, order, year, sizes, **temporal))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        started = [pool.submit(run(v, names[::-1] if i % 2 else names)) for i, v in enumerate(variants)]
+        return [s.result() for s in started]

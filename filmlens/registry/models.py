@@ -12,7 +12,7 @@ from filmlens.operators.leakage import importance_share
 from filmlens.operators.relational import split_by_key
 from filmlens.plans import evaluation as V
 from filmlens.plans.features import feature_summary
-from filmlens.plans.models import ENSEMBLE_WEIGHTS, TrainedVariant, prepare, regressors, train_variant, weighted_sum
+from filmlens.plans.models import ENSEMBLE_WEIGHTS, TrainedVariant, prepare, regressors, train_variant, train_variants, weighted_sum
 from filmlens.plans.variants import INTRINSIC_FREQUENCY, INTRINSIC_TARGET, WITH_POPULARITY, Variant
 from filmlens.registry.core import query
 from filmlens.registry.tables import DOCUMENT_LIMITS, PARTS_FILM_SQL, PARTS_LIMITS, documents_film, draw_sql, parts_film, rounded, table
@@ -347,6 +347,5 @@ def importance_share_query(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("variant_comparison")
 def variant_comparison(spark: SparkSession, sf: str) -> DataFrame:
-    first = _parts_model(spark, sf, WITH_POPULARITY, "ridge", "forest", "gbt")
-    second = _parts_model(spark, sf, INTRINSIC_TARGET, "ridge", "forest", "gbt")
+    first, second = train_variants(parts_film(spark, sf), (WITH_POPULARITY, INTRINSIC_TARGET), **PARTS_LIMITS)
     return V.variant_comparison(V.variant_metrics(first), V.variant_metrics(second))

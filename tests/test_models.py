@@ -2,6 +2,7 @@
 
 import math
 import re
+import threading
 from collections import Counter
 
 import numpy as np
@@ -17,7 +18,7 @@ from filmlens.operators.cleaning import clean_required
 from filmlens.operators.relational import hash_percent, split_by_key
 from filmlens.plans import evaluation as V
 from filmlens.plans.features import feature_index_map, feature_stages, feature_summary, text_stages
-from filmlens.plans.models import ENSEMBLE_WEIGHTS, fit_models, regressors, train_variant
+from filmlens.plans.models import ENSEMBLE_WEIGHTS, fit_models, regressors, train_variant, train_variants
 from filmlens.plans.variants import INTRINSIC_FREQUENCY, INTRINSIC_TARGET, VARIANTS, WITH_POPULARITY
 
 TEXTS = [
@@ -158,6 +159,55 @@ def test_both_compared_variants_boost_on_varying_positions(trained):
         assert {r["index"] for r in named if r.importance > 0} <= set(fitted.positions)
 
 
+def test_variants_trained_at_the_same_time_are_those_trained_alone(films, trained):
+    runs = train_variants(films, (WITH_POPULARITY, INTRINSIC_TARGET, INTRINSIC_FREQUENCY), sizes=SIZES)
+    assert [r.variant.name for r in runs] == ["with_popularity", "intrinsic_target", "intrinsic_frequency"]
+    for run in runs:
+        alone = trained[run.variant.name]
+        assert run.predictions.keys() == alone.predictions.keys()
+        columns = ["title_id", "avg_vote", *sorted(alone.predictions.values())]
+        assert sorted(run.scored.select(columns).collect()) == sorted(alone.scored.select(columns).collect())
+
+
+def test_the_comparison_trains_its_variants_at_the_same_time(spark, trained, monkeypatch):
+    """Each training waits here until the other has begun too; both see the caller's job description, each for itself."""
+    from filmlens.plans import models
+    from filmlens.registry import models as registered
+
+    met, context, seen = threading.Barrier(2, timeout=60), spark.sparkContext, {}
+
+    def stub(df, variant, *args, **kwargs):
+        inherited = context.getLocalProperty("spark.job.description")
+        met.wait()
+        context.setLocalProperty("spark.job.description", variant.name)
+        met.wait()
+        seen[variant.name] = (inherited, context.getLocalProperty("spark.job.description"))
+        return trained[variant.name]
+
+    for module in (models, registered):
+        monkeypatch.setattr(module, "train_variant", stub)
+    context.setJobDescription("comparison")
+    try:
+        found = {r.model: r for r in registered.variant_comparison(spark, "/root/testdata/sf0.001").collect()}
+    finally:
+        context.setLocalProperty("spark.job.description", None)
+    assert seen == {v.name: ("comparison", v.name) for v in (WITH_POPULARITY, INTRINSIC_TARGET)}
+    first, second = ({r.model: r.rmse for r in V.variant_metrics(trained[v.name]).collect()} for v in (WITH_POPULARITY, INTRINSIC_TARGET))
+    assert {m: (r.rmse_first, r.rmse_second) for m, r in found.items()} == {m: pytest.approx((first[m], second[m])) for m in first}
+
+
+def test_a_failing_variant_fails_the_whole(films, monkeypatch):
+    from filmlens.plans import models
+
+    def stub(df, variant, *args, **kwargs):
+        if variant is INTRINSIC_TARGET:
+            raise ValueError("no rows")
+
+    monkeypatch.setattr(models, "train_variant", stub)
+    with pytest.raises(ValueError, match="no rows"):
+        train_variants(films, (WITH_POPULARITY, INTRINSIC_TARGET))
+
+
 def test_boosting_without_varying_positions_reads_all(spark):
     rows = spark.createDataFrame([(float(i % 3), Vectors.dense([0.0, 0.0])) for i in range(30)], ["avg_vote", "scaled_features"])
     fitted = fit_models(rows, "avg_vote", ["gbt"], varying=[], gbt_iterations=2)["gbt"]
